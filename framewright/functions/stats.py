@@ -203,29 +203,31 @@ def adjusted_kurtosis(g2: Column, n: Column) -> Column:
     return F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
 
 
-def dagostino_k2(g1: Column, g2: Column, n: Column) -> tuple[Column, Column, Column, Column]:
-    """D'Agostino-Pearson omnibus test: (skew z, kurtosis z, K2, p-value); p = exp(-K2/2)."""
-    n = n.cast("double")
-    y = g1 * F.sqrt((n + 1) * (n + 3) / (6.0 * (n - 2)))
+def dagostino_k2(g1: float, g2: float, n: int) -> tuple[float, float, float, float]:
+    """D'Agostino-Pearson omnibus test from the aggregated population skewness g1,
+    excess kurtosis g2 and count n: (skew z, kurtosis z, K2, p-value), p = exp(-K2/2).
+    Scalar arithmetic on one aggregated row per column, done on the driver."""
+    n = float(n)
+    y = g1 * math.sqrt((n + 1) * (n + 3) / (6.0 * (n - 2)))
     beta2 = 3.0 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9))
-    w2 = -1 + F.sqrt(2 * (beta2 - 1))
-    delta = 1 / F.sqrt(0.5 * F.log(w2))
-    alpha = F.sqrt(2 / (w2 - 1))
-    y = F.when(y == 0, F.lit(1.0)).otherwise(y)
-    ya = y / alpha
-    zs = delta * F.log(ya + F.sqrt(ya * ya + 1))
-    b2 = g2 + 3
+    w2 = -1 + math.sqrt(2 * (beta2 - 1))
+    delta = 1 / math.sqrt(0.5 * math.log(w2))
+    alpha = math.sqrt(2 / (w2 - 1))
+    y = 1.0 if y == 0 else y
+    zs = delta * math.log(y / alpha + math.sqrt((y / alpha) ** 2 + 1))
     e = 3.0 * (n - 1) / (n + 1)
     var = 24.0 * n * (n - 2) * (n - 3) / ((n + 1) * (n + 1) * (n + 3) * (n + 5))
-    x = (b2 - e) / F.sqrt(var)
-    sb1 = 6.0 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * F.sqrt(6.0 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3)))
-    a = 6.0 + 8.0 / sb1 * (2.0 / sb1 + F.sqrt(1 + 4.0 / (sb1 * sb1)))
-    term1 = 1 - 2 / (9.0 * a)
-    denom = 1 + x * F.sqrt(2 / (a - 4.0))
-    term2 = F.signum(denom) * F.pow((1 - 2.0 / a) / F.abs(denom), 1.0 / 3)
-    zk = (term1 - term2) / F.sqrt(2 / (9.0 * a))
+    x = (g2 + 3 - e) / math.sqrt(var)
+    sb1 = 6.0 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * math.sqrt(6.0 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3)))
+    a = 6.0 + 8.0 / sb1 * (2.0 / sb1 + math.sqrt(1 + 4.0 / (sb1 * sb1)))
+    denom = 1 + x * math.sqrt(2 / (a - 4.0))
+    if denom == 0:
+        zk = float("nan")
+    else:
+        term2 = math.copysign(1.0, denom) * ((1 - 2.0 / a) / abs(denom)) ** (1.0 / 3)
+        zk = ((1 - 2 / (9.0 * a)) - term2) / math.sqrt(2 / (9.0 * a))
     k2 = zs * zs + zk * zk
-    return zs, zk, k2, F.exp(-k2 / 2)
+    return zs, zk, k2, math.exp(-k2 / 2)
 
 
 def safe_corr(a: str, b: str) -> Column:
