@@ -225,8 +225,8 @@ def dbscan(df: DataFrame, features, key: str, eps: float = 1.5, min_samples: int
     labels = comp.unionByName(border)
     from ..sources.sinks import with_row_number
     numbering = with_row_number(labels.select("label").distinct(), ["label"], "cluster_no")
-    lab = labels.join(numbering, "label").select("id", F.col("cluster_no").cast("int").alias(out))
-    res = df.join(lab, qcol(key).cast("long") == F.col("id"), "left").drop("id")
+    lab = labels.join(numbering, "label").select(F.col("id").alias("__id"), F.col("cluster_no").cast("int").alias(out))
+    res = df.join(lab, qcol(key).cast("long") == F.col("__id"), "left").drop("__id")
     res = res.withColumn(out, F.coalesce(F.col(out), F.lit(-1)))
     p.unpersist()
     return res

@@ -7,6 +7,7 @@ create a scratch folder of our own.
 
 from __future__ import annotations
 
+import logging
 import os
 import tempfile
 
@@ -35,6 +36,8 @@ def build_session(cores: int | None = None, app: str = "framewright", shuffle_pa
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    # analysis errors still raise; this only stops the JSON echo of each one on stderr
+    logging.getLogger("DataFrameQueryContextLogger").setLevel(logging.CRITICAL)
     ensure_checkpoint_dir(spark)
     return spark
 
