@@ -36,13 +36,28 @@ def assemble_standardized(df: DataFrame, cols: Sequence[str], out: str = "featur
 
 
 # --------------------------------------------------------------------------- k-means family
-def kmeans(df: DataFrame, features, k: int = 5, seed: int = 42, out: str = "cluster", max_iter: int = 300):
-    """Fit ml KMeans (k-means||, seed) and add ``out``. Returns (labelled frame, model)."""
+def absolute_tolerance(v: DataFrame, k: int, tol: float = 1e-4, col: str = "__features") -> float:
+    """Spark stops when every centre moves by at most eps; the reference's rule is a total
+    squared shift <= tol * mean feature variance. eps = sqrt(tol * mean_var / k) makes the
+    first imply the second."""
+    from pyspark.ml.stat import Summarizer
+
+    var = v.agg(Summarizer.variance(F.col(col)).alias("v")).first()["v"]
+    mean_var = float(np.mean(var.toArray())) if var is not None else 0.0
+    return float(np.sqrt(tol * mean_var / k)) if mean_var > 0 else 1e-12
+
+
+def kmeans(df: DataFrame, features, k: int = 5, seed: int = 42, out: str = "cluster", max_iter: int = 300,
+           tol: float = 1e-4):
+    """Fit ml KMeans (k-means||, seed) and add ``out``. ``tol`` is relative to the mean
+    feature variance, as in the reference. Returns (labelled frame, model)."""
     from pyspark.ml.clustering import KMeans
 
-    v = _vectors(df, features, "__features")
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="__features", predictionCol=out).fit(v)
-    return model.transform(v).drop("__features"), model
+    v = _vectors(df, features, "__features").persist()
+    eps = absolute_tolerance(v, k, tol)
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=eps, featuresCol="__features", predictionCol=out).fit(v)
+    labelled = model.transform(v).drop("__features")
+    return labelled, model
 
 
 def total_sum_of_squares(df: DataFrame, features) -> float:
@@ -127,6 +142,23 @@ def kmeans_clustering(df: DataFrame, cols: Sequence[str], k: int = 5, seed: int
 
 
 # --------------------------------------------------------------------------- DBSCAN
+def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Component root (smallest index) of each of n nodes, vectorised: min-label
+    propagation over the edges with pointer jumping until stable."""
+    lab = np.arange(n)
+    while True:
+        old = lab.copy()
+        np.minimum.at(lab, a, lab[b])
+        np.minimum.at(lab, b, lab[a])
+        while True:
+            jumped = lab[lab]
+            if np.array_equal(jumped, lab):
+                break
+            lab = jumped
+        if np.array_equal(lab, old):
+            return lab
+
+
 def _star_kernel(eps: float):
     """Core points of one (cell, chunk pair): union-find over pairs within eps; emit
     (id, root) for every member of a local component with at least two members."""
@@ -143,18 +175,7 @@ def _star_kernel(eps: float):
         a = q["id"].to_numpy()[qi]
         b = d["id"].to_numpy()[di]
         ids, inv = np.unique(np.concatenate([a, b]), return_inverse=True)
-        parent = np.arange(len(ids))
-
-        def find(i):
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-        for x, y in zip(inv[:len(a)], inv[len(a):]):
-            rx, ry = find(x), find(y)
-            if rx != ry:
-                parent[max(rx, ry)] = min(rx, ry)
-        roots = np.array([find(i) for i in range(len(ids))])
+        roots = local_components(len(ids), inv[:len(a)], inv[len(a):])
         sizes = np.bincount(roots, minlength=len(ids))
         keep = sizes[roots] >= 2
         # ids are sorted, so the root index is the smallest id of the component
@@ -177,15 +198,39 @@ def _min_label_kernel(eps: float):
     return fn
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """Min-label propagation with pointer jumping. vertices(id), edges(src, dst) ->
-    (id, label) where label is the smallest id of the component."""
-    und = cut_lineage(edges.select("src", "dst").unionByName(
-        edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
+def _union_find_labels(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, smallest id of each id's component) for an edge list."""
+    ids, inv = np.unique(np.concatenate([src, dst]), return_inverse=True)
+    n = len(src)
+    roots = local_components(len(ids), inv[:n], inv[n:])
+    return ids, ids[roots]
+
+
+def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 200,
+                         local_edge_limit: int = 2_000_000) -> DataFrame:
+    """vertices(id), edges(src, dst) -> (id, label), label = smallest id of the component.
+
+    The edge list is counted first: at most ``local_edge_limit`` edges (a checked bound)
+    are solved by union-find on the driver; larger graphs run min-label propagation with
+    pointer jumping on Spark, one reliable checkpoint per round."""
+    spark = vertices.sparkSession
+    e = edges.select(F.col("src").cast("long"), F.col("dst").cast("long")).where(F.col("src") != F.col("dst"))
+    e = cut_lineage(e.distinct())
+    n_edges = e.count()
+    if n_edges <= local_edge_limit:
+        pdf = e.toPandas()
+        if len(pdf):
+            ids, lab = _union_find_labels(pdf["src"].to_numpy(), pdf["dst"].to_numpy())
+            mapping = spark.createDataFrame(pd.DataFrame({"__v": ids, "__lab": lab}))
+        else:
+            mapping = spark.createDataFrame([], "__v long, __lab long")
+        return (vertices.select("id").join(mapping, F.col("id") == F.col("__v"), "left")
+                .select("id", F.coalesce("__lab", "id").alias("label")))
+    und = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     labels = cut_lineage(vertices.select("id", F.col("id").alias("label")))
     for _ in range(max_rounds):
         nb = und.join(labels.select(F.col("id").alias("src"), "label"), "src").select(F.col("dst").alias("id"), "label")
-        new = cut_lineage(labels.unionByName(nb).groupBy("id").agg(F.min("label").alias("label")))
+        new = labels.unionByName(nb).groupBy("id").agg(F.min("label").alias("label"))
         # pointer jumping: label(v) <- label(label(v))
         parent = new.select(F.col("id").alias("label"), F.col("label").alias("plabel"))
         hop = cut_lineage(new.join(parent, "label", "left").select(

@@ -129,3 +129,11 @@ def test_connected_components_chain(spark):
     lab = {r.id: r.label for r in CL.connected_components(verts, edges).collect()}
     assert all(lab[i] == 0 for i in range(41))
     assert lab[100] == lab[101] == 100 and lab[200] == 200
+
+
+def test_connected_components_distributed_path(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(0, 30)] + [(100, 101), (101, 55)], "src long, dst long")
+    verts = spark.createDataFrame([(i,) for i in list(range(31)) + [55, 100, 101, 200]], "id long")
+    lab = {r.id: r.label for r in CL.connected_components(verts, edges, local_edge_limit=0).collect()}
+    assert all(lab[i] == 0 for i in range(31))
+    assert lab[100] == lab[101] == lab[55] == 55 and lab[200] == 200
