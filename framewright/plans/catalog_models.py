@@ -119,6 +119,13 @@ def q_impute_iterative(spark, sf):
     return I.impute_iterative(df, ["p_size", "p_retailprice"], rounds=3)
 
 
+@query("isolation_forest_flag")
+def q_isolation_forest_flag(spark, sf):
+    from ..operators.iforest import isolation_forest_flag
+    ev = table(spark, sf, "events").select("event_id", "value")
+    return isolation_forest_flag(ev, "value", "event_id", contamination=0.05, seed=42)
+
+
 # =========================================================================== sampling / composition
 @query("sample_fraction")
 def q_sample_fraction(spark, sf):

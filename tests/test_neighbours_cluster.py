@@ -137,3 +137,15 @@ def test_connected_components_distributed_path(spark):
     lab = {r.id: r.label for r in CL.connected_components(verts, edges, local_edge_limit=0).collect()}
     assert all(lab[i] == 0 for i in range(31))
     assert lab[100] == lab[101] == lab[55] == 55 and lab[200] == 200
+
+
+def test_isolation_forest_flags_planted_outliers(spark):
+    from framewright.operators.iforest import isolation_forest_flag
+
+    rng = np.random.default_rng(0)
+    vals = list(rng.normal(0, 1, size=980)) + list(rng.uniform(6, 30, size=20))
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)], "k long, v double")
+    out = isolation_forest_flag(df, "v", "k", contamination=0.05, n_trees=50).toPandas()
+    flagged = set(out[out["outlier_iforest_v"] == 1]["k"])
+    assert 45 <= len(flagged) <= 55
+    assert set(range(980, 1000)) <= flagged
