@@ -79,5 +79,10 @@ def sanitize_column_name(name: str, keep_readable: bool = False) -> str:
     return out.replace(" ", "_")
 
 
+def sanitize_name_expr(col: str) -> Column:
+    """The same rule as :func:`sanitize_column_name`, as a Column expression over text."""
+    return F.replace(F.regexp_replace(qcol(col), r'[\\/*?:"<>|]', "_"), F.lit(" "), F.lit("_"))
+
+
 def sanitize_columns(names: Sequence[str]) -> list[str]:
     return [sanitize_column_name(n) for n in names]

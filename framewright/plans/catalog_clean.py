@@ -215,6 +215,64 @@ def q_select_columns(spark, sf):
     return C.select_columns(table(spark, sf, "part"), ["p_partkey", "p_name", "missing_column", "p_retailprice"])
 
 
+def _names_kind(spark, pairs):
+    return spark.createDataFrame(list(pairs), "column_name string, kind string")
+
+
+_DUCK_NUMERIC = "('TINYINT','SMALLINT','INTEGER','BIGINT','HUGEINT','FLOAT','DOUBLE') OR column_type LIKE 'DECIMAL%'"
+
+
+@query("numeric_columns",
+       f"SELECT column_name, CASE WHEN column_type IN {_DUCK_NUMERIC} THEN 'numeric' "
+       "WHEN column_type = 'VARCHAR' THEN 'categorical' ELSE 'datetime' END AS kind FROM (DESCRIBE orders) "
+       f"WHERE column_type IN {_DUCK_NUMERIC} OR column_type = 'VARCHAR' OR column_type LIKE 'TIMESTAMP%' "
+       "OR column_type = 'DATE'")
+def q_numeric_columns(spark, sf):
+    from ..operators.profile import categorical_columns, datetime_columns, numeric_columns
+    df = table(spark, sf, "orders")
+    return _names_kind(spark, [(c, "numeric") for c in numeric_columns(df)]
+                       + [(c, "categorical") for c in categorical_columns(df)]
+                       + [(c, "datetime") for c in datetime_columns(df)])
+
+
+@query("nested_type_columns",
+       "SELECT column_name FROM (DESCRIBE embeddings) WHERE column_type LIKE '%[]' OR column_type LIKE 'STRUCT%' "
+       "OR column_type LIKE 'MAP%'")
+def q_nested_type_columns(spark, sf):
+    from ..operators.profile import nested_type_columns
+    return spark.createDataFrame([(c,) for c in nested_type_columns(table(spark, sf, "embeddings"))],
+                                 "column_name string")
+
+
+@query("columns_by_regex",
+       "SELECT column_name FROM (DESCRIBE lineitem) WHERE column_name LIKE '%key' AND column_name NOT LIKE 'l_supp%'")
+def q_columns_by_regex(spark, sf):
+    names = C.columns_by_regex(table(spark, sf, "lineitem"), "key", ["l_supp"])
+    return spark.createDataFrame([(c,) for c in names], "column_name string")
+
+
+@query("drop_columns", "SELECT p_partkey, p_name, p_size, p_retailprice * 2 AS doubled FROM part")
+def q_drop_columns(spark, sf):
+    df = C.drop_columns(table(spark, sf, "part"), ["p_brand", "p_type"])
+    df = C.set_column(df, "doubled", F.col("p_retailprice") * 2)
+    assert C.contains_column(df, "doubled")
+    return C.drop_columns(df, ["p_retailprice"]).select("p_partkey", "p_name", "p_size", "doubled")
+
+
+@query("lowercase_columns", "SELECT * FROM nation")
+def q_lowercase_columns(spark, sf):
+    df = table(spark, sf, "nation")
+    shouted = df.toDF(*[f"  {c.upper()} " for c in df.columns])
+    return C.lowercase_columns(C.strip_columns(shouted))
+
+
+@query("sanitize_column_name",
+       "SELECT page_id, replace(regexp_replace(url, '[\\\\/*?:\"<>|]', '_', 'g'), ' ', '_') AS safe_name FROM pages")
+def q_sanitize_column_name(spark, sf):
+    from ..functions.scalar import sanitize_name_expr
+    return table(spark, sf, "pages").select("page_id", sanitize_name_expr("url").alias("safe_name"))
+
+
 @query("narrow_numeric_types")
 def q_narrow_numeric_types(spark, sf):
     return C.narrow_numeric_types(table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice"))
