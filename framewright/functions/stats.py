@@ -38,6 +38,13 @@ def as_double(name: str) -> Column:
     return qcol(name).cast("double")
 
 
+def checked_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """Broadcast hint only after counting the (persisted) side: above ``max_rows`` the
+    frame is returned unhinted and the planner / AQE pick a shuffle join instead."""
+    df = df.persist()
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def one_row(df: DataFrame, exprs: Sequence[Column]) -> dict:
     """Run one global aggregate and return it as a dict (one partial + one final task)."""
     if not exprs:

@@ -25,9 +25,9 @@ def frequent_categories(df: DataFrame, cols: Sequence[str], threshold: float = 0
     1/threshold of them, so the driver list is bounded)."""
     out = {}
     for c in cols:
+        total = df.agg(F.count(qcol(c))).first()[0]
         counts = df.where(qcol(c).isNotNull()).groupBy(qcol(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        total = counts.agg(F.sum("n").alias("t"))
-        keep = counts.crossJoin(total).where(F.col("n") >= F.lit(threshold) * F.col("t")).select("v")
+        keep = counts.where(F.col("n") >= F.lit(threshold) * F.lit(total)).select("v")
         out[c] = sorted(r.v for r in keep.collect())
     return out
 
@@ -154,8 +154,8 @@ def target_encode(df: DataFrame, col: str, target: str, min_samples_leaf: int =
 def frequency_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Category -> share of non-null rows; null -> null."""
     counts = df.where(qcol(col).isNotNull()).groupBy(qcol(col).alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
-    total = df.agg(F.count(qcol(col)).alias("__t"))
-    stats = counts.crossJoin(total).select("__k", (F.col("__n") / F.col("__t")).alias("__share"))
+    total = df.agg(F.count(qcol(col))).first()[0]
+    stats = counts.select("__k", (F.col("__n") / F.lit(total)).alias("__share"))
     return _apply(df, col, stats, F.col("__share"), out)
 
 

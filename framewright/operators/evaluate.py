@@ -17,9 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.stats import qcol
+from ..functions.stats import checked_broadcast, qcol
 from .relational import hash_unit, top_k_per_group
 
+MAX_PAIRWISE_CLUSTERS = 20_000  # Davies-Bouldin compares every pair of centroids
+
 
 # --------------------------------------------------------------------------- features
 def feature_array(df: DataFrame, features: str | Sequence[str]) -> Column:
@@ -48,10 +50,9 @@ def centroids(df: DataFrame, features, label: str) -> DataFrame:
 
 
 def _with_centroid(df: DataFrame, features, label: str) -> DataFrame:
-    cent = centroids(df, features, label)
-    # k rows (one per cluster): a proven-small broadcast
-    return df.select(qcol(label).alias("__l"), feature_array(df, features).alias("__x")).join(
-        F.broadcast(cent), "__l")
+    # one row per cluster: broadcast after a size check (a near-unique label would not be)
+    cent = checked_broadcast(centroids(df, features, label))
+    return df.select(qcol(label).alias("__l"), feature_array(df, features).alias("__x")).join(cent, "__l")
 
 
 # --------------------------------------------------------------------------- centroid metrics
@@ -64,8 +65,11 @@ def inertia(df: DataFrame, features, label: str) -> float:
 def davies_bouldin(df: DataFrame, features, label: str) -> float | None:
     """mean over clusters of max_{j != i} (s_i + s_j) / d(c_i, c_j), s = mean distance to centroid."""
     j = _with_centroid(df, features, label)
-    s = j.groupBy("__l").agg(F.avg(F.sqrt(sq_dist(F.col("__x"), F.col("__c")))).alias("s"),
-                             F.first("__c").alias("c")).collect()
+    per = j.groupBy("__l").agg(F.avg(F.sqrt(sq_dist(F.col("__x"), F.col("__c")))).alias("s"), F.first("__c").alias("c"))
+    k = per.count()
+    if k > MAX_PAIRWISE_CLUSTERS:
+        raise ValueError(f"davies_bouldin compares all centroid pairs; {k} clusters exceed {MAX_PAIRWISE_CLUSTERS}")
+    s = per.collect()
     if len(s) < 2:
         return None
     sc = np.array([r["s"] for r in s])
@@ -78,16 +82,22 @@ def davies_bouldin(df: DataFrame, features, label: str) -> float | None:
 
 
 def calinski_harabasz(df: DataFrame, features, label: str) -> float | None:
-    """[B / (k - 1)] / [W / (n - k)] from per-cluster centroids and the global centroid."""
-    cent = centroids(df, features, label).collect()
-    k = len(cent)
-    n = sum(r["__n"] for r in cent)
-    if k < 2 or n <= k:
+    """[B / (k - 1)] / [W / (n - k)] from per-cluster centroids and the global centroid;
+    B is aggregated over the centroid table on Spark (nothing per cluster reaches the driver)."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    cent = centroids(df, features, label).persist()
+    sizes = cent.agg(F.count(F.lit(1)).alias("k"), F.sum("__n").alias("n")).first()
+    k, n = sizes["k"], sizes["n"]
+    if k < 2 or n is None or n <= k:
+        cent.unpersist()
         return None
-    cs = np.array([r["__c"] for r in cent])
-    ns = np.array([r["__n"] for r in cent], dtype=float)
-    g = (cs * ns[:, None]).sum(0) / n
-    b = float((ns * ((cs - g) ** 2).sum(1)).sum())
+    g = df.select(array_to_vector(feature_array(df, features)).alias("v")).agg(
+        vector_to_array(Summarizer.mean(F.col("v"))).alias("g")).first()["g"]  # d numbers
+    g_lit = F.array(*[F.lit(float(v)) for v in g])
+    b = float(cent.agg(F.sum(F.col("__n") * sq_dist(F.col("__c"), g_lit))).first()[0])
+    cent.unpersist()
     w = inertia(df, features, label)
     return (b / (k - 1)) / (w / (n - k)) if w > 0 else float("inf")
 
@@ -214,8 +224,8 @@ def evaluate_clusters(df: DataFrame, features, label: str, kind: str = "kmeans",
 # --------------------------------------------------------------------------- classification
 def misclassified_rows(df: DataFrame, y_true: str, y_pred: str) -> DataFrame:
     """Rows whose prediction differs from the truth, with the error rate of the whole input."""
-    rate = df.agg(F.avg((qcol(y_true) != qcol(y_pred)).cast("double")).alias("error_rate"))
-    return df.where(qcol(y_true) != qcol(y_pred)).crossJoin(rate)
+    rate = df.agg(F.avg((qcol(y_true) != qcol(y_pred)).cast("double"))).first()[0]
+    return df.where(qcol(y_true) != qcol(y_pred)).withColumn("error_rate", F.lit(rate).cast("double"))
 
 
 def confusion_matrix(df: DataFrame, y_true: str, y_pred: str, labels: Sequence | None = None) -> DataFrame:
@@ -251,15 +261,15 @@ def classification_report(df: DataFrame, y_true: str, y_pred: str) -> DataFrame:
                      F.avg("f1").alias("mf"), (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("wp"),
                      (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("wr"),
                      (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("wf"))
-    acc = df.agg(F.avg((qcol(y_true) == qcol(y_pred)).cast("double")).alias("acc"))
+    acc = df.agg(F.avg((qcol(y_true) == qcol(y_pred)).cast("double"))).first()[0]
     def row(name, p, r, f):
         return F.struct(F.lit(name).alias("label"), p.cast("double").alias("precision"),
                         r.cast("double").alias("recall"), f.cast("double").alias("f1"),
                         F.col("n").cast("bigint").alias("support"))
 
     none = F.lit(None)
-    summary = totals.crossJoin(acc).select(F.inline(F.array(
-        row("accuracy", none, none, F.col("acc")), row("macro avg", F.col("mp"), F.col("mr"), F.col("mf")),
+    summary = totals.select(F.inline(F.array(
+        row("accuracy", none, none, F.lit(acc)), row("macro avg", F.col("mp"), F.col("mr"), F.col("mf")),
         row("weighted avg", F.col("wp"), F.col("wr"), F.col("wf")))))
     return per.unionByName(summary)
 

@@ -92,9 +92,9 @@ def table_summary(df: DataFrame) -> DataFrame:
     """n_rows, n_columns, n_null_cells, n_duplicates in one row."""
     nulls = sum((F.count_if(qcol(c).isNull()) for c in df.columns), F.lit(0)) if df.columns else F.lit(0)
     base = df.agg(F.count(F.lit(1)).alias("n_rows"), nulls.cast("bigint").alias("n_null_cells"))
-    dup = duplicate_row_count(df)
-    return base.crossJoin(dup).select("n_rows", F.lit(len(df.columns)).cast("bigint").alias("n_columns"),
-                                      "n_null_cells", "n_duplicates")
+    dup = duplicate_row_count(df).first()[0]
+    return base.select("n_rows", F.lit(len(df.columns)).cast("bigint").alias("n_columns"),
+                       "n_null_cells", F.lit(dup).cast("bigint").alias("n_duplicates"))
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None, only_positive: bool = True) -> DataFrame:
@@ -204,8 +204,8 @@ def skew_kurtosis_table(df: DataFrame, cols: Sequence[str] | None = None) -> Dat
 def categorical_profile(df: DataFrame, col: str) -> DataFrame:
     """(value, count, n_distinct) in descending count order, nulls dropped."""
     counts = df.where(qcol(col).isNotNull()).groupBy(qcol(col).alias("value")).count()
-    nd = counts.agg(F.count(F.lit(1)).alias("n_distinct"))
-    return counts.crossJoin(nd).orderBy(F.desc("count"), F.asc("value"))
+    nd = df.agg(F.count_distinct(qcol(col))).first()[0]
+    return counts.withColumn("n_distinct", F.lit(nd).cast("bigint")).orderBy(F.desc("count"), F.asc("value"))
 
 
 def countplot_data(df: DataFrame, col: str) -> DataFrame:

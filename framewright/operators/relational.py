@@ -67,8 +67,8 @@ def value_counts(df: DataFrame, col: str, normalize: bool = False) -> DataFrame:
     counts = df.where(qcol(col).isNotNull()).groupBy(qcol(col).alias("value")).agg(F.count(F.lit(1)).alias("count"))
     if not normalize:
         return counts
-    total = df.agg(F.count(qcol(col)).alias("__n"))
-    return counts.crossJoin(total).select("value", "count", (F.col("count") / F.col("__n")).alias("share"))
+    total = df.agg(F.count(qcol(col))).first()[0]
+    return counts.select("value", "count", (F.col("count") / F.lit(total)).alias("share"))
 
 
 def distinct_count(df: DataFrame, cols: Sequence[str], approx: bool = False, rsd: float = 0.05) -> DataFrame:
@@ -196,8 +196,8 @@ def explode_tags(df: DataFrame, col: str, sep: str = ",") -> DataFrame:
     tags = (df.select(F.explode(F.split(qcol(col), re.escape(sep))).alias("tag"))
             .select(F.trim("tag").alias("tag")).where(F.col("tag") != ""))
     counts = tags.groupBy("tag").agg(F.count(F.lit(1)).alias("count"))
-    total = df.agg(F.count(F.lit(1)).alias("__n"))
-    return counts.crossJoin(total).select("tag", "count", (F.col("count") / F.col("__n")).alias("share"))
+    total = df.count()
+    return counts.select("tag", "count", (F.col("count") / F.lit(total)).alias("share"))
 
 
 def rare_usage_share(df: DataFrame, col: str, t: int = 3) -> DataFrame:
@@ -205,8 +205,8 @@ def rare_usage_share(df: DataFrame, col: str, t: int = 3) -> DataFrame:
     counts = df.where(qcol(col).isNotNull()).groupBy(qcol(col)).agg(F.count(F.lit(1)).alias("c"))
     band = F.when(F.col("c") == 1, "once").when(F.col("c") < t, f"2-{t - 1}").otherwise(f">={t}")
     per = counts.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("n_values"))
-    total = counts.agg(F.count(F.lit(1)).alias("__n"))
-    return per.crossJoin(total).select("band", "n_values", (F.col("n_values") / F.col("__n")).alias("share"))
+    total = per.agg(F.sum("n_values")).first()[0] or 0
+    return per.select("band", "n_values", (F.col("n_values") / F.lit(total)).alias("share"))
 
 
 def cumulative_sum(df: DataFrame, order: str, value: str, name: str = "cumulative") -> DataFrame:
