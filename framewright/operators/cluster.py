@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.stats import qcol
 from ..session import cut_lineage
 from .evaluate import feature_array, silhouette_squared
-from .neighbours import _cell, _chunked_pairs, _neighbour_cells, _prepare, neighbour_counts, pairwise_distance
+from .neighbours import _cell, _chunked_pairs, _neighbour_cells, _prepare, pairwise_distance, prepared_neighbour_counts
 
 
 def _vectors(df: DataFrame, features, out: str = "features") -> DataFrame:
@@ -55,7 +55,9 @@ def kmeans(df: DataFrame, features, k: int = 5, seed: int = 42, out: str = "clus
 
     v = _vectors(df, features, "__features").persist()
     eps = absolute_tolerance(v, k, tol)
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=eps, featuresCol="__features", predictionCol=out).fit(v)
+    # features are dense arrays: the blocked (GEMM) solver computes the same centres faster
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=eps, featuresCol="__features", predictionCol=out,
+                   solver="block").fit(v)
     labelled = model.transform(v).drop("__features")
     return labelled, model
 
@@ -249,8 +251,9 @@ def dbscan(df: DataFrame, features, key: str, eps: float = 1.5, min_samples: int
     order of their smallest core key (the scan order of the classic algorithm)."""
     p = _prepare(df, features, key).persist()
     m = min(grid_dims, len(p.select("x").first()[0]) if p.take(1) else 0)
-    counts = neighbour_counts(df, features, eps, key, grid_dims, chunk_rows)
-    flagged = p.join(counts, "id").withColumn("core", F.col("n") >= min_samples)
+    counts = prepared_neighbour_counts(p, eps, m, chunk_rows)
+    # reused by the star, component and border steps: materialise once
+    flagged = p.join(counts, "id").withColumn("core", F.col("n") >= min_samples).persist()
     core = flagged.where("core").select("id", "x")
     qx = core.withColumn("g", F.explode(_neighbour_cells(F.col("x"), eps, m, 1)))
     dx = core.withColumn("g", _cell(F.col("x"), eps, m)).withColumn("payload", F.lit(None).cast("double"))
@@ -258,6 +261,7 @@ def dbscan(df: DataFrame, features, key: str, eps: float = 1.5, min_samples: int
              .groupBy("g", "qc", "dc").applyInPandas(_star_kernel(eps), "id long, root long")
              .where(F.col("id") != F.col("root")).distinct())
     comp = connected_components(core.select("id"), stars.select(F.col("id").alias("src"), F.col("root").alias("dst")))
+    comp = comp.persist()
     # border points: smallest component label among core neighbours within eps
     border_q = flagged.where(~F.col("core")).select("id", "x").withColumn(
         "g", F.explode(_neighbour_cells(F.col("x"), eps, m, 1)))
@@ -269,12 +273,15 @@ def dbscan(df: DataFrame, features, key: str, eps: float = 1.5, min_samples: int
               .groupBy(F.col("qid").alias("id")).agg(F.min("label").alias("label")))
     labels = comp.unionByName(border)
     from ..sources.sinks import with_row_number
-    numbering = with_row_number(labels.select("label").distinct(), ["label"], "cluster_no")
-    lab = labels.join(numbering, "label").select(F.col("id").alias("__id"), F.col("cluster_no").cast("int").alias(out))
+    numbering = with_row_number(comp.select("label").distinct(), ["label"], "cluster_no")
+    # the final (id, cluster) table is checkpointed: later actions neither recompute the
+    # neighbour passes nor depend on cached blocks of lost executors
+    lab = cut_lineage(labels.join(numbering, "label").select(F.col("id").alias("__id"),
+                                                             F.col("cluster_no").cast("int").alias(out)))
+    for cached in (comp, flagged, p):
+        cached.unpersist()
     res = df.join(lab, qcol(key).cast("long") == F.col("__id"), "left").drop("__id")
-    res = res.withColumn(out, F.coalesce(F.col(out), F.lit(-1)))
-    p.unpersist()
-    return res
+    return res.withColumn(out, F.coalesce(F.col(out), F.lit(-1)))
 
 
 def dbscan_grid_search(df: DataFrame, features, key: str, eps_values: Sequence[float],
