@@ -58,26 +58,29 @@ def one_row(df: DataFrame, exprs: Sequence[Column]) -> dict:
 # Spark's exact ``percentile`` merges a value->count map of every distinct value in
 # one final task: unbounded memory at scale. Instead we select order statistics:
 # an approximate sketch brackets the wanted rank, exact counts confirm the bracket,
-# and only a bracket holding at most ``collect_limit`` values is sorted on the
-# driver. Each refinement shrinks the bracket by about accuracy/4, so a trillion-row
-# column needs two rounds.
+# and only a bracket holding at most ``collect_limit`` values is sorted (its values,
+# not the column, reach the driver). Each refinement shrinks the bracket by about
+# accuracy/4, so a trillion-row column needs two rounds; the first sketch is taken in
+# the same scan that counts the column.
 # ---------------------------------------------------------------------------
 
 def _in_bracket(c: Column, lo, hi) -> Column:
-    cond = F.lit(True)
+    cond = c.isNotNull()
     if lo is not None:
         cond = cond & (c >= F.lit(lo))
     if hi is not None:
         cond = cond & (c <= F.lit(hi))
-    return cond & c.isNotNull()
+    return cond
 
 
 def order_statistics(df: DataFrame, wanted: dict[str, Iterable[int]], counts: dict[str, int] | None = None,
-                     collect_limit: int = 1_000_000, accuracy: int = 10_000, max_rounds: int = 12) -> dict:
+                     collect_limit: int = 1_000_000, accuracy: int = 10_000, max_rounds: int = 24,
+                     initial: dict | None = None) -> dict:
     """Exact k-th smallest (0-based, nulls excluded) for each column and rank.
 
-    Returns ``{(column, k): value}``.
-    """
+    ``initial`` may give a sketch bracket {(column, k): (lo, hi)} to confirm first.
+    Returns ``{(column, k): value}``. Every round runs at most one job per phase:
+    count (confirm brackets), collect (sort small brackets), sketch (narrow big ones)."""
     cols = list(wanted)
     if counts is None:
         counts = one_row(df, [F.count(qcol(c)).alias(c) for c in cols])
@@ -85,19 +88,42 @@ def order_statistics(df: DataFrame, wanted: dict[str, Iterable[int]], counts: di
     for c in cols:
         for k in sorted(set(wanted[c])):
             if 0 <= k < counts[c]:
-                state[(c, k)] = {"lo": None, "hi": None, "below": 0, "inside": counts[c], "delta": 2.0 / accuracy}
+                s = {"lo": None, "hi": None, "below": 0, "inside": counts[c], "delta": 2.0 / accuracy,
+                     "counted": True, "n": counts[c]}
+                if initial and (c, k) in initial and initial[(c, k)][0] is not None:
+                    s.update(lo=initial[(c, k)][0], hi=initial[(c, k)][1], counted=False)
+                state[(c, k)] = s
     result: dict = {}
     for _ in range(max_rounds):
         if not state:
             break
-        small = {t: s for t, s in state.items() if s["inside"] <= collect_limit}
-        big = {t: s for t, s in state.items() if s["inside"] > collect_limit}
+        # count phase: confirm sketch brackets with exact rank counts
+        pending = [t for t, s in state.items() if not s["counted"]]
+        if pending:
+            exprs = []
+            for i, (c, k) in enumerate(pending):
+                s, x = state[(c, k)], as_double(c)
+                exprs += [F.count_if(x < F.lit(s["lo"])).alias(f"lt{i}"), F.count_if(x <= F.lit(s["hi"])).alias(f"le{i}")]
+            cnt = df.agg(*exprs).first()
+            for i, (c, k) in enumerate(pending):
+                s = state[(c, k)]
+                lt, le = cnt[f"lt{i}"], cnt[f"le{i}"]
+                if lt <= k < le:
+                    if s["lo"] == s["hi"]:
+                        result[(c, k)] = float(s["lo"])
+                        state.pop((c, k))
+                        continue
+                    s.update(below=lt, inside=le - lt, counted=True)
+                else:  # the sketch missed the rank: start over with a wider margin
+                    s.update(lo=None, hi=None, below=0, inside=s["n"], counted=True, delta=s["delta"] * 4)
+        # collect phase: sort brackets small enough to hold on the driver
+        small = {t: s for t, s in state.items() if s["counted"] and s["inside"] <= collect_limit}
         if small:
             brackets = {}
             for (c, k), s in small.items():
                 brackets.setdefault((c, s["lo"], s["hi"]), []).append((k, s["below"]))
-            exprs = []
             keys = list(brackets)
+            exprs = []
             for i, (c, lo, hi) in enumerate(keys):
                 x = as_double(c)
                 exprs.append(F.sort_array(F.collect_list(F.when(_in_bracket(x, lo, hi), x))).alias(f"b{i}"))
@@ -107,56 +133,48 @@ def order_statistics(df: DataFrame, wanted: dict[str, Iterable[int]], counts: di
                 for k, below in brackets[key]:
                     result[(key[0], k)] = vals[k - below]
                     state.pop((key[0], k))
+        # sketch phase: narrow brackets still too large
+        big = [t for t, s in state.items() if s["counted"] and s["inside"] > collect_limit]
         if big:
-            keys = list(big)
             exprs = []
-            for i, (c, k) in enumerate(keys):
-                s = big[(c, k)]
-                x = as_double(c)
+            for i, (c, k) in enumerate(big):
+                s, x = state[(c, k)], as_double(c)
                 q = (k - s["below"] + 0.5) / s["inside"]
                 ps = [max(0.0, q - s["delta"]), min(1.0, q + s["delta"])]
                 exprs.append(F.percentile_approx(F.when(_in_bracket(x, s["lo"], s["hi"]), x), ps, accuracy).alias(f"a{i}"))
             approx = df.agg(*exprs).first()
-            exprs = []
-            for i, (c, k) in enumerate(keys):
-                lo, hi = approx[f"a{i}"]
-                x = as_double(c)
-                exprs += [F.count_if(x < F.lit(lo)).alias(f"lt{i}"), F.count_if(x <= F.lit(hi)).alias(f"le{i}")]
-            cnt = df.agg(*exprs).first()
-            for i, (c, k) in enumerate(keys):
-                s = big[(c, k)]
+            for i, t in enumerate(big):
                 lo, hi = approx[f"a{i}"]
-                lt, le = cnt[f"lt{i}"], cnt[f"le{i}"]
-                if lt <= k < le:
-                    if lo == hi:
-                        result[(c, k)] = float(lo)
-                        state.pop((c, k))
-                    else:
-                        s.update(lo=lo, hi=hi, below=lt, inside=le - lt)
-                else:  # sketch missed the rank: widen and retry
-                    s["delta"] *= 4
+                state[t].update(lo=lo, hi=hi, counted=False)
     if state:
         raise RuntimeError(f"quantile refinement did not converge for {sorted(state)}")
     return result
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], relative_error: float | None = None,
-              collect_limit: int = 1_000_000) -> dict[str, list]:
+              collect_limit: int = 1_000_000, accuracy: int = 10_000) -> dict[str, list]:
     """Per-column quantiles, nulls ignored. Exact (linear interpolation) unless
     ``relative_error`` is given, in which case ``percentile_approx`` is used."""
     cols = list(cols)
     if not cols:
         return {}
+    probs = list(probs)
     if relative_error is not None:
         acc = max(1, int(round(1.0 / relative_error)))
-        row = one_row(df, [F.percentile_approx(as_double(c), list(probs), acc).alias(c) for c in cols])
+        row = one_row(df, [F.percentile_approx(as_double(c), probs, acc).alias(c) for c in cols])
         return {c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in cols}
-    counts = one_row(df, [F.count(qcol(c)).alias(c) for c in cols])
-    plan = {}
-    for c in cols:
+    # one scan: counts, plus the first sketch bracket around every wanted rank
+    delta = 4.0 / accuracy
+    sketch_ps = [min(1.0, max(0.0, p + d)) for p in probs for d in (-delta, delta)]
+    exprs = [F.count(qcol(c)).alias(f"n_{i}") for i, c in enumerate(cols)]
+    exprs += [F.percentile_approx(as_double(c), sketch_ps, accuracy).alias(f"s_{i}") for i, c in enumerate(cols)]
+    row = df.agg(*exprs).first()
+    counts = {c: row[f"n_{i}"] for i, c in enumerate(cols)}
+    plan, initial = {}, {}
+    for i, c in enumerate(cols):
         n = counts[c]
         plan[c] = []
-        for p in probs:
+        for j, p in enumerate(probs):
             if n == 0:
                 plan[c].append(None)
                 continue
@@ -164,8 +182,13 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], relati
             k0 = int(math.floor(h))
             k1 = min(k0 + 1, n - 1)
             plan[c].append((k0, k1, h - k0))
+            if n > collect_limit:
+                bracket = (row[f"s_{i}"][2 * j], row[f"s_{i}"][2 * j + 1])
+                initial.setdefault((c, k0), bracket)
+                initial.setdefault((c, k1), bracket)
     wanted = {c: [r for t in plan[c] if t for r in t[:2]] for c in cols}
-    stats = order_statistics(df, {c: w for c, w in wanted.items() if w}, counts, collect_limit=collect_limit)
+    stats = order_statistics(df, {c: w for c, w in wanted.items() if w}, counts, collect_limit=collect_limit,
+                             accuracy=accuracy, initial=initial)
     out = {}
     for c in cols:
         vals = []
