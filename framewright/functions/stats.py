@@ -119,20 +119,31 @@ def order_statistics(df: DataFrame, wanted: dict[str, Iterable[int]], counts: di
         # collect phase: sort brackets small enough to hold on the driver
         small = {t: s for t, s in state.items() if s["counted"] and s["inside"] <= collect_limit}
         if small:
-            brackets = {}
+            brackets, sizes = {}, {}
             for (c, k), s in small.items():
-                brackets.setdefault((c, s["lo"], s["hi"]), []).append((k, s["below"]))
-            keys = list(brackets)
-            exprs = []
-            for i, (c, lo, hi) in enumerate(keys):
-                x = as_double(c)
-                exprs.append(F.sort_array(F.collect_list(F.when(_in_bracket(x, lo, hi), x))).alias(f"b{i}"))
-            row = df.agg(*exprs).first()
-            for i, key in enumerate(keys):
-                vals = row[f"b{i}"]
-                for k, below in brackets[key]:
-                    result[(key[0], k)] = vals[k - below]
-                    state.pop((key[0], k))
+                key = (c, s["lo"], s["hi"])
+                brackets.setdefault(key, []).append((k, s["below"]))
+                sizes[key] = s["inside"]
+            # one job per batch of brackets holding at most collect_limit values in total
+            batches, cur, held = [], [], 0
+            for key in brackets:
+                if cur and held + sizes[key] > collect_limit:
+                    batches.append(cur)
+                    cur, held = [], 0
+                cur.append(key)
+                held += sizes[key]
+            batches.append(cur)
+            for keys in batches:
+                exprs = []
+                for i, (c, lo, hi) in enumerate(keys):
+                    x = as_double(c)
+                    exprs.append(F.sort_array(F.collect_list(F.when(_in_bracket(x, lo, hi), x))).alias(f"b{i}"))
+                row = df.agg(*exprs).first()
+                for i, key in enumerate(keys):
+                    vals = row[f"b{i}"]
+                    for k, below in brackets[key]:
+                        result[(key[0], k)] = vals[k - below]
+                        state.pop((key[0], k))
         # sketch phase: narrow brackets still too large
         big = [t for t, s in state.items() if s["counted"] and s["inside"] > collect_limit]
         if big:

@@ -228,11 +228,15 @@ def misclassified_rows(df: DataFrame, y_true: str, y_pred: str) -> DataFrame:
     return df.where(qcol(y_true) != qcol(y_pred)).withColumn("error_rate", F.lit(rate).cast("double"))
 
 
-def confusion_matrix(df: DataFrame, y_true: str, y_pred: str, labels: Sequence | None = None) -> DataFrame:
+def confusion_matrix(df: DataFrame, y_true: str, y_pred: str, labels: Sequence | None = None,
+                     max_labels: int = 1_000) -> DataFrame:
     """Rows = true label, one count column per label (labels present in y_true, sorted).
     The label set is small by nature (classes), so it is collected to fix the schema."""
     if labels is None:
-        labels = sorted(r[0] for r in df.select(qcol(y_true)).distinct().collect() if r[0] is not None)
+        distinct = df.select(qcol(y_true)).where(qcol(y_true).isNotNull()).distinct()
+        if distinct.limit(max_labels + 1).count() > max_labels:
+            raise ValueError(f"more than {max_labels} classes: a confusion matrix is not meaningful")
+        labels = sorted(r[0] for r in distinct.collect())
     labels = list(labels)
     counts = (df.where(qcol(y_true).isin(labels))
               .groupBy(qcol(y_true).alias("y_true")).pivot(y_pred, labels).count())
