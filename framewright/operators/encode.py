@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.stats import as_double, qcol, string_columns
 
@@ -23,12 +24,29 @@ OTHER = "OTHER"
 def frequent_categories(df: DataFrame, cols: Sequence[str], threshold: float = 0.01) -> dict[str, list]:
     """Per column, the values whose share of non-null rows is >= threshold (at most
     1/threshold of them, so the driver list is bounded)."""
-    out = {}
-    for c in cols:
-        total = df.agg(F.count(qcol(c))).first()[0]
-        counts = df.where(qcol(c).isNotNull()).groupBy(qcol(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        keep = counts.where(F.col("n") >= F.lit(threshold) * F.lit(total)).select("v")
-        out[c] = sorted(r.v for r in keep.collect())
+    cols = list(cols)
+    if not cols:
+        return {}
+    # two jobs for any number of columns: non-null totals, then one stacked (column, value)
+    # count with partial aggregation, filtered against each column's total
+    totals = df.agg(*[F.count(qcol(c)).alias(f"t{i}") for i, c in enumerate(cols)]).first()
+    limit = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(threshold * totals[f"t{i}"]))])
+    stacked = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("c"), qcol(c).cast("string").alias("v"))
+                                           for c in cols]))).where(F.col("v").isNotNull())
+    counts = stacked.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    kept = counts.where(F.col("n") >= limit[F.col("c")]).select("c", "v").collect()
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out = {c: [] for c in cols}
+    for r in kept:
+        out[r.c].append(r.v)
+    for c in cols:  # restore the column's own type for isin
+        if isinstance(types[c], T.IntegralType):
+            out[c] = [int(v) for v in out[c]]
+        elif isinstance(types[c], T.FractionalType):
+            out[c] = [float(v) for v in out[c]]
+        elif isinstance(types[c], T.BooleanType):
+            out[c] = [v == "true" for v in out[c]]
+        out[c] = sorted(out[c])
     return out
 
 

@@ -65,11 +65,31 @@ def column_mode(df: DataFrame, col: str):
     return None if row is None else row["v"]
 
 
+def column_modes(df: DataFrame, cols: Sequence[str]) -> dict:
+    """Mode of many columns at once, smallest on ties: one stacked (column, value) count
+    per type family, then a per-column min over (-count, value) — both partial
+    aggregates, so neither a hot value nor a high-cardinality column lands in one task."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    families = {"double": [c for c in cols if isinstance(types[c], T.NumericType)],
+                "string": [c for c in cols if isinstance(types[c], T.StringType)]}
+    out = {c: column_mode(df, c) for c in cols if c not in families["double"] + families["string"]}
+    for cast, cs in families.items():
+        if not cs:
+            continue
+        stacked = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("c"), qcol(c).cast(cast).alias("v"))
+                                               for c in cs]))).where(F.col("v").isNotNull())
+        counts = stacked.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+        best = counts.groupBy("c").agg(F.min(F.struct((-F.col("n")).alias("neg"), F.col("v").alias("v"))).alias("b"))
+        out.update({r["c"]: r["v"] for r in best.select("c", "b.v").collect()})
+    return out
+
+
 def impute_mode(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Every column (strings too) filled with its mode."""
     cols = list(cols) if cols is not None else df.columns
     nulls = _numeric_with_nulls(df, cols)
-    return _fill(df, {c: column_mode(df, c) for c in cols if nulls[c] > 0})
+    need = [c for c in cols if nulls[c] > 0]
+    return _fill(df, column_modes(df, need)) if need else df
 
 
 def impute_drop(df: DataFrame) -> DataFrame:

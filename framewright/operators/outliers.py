@@ -76,9 +76,25 @@ def outlier_analysis(df: DataFrame, cols: Sequence[str] | None = None, strategy:
     summaries = []
     out = df
     for i, c in enumerate(cols, start=1):
-        s = outlier_summary(out, c).first()
-        summaries.append((c, s["n_tukey"], s["n_zscore"]))
-        out = handle_outliers(out, c, strategy, value)
+        x = as_double(c)
+        # one quantile fit per column serves the flag counts and the treatment
+        q1, med, q3 = quantiles(out, [c], [0.25, 0.5, 0.75])[c]
+        m = out.agg(F.avg(x).alias("m"), F.stddev_pop(x).alias("s")).first()
+        if q1 is None:
+            summaries.append((c, 0, 0))
+            continue
+        lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        is_out = F.coalesce((x < F.lit(lo)) | (x > F.lit(hi)), F.lit(False))
+        z_out = F.coalesce(F.abs((x - F.lit(m["m"])) / F.lit(m["s"])) > 3, F.lit(False)) if m["s"] else F.lit(False)
+        s = out.agg(F.count_if(is_out).alias("t"), F.count_if(z_out).alias("z"), F.avg(x).alias("mean")).first()
+        summaries.append((c, s["t"], s["z"]))
+        if strategy == "remove":
+            out = out.where(~is_out)
+        else:
+            fill = {"impute_mean": s["mean"], "impute_median": med, "impute_value": value}.get(strategy)
+            if strategy not in ("impute_mean", "impute_median", "impute_value") or fill is None:
+                raise ValueError(f"unknown strategy {strategy!r} or missing value")
+            out = out.withColumn(c, F.when(is_out, F.lit(float(fill))).otherwise(x))
         if checkpoint_every and i % checkpoint_every == 0 and i < len(cols):
             out = cut_lineage(out)
     summary = df.sparkSession.createDataFrame(summaries, "column_name string, n_tukey bigint, n_zscore bigint")

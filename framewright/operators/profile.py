@@ -73,10 +73,11 @@ def column_classes(df: DataFrame, threshold: int = 10) -> dict[str, list[str]]:
 
 def filter_by_category_count(df: DataFrame, min_categories: int = 5, threshold: int = 10) -> DataFrame:
     """Keep numeric columns and the categorical columns with at least ``min_categories`` values."""
-    classes = column_classes(df, threshold)
-    counts = {r.column_name: r.n_distinct for r in classify_columns(df, threshold).collect()}
-    keep = classes["numeric"] + [c for c in classes["ordinal"] + classes["nominal"] if counts[c] >= min_categories]
-    return df.select(*[qcol(c) for c in keep])
+    rows = {r.column_name: r for r in classify_columns(df, threshold).collect()}
+    keep = [c for c in df.columns if c in rows and
+            (rows[c].kind == "numeric" or rows[c].n_distinct >= min_categories)]
+    numeric = [c for c in keep if rows[c].kind == "numeric"]
+    return df.select(*[qcol(c) for c in numeric + [c for c in keep if c not in numeric]])
 
 
 def duplicate_row_count(df: DataFrame) -> DataFrame:
