@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from ..functions.stats import qcol
 from ..session import cut_lineage
 from .evaluate import feature_array, silhouette_squared
-from .neighbours import _cell, _chunked_pairs, _neighbour_cells, _prepare, pairwise_distance, prepared_neighbour_counts
+from .neighbours import (_cell, _chunked_pairs, _neighbour_cells, _prepare, grid_basis, grid_dims_of,
+                         pairwise_distance, prepared_neighbour_counts, with_grid_coords)
 
 
 def _vectors(df: DataFrame, features, out: str = "features") -> DataFrame:
@@ -249,25 +250,25 @@ def dbscan(df: DataFrame, features, key: str, eps: float = 1.5, min_samples: int
            chunk_rows: int = 2048, out: str = "cluster") -> DataFrame:
     """Density clustering: label per row (noise = -1). Clusters are numbered 0.. in the
     order of their smallest core key (the scan order of the classic algorithm)."""
-    p = _prepare(df, features, key).persist()
-    m = min(grid_dims, len(p.select("x").first()[0]) if p.take(1) else 0)
+    p = _prepare(df, features, key)
+    m = grid_dims_of(p, grid_dims)
+    p = with_grid_coords(p, m, grid_basis(p, m)).persist()
     counts = prepared_neighbour_counts(p, eps, m, chunk_rows)
     # reused by the star, component and border steps: materialise once
     flagged = p.join(counts, "id").withColumn("core", F.col("n") >= min_samples).persist()
-    core = flagged.where("core").select("id", "x")
-    qx = core.withColumn("g", F.explode(_neighbour_cells(F.col("x"), eps, m, 1)))
-    dx = core.withColumn("g", _cell(F.col("x"), eps, m)).withColumn("payload", F.lit(None).cast("double"))
+    core = flagged.where("core").select("id", "x", "gx")
+    qx = core.withColumn("g", F.explode(_neighbour_cells(F.col("gx"), eps, m, 1)))
+    dx = core.withColumn("g", _cell(F.col("gx"), eps, m)).withColumn("payload", F.lit(None).cast("double"))
     stars = (_chunked_pairs(qx.select("id", "g", "x"), dx.select("id", "g", "x", "payload"), chunk_rows)
              .groupBy("g", "qc", "dc").applyInPandas(_star_kernel(eps), "id long, root long")
              .where(F.col("id") != F.col("root")).distinct())
     comp = connected_components(core.select("id"), stars.select(F.col("id").alias("src"), F.col("root").alias("dst")))
     comp = comp.persist()
     # border points: smallest component label among core neighbours within eps
-    border_q = flagged.where(~F.col("core")).select("id", "x").withColumn(
-        "g", F.explode(_neighbour_cells(F.col("x"), eps, m, 1)))
-    core_lab = core.join(comp, "id").select("id", "x", F.col("label").cast("double").alias("payload"))
+    border_q = flagged.where(~F.col("core")).withColumn("g", F.explode(_neighbour_cells(F.col("gx"), eps, m, 1)))
+    core_lab = core.join(comp, "id").select("id", "x", "gx", F.col("label").cast("double").alias("payload"))
     border = (_chunked_pairs(border_q.select("id", "g", "x"),
-                             core_lab.withColumn("g", _cell(F.col("x"), eps, m)).select("id", "g", "x", "payload"),
+                             core_lab.withColumn("g", _cell(F.col("gx"), eps, m)).select("id", "g", "x", "payload"),
                              chunk_rows)
               .groupBy("g", "qc", "dc").applyInPandas(_min_label_kernel(eps), "qid long, label long")
               .groupBy(F.col("qid").alias("id")).agg(F.min("label").alias("label")))
