@@ -44,8 +44,8 @@ query("events_clean_summary", with_views(
 @query("scan_parquet", "SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem "
        "WHERE l_quantity >= 45")
 def q_scan_parquet(spark, sf):
-    df = scan_parquet(spark, f"{sf}/lineitem.parquet", ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"])
-    return df.where(F.col("l_quantity") >= 45)
+    return scan_parquet(spark, f"{sf}/lineitem.parquet", ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"],
+                        where={"l_quantity": (45, None)})
 
 
 @query("row_limit_load", "SELECT * FROM customer ORDER BY c_custkey LIMIT 1000")

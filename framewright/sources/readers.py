@@ -97,8 +97,27 @@ def scan_tsv_gz_limit(spark: SparkSession, path: str, n: int, partitions: int |
     return df.repartition(partitions or spark.sparkContext.defaultParallelism)
 
 
-def scan_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+def scan_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+                 where: dict[str, tuple] | None = None) -> DataFrame:
+    """Columnar read with column pruning and NaN -> NULL.
+
+    ``where`` maps columns to (low, high) bounds (None = open). The bounds are applied to
+    the raw columns *before* the NaN rewrite, so Parquet receives them as pushed filters;
+    ``NOT isnan`` is added for float columns so the result equals filtering after the
+    rewrite (in Spark NaN compares above every number)."""
     df = spark.read.parquet(path)
+    if where:
+        types = {f.name: f.dataType for f in df.schema.fields}
+        cond = F.lit(True)
+        for c, (lo, hi) in where.items():
+            x = qcol(c)
+            if lo is not None:
+                cond = cond & (x >= F.lit(lo))
+            if hi is not None:
+                cond = cond & (x <= F.lit(hi))
+            if isinstance(types[c], (T.DoubleType, T.FloatType)):
+                cond = cond & ~F.isnan(x)
+        df = df.where(cond)
     if columns is not None:
         df = df.select(*[qcol(c) for c in columns])
     return nan_to_null(df)
