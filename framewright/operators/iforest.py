@@ -3,8 +3,9 @@
 score 2^(-E[h(x)] / c(psi)).
 
 Spark does the data work: each tree's sub-sample is the ``max_samples`` rows with the
-smallest md5(seed, tree, key) (a hash pre-filter keeps only ~3x that many candidates per
-tree, so rows are never replicated to every tree), trees are grown in parallel with
+smallest hash in that tree (a hash pre-filter keeps only ~3x that many candidates per
+tree; on large inputs one hash per row assigns it to at most one tree, so rows are never
+replicated to every tree), trees are grown in parallel with
 ``applyInPandas`` grouped by tree id, and the forest — at most n_trees x (2 psi - 1)
 nodes, a fixed bound — is broadcast to a vectorised Pandas UDF that scores every row.
 The cut is the exact (1 - contamination) quantile of the scores.
@@ -106,9 +107,17 @@ def isolation_forest_scores(df: DataFrame, cols: Sequence[str], key: str, n_tree
         digest = F.md5(F.concat_ws(":", F.lit(str(seed)), tree_col.cast("string"), F.col("__k")))
         return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
-    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    cand = (keyed.select("__k", "x", F.explode(F.filter(trees, lambda t: h(t) < p)).alias("tree"))
-            .withColumn("__u", h(F.col("tree"))))
+    if n_trees * p <= 1.0:
+        # large data: one hash per row; its value picks the row's tree (disjoint sub-samples)
+        # and orders rows inside it, so nearly every row is dropped after a single hash
+        u = h(F.lit(-1))
+        cand = (keyed.withColumn("__u", u).where(F.col("__u") < F.lit(n_trees * p))
+                .withColumn("tree", F.floor(F.col("__u") / F.lit(p)).cast("int")))
+    else:
+        # small data: an independent hash per tree (sub-samples may overlap)
+        trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
+        cand = (keyed.select("__k", "x", F.explode(F.filter(trees, lambda t: h(t) < p)).alias("tree"))
+                .withColumn("__u", h(F.col("tree"))))
     w = Window.partitionBy("tree").orderBy("__u", "__k")
     sample = cand.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= psi)
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
