@@ -33,12 +33,19 @@ def zscore_flag(df: DataFrame, col: str, threshold: float = 3.0, nan_policy: str
     return df.withColumn(name, F.coalesce(z > threshold, F.lit(False)).cast("int"))
 
 
-def outlier_summary(df: DataFrame, col: str) -> DataFrame:
-    """(column_name, n_tukey, n_zscore): flag counts per method in one job."""
+def outlier_summary(df: DataFrame, col: str, with_iforest: bool = False, key: str | None = None) -> DataFrame:
+    """(column_name, n_tukey, n_zscore[, n_iforest]): flag counts per method in one job.
+    ``with_iforest`` adds the isolation-forest count (needs a row key)."""
     flagged = zscore_flag(tukey_flag(df, col), col)
-    return flagged.agg(F.lit(col).alias("column_name"),
-                       F.sum(f"outlier_tukey_{col}").cast("bigint").alias("n_tukey"),
-                       F.sum(f"outlier_zscore_{col}").cast("bigint").alias("n_zscore"))
+    counts = [F.sum(f"outlier_tukey_{col}").cast("bigint").alias("n_tukey"),
+              F.sum(f"outlier_zscore_{col}").cast("bigint").alias("n_zscore")]
+    if with_iforest:
+        from .iforest import isolation_forest_flag
+        if key is None:
+            raise ValueError("the isolation-forest count needs a key column")
+        flagged = isolation_forest_flag(flagged, col, key)
+        counts.append(F.sum(f"outlier_iforest_{col}").cast("bigint").alias("n_iforest"))
+    return flagged.agg(F.lit(col).alias("column_name"), *counts)
 
 
 def handle_outliers(df: DataFrame, col: str, strategy: str = "remove", value: float | None = None,

@@ -116,3 +116,11 @@ def test_funnel_non_increasing(spark):
     steps = [("a", F.col("value") > 1), ("b", F.col("value") < 300), ("c", F.col("event_type") != "view")]
     counts = [r.n_rows for r in C.cleaning_funnel(df, steps).orderBy("step").collect()]
     assert counts == sorted(counts, reverse=True)
+
+
+def test_outlier_summary_with_iforest(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "value")
+    r = O.outlier_summary(df, "value", with_iforest=True, key="event_id").first()
+    n = df.count()
+    assert r["n_tukey"] >= 0 and r["n_zscore"] >= 0
+    assert abs(r["n_iforest"] - 0.05 * n) <= 0.02 * n
