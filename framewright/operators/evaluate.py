@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.stats import checked_broadcast, qcol
-from .relational import hash_unit, top_k_per_group
+from .relational import sample_n, top_k_per_group
 
 MAX_PAIRWISE_CLUSTERS = 20_000  # Davies-Bouldin compares every pair of centroids
 
@@ -152,7 +152,7 @@ def silhouette_exact(df: DataFrame, features, label: str, key: str, sample_size:
     pts = df.select(qcol(key).alias("__key"), qcol(label).cast("long").alias("cl"),
                     feature_array(df, features).alias("x"))
     if sample_size is not None:
-        pts = pts.orderBy(hash_unit(F.col("__key"), seed), F.col("__key")).limit(sample_size)
+        pts = sample_n(pts, sample_size, "__key", seed)
     integral = isinstance(df.schema[key].dataType, T.IntegralType)
     pts = pts.withColumn("id", F.col("__key").cast("long") if integral else F.xxhash64("__key")).persist()
     n = pts.count()

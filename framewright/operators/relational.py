@@ -117,9 +117,28 @@ def sample_fraction(df: DataFrame, fraction: float = 0.1, seed: int = 42) -> Dat
     return df.sample(fraction=fraction, seed=seed)
 
 
-def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """Exactly n rows (or all): the n smallest md5(seed:key). TakeOrdered keeps n rows per task."""
-    return df.orderBy(hash_unit(qcol(key), seed), qcol(key)).limit(n)
+def sample_n(df: DataFrame, n: int, key: str, seed: int = 42, merge_limit: int = 5_000_000) -> DataFrame:
+    """Exactly n rows (or all): the n smallest md5(seed:key), ties broken by key.
+
+    While partitions x n <= ``merge_limit`` this is a TakeOrdered (each task keeps n rows,
+    one merge of at most partitions x n). Beyond that the cut is found without a central
+    merge: the exact n-th smallest hash is an order statistic (sketch, counts, small
+    bracket), rows below it are kept, and only rows sharing the boundary hash are
+    ranked by key."""
+    u = hash_unit(qcol(key), seed)
+    if df.rdd.getNumPartitions() * n <= merge_limit:
+        return df.orderBy(u, qcol(key)).limit(n)
+    from ..functions.stats import order_statistics
+
+    h = df.withColumn("__u", u)
+    total = h.count()
+    if n >= total:
+        return df
+    cut = order_statistics(h, {"__u": [n - 1]}, {"__u": total})[("__u", n - 1)]
+    below = h.where(F.col("__u") < F.lit(cut))
+    need = n - below.count()
+    boundary = h.where(F.col("__u") == F.lit(cut)).orderBy(qcol(key)).limit(need)
+    return below.unionByName(boundary).drop("__u")
 
 
 def sample_stratified(df: DataFrame, stratum: str, fraction: float, key: str, seed: int = 42,
