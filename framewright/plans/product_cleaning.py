@@ -20,7 +20,9 @@ from ..operators import clean as C
 
 @dataclass
 class ProductRoles:
-    """Column roles; the defaults are the product table's names the notebook uses."""
+    """Column roles. The defaults below are the product table's column
+    names, patterns, sentinel, cap (900 kcal), missing-count limit (3) and excluded name
+    prefixes that the reference notebook uses; they must match for the same result."""
     country: str = "countries"
     country_pattern: str = "(?:France)|(?::fr)"
     sentinel_columns: tuple = ("pnns_groups_1", "pnns_groups_2")
