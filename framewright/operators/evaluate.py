@@ -203,6 +203,10 @@ def evaluate_clusters(df: DataFrame, features, label: str, kind: str = "kmeans",
     if kind not in ("kmeans", "dbscan"):
         raise ValueError("evaluate_clusters supports kind='kmeans' or 'dbscan'")
     spark = df.sparkSession
+    # every metric reads (key, label, features): project and cache them once
+    keep = [qcol(label)] + ([qcol(key)] if key is not None and key != label else [])
+    df = df.select(*keep, feature_array(df, features).alias("__fx")).persist()
+    features = "__fx"
     rows = []
     if kind == "dbscan":
         ns = noise_stats(df, label).first()
@@ -218,6 +222,7 @@ def evaluate_clusters(df: DataFrame, features, label: str, kind: str = "kmeans",
                  ("calinski_harabasz", calinski_harabasz(df, features, label)),
                  ("inertia", inertia(df, features, label)),
                  ("cluster_size_std", cluster_size_std(df, label, k=k))]
+    df.unpersist()
     return spark.createDataFrame([(m, None if v is None else float(v)) for m, v in rows], "metric string, value double")
 
 
