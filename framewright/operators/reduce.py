@@ -101,15 +101,26 @@ def top_loadings(df: DataFrame, cols: Sequence[str], top_n: int = 3, k: int | No
 
 def truncated_svd(df: DataFrame, cols: Sequence[str], k: int = 2, prefix: str = "svd",
                   keep: Sequence[str] = ()) -> DataFrame:
-    """Uncentred SVD of the standardised matrix (RowMatrix.computeSVD, a distributed
-    Gramian); returns X V with signs fixed like the PCA axes."""
-    from pyspark.mllib.linalg.distributed import RowMatrix
+    """Uncentred SVD of the standardised matrix; returns X V with signs fixed like the
+    PCA axes. The right singular vectors are the eigenvectors of the Gramian X^T X,
+    which is assembled on the JVM from two vector aggregates (Summarizer moments and
+    ``Correlation``): G = (n - 1) Cov + n mu mu^T. Only the d x d eigenproblem is local."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation, Summarizer
 
     _, moments = standardize_exprs(df, cols)
     std, _ = _std_exprs_from({"cols": list(cols), "moments": moments})
-    rows = df.select(F.array(*std).alias("a")).rdd.map(lambda r: [float(v) for v in r[0]])
-    svd = RowMatrix(rows).computeSVD(k, computeU=False)
-    v = np.array(svd.V.toArray().T, copy=True)
+    vec = VectorAssembler(inputCols=list(cols), outputCol="__v").transform(
+        df.select(*[e.alias(c) for e, c in zip(std, cols)])).select("__v").persist()
+    s = vec.agg(Summarizer.metrics("mean", "variance", "count").summary(F.col("__v")).alias("s")).first()["s"]
+    n, mu, var = float(s["count"]), s["mean"].toArray(), s["variance"].toArray()
+    corr = np.nan_to_num(Correlation.corr(vec, "__v").first()[0].toArray())
+    sd = np.sqrt(np.maximum(var, 0.0))
+    gram = (n - 1.0) * corr * np.outer(sd, sd) + n * np.outer(mu, mu)
+    vec.unpersist()
+    eigval, eigvec = np.linalg.eigh(gram)
+    order = np.argsort(eigval)[::-1][:k]
+    v = np.array(eigvec[:, order].T, copy=True)
     for i in range(len(v)):
         j = int(np.argmax(np.abs(v[i])))
         if v[i, j] < 0:
