@@ -11,6 +11,7 @@ neighbours; the rest are noise (-1).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -21,8 +22,8 @@ from pyspark.sql import functions as F
 from ..functions.stats import qcol
 from ..session import cut_lineage
 from .evaluate import feature_array, silhouette_squared
-from .neighbours import (_cell, _chunked_pairs, _neighbour_cells, _prepare, grid_basis, grid_dims_of,
-                         pairwise_distance, prepared_neighbour_counts, with_grid_coords)
+from .neighbours import (_cell, _chunked_pairs, _count_kernel, _neighbour_cells, _offsets, _prepare, grid_basis,
+                         grid_dims_of, pairwise_distance, prepared_neighbour_counts, with_grid_coords)
 
 
 def _vectors(df: DataFrame, features, out: str = "features") -> DataFrame:
@@ -246,11 +247,124 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     return labels
 
 
+def _box_dist2(x, lo, hi, farthest: bool):
+    """Squared distance from point x to the nearest (or farthest) point of box [lo, hi]."""
+    z = F.arrays_zip(x.alias("x"), lo.alias("lo"), hi.alias("hi"))
+    if farthest:
+        term = lambda s: F.greatest(F.abs(s["x"] - s["lo"]), F.abs(s["x"] - s["hi"]))
+    else:
+        term = lambda s: F.greatest(s["lo"] - s["x"], F.lit(0.0), s["x"] - s["hi"])
+    return F.aggregate(z, F.lit(0.0), lambda acc, s: acc + term(s) * term(s))
+
+
+def _box_box_dist2(lo_a, hi_a, lo_b, hi_b, farthest: bool):
+    """Squared smallest (or largest) distance between two boxes."""
+    z = F.arrays_zip(lo_a.alias("la"), hi_a.alias("ha"), lo_b.alias("lb"), hi_b.alias("hb"))
+    if farthest:
+        term = lambda s: F.greatest(F.abs(s["hb"] - s["la"]), F.abs(s["ha"] - s["lb"]))
+    else:
+        term = lambda s: F.greatest(s["lb"] - s["ha"], F.lit(0.0), s["la"] - s["hb"])
+    return F.aggregate(z, F.lit(0.0), lambda acc, s: acc + term(s) * term(s))
+
+
+def _dbscan_dense_grid(p: DataFrame, d: int, eps: float, min_samples: int, chunk_rows: int) -> DataFrame:
+    """DBSCAN when the grid covers every coordinate. Cells of side eps/sqrt(d): all points
+    of a cell are within eps of each other, so a cell with min_samples points is all core
+    and one component without any distance work. Per-cell bounding boxes decide most
+    neighbour counts and cell links outright (box entirely inside / outside eps); only
+    undecided (point, cell) and (cell, cell) pairs go to the chunked kernel. Components
+    are found over cell representatives. Returns (id, label), label = smallest core id."""
+    side = eps / math.sqrt(d)
+    ring = max(1, math.ceil(math.sqrt(d) - 1e-12))
+    e2 = eps * eps
+    x = F.col("x")
+    lo_expr = F.array(*[F.min(x[i]) for i in range(d)])
+    hi_expr = F.array(*[F.max(x[i]) for i in range(d)])
+    p = p.withColumn("c", _cell(x, side, d)).persist()
+    cells = p.groupBy("c").agg(F.count(F.lit(1)).alias("n"), lo_expr.alias("lo"), hi_expr.alias("hi")).persist()
+
+    # ---- core points: dense cells are core outright; sparse-cell points are counted
+    sparse = p.join(cells.where(F.col("n") < min_samples).select("c"), "c")
+    near = (sparse.select("id", "x", F.explode(_neighbour_cells(F.col("x"), side, d, ring)).alias("nc"))
+            .join(cells.select(F.col("c").alias("nc"), "n", "lo", "hi"), "nc")
+            .withColumn("far2", _box_dist2(x, F.col("lo"), F.col("hi"), True))
+            .withColumn("near2", _box_dist2(x, F.col("lo"), F.col("hi"), False))
+            .where(F.col("near2") <= e2)).persist()
+    whole = near.where(F.col("far2") <= e2).groupBy("id").agg(F.sum("n").alias("n_whole"))
+    check_q = near.where(F.col("far2") > e2).select("id", F.col("nc").alias("g"), "x")
+    donors = p.select("id", F.col("c").alias("g"), "x", F.lit(None).cast("double").alias("payload"))
+    partial = (_chunked_pairs(check_q, donors, chunk_rows)
+               .groupBy("g", "qc", "dc").applyInPandas(_count_kernel(eps), "qid long, n long")
+               .groupBy(F.col("qid").alias("id")).agg(F.sum("n").alias("n_part")))
+    sparse_core = (sparse.select("id").join(whole, "id", "left").join(partial, "id", "left")
+                   .where(F.coalesce("n_whole", F.lit(0)) + F.coalesce("n_part", F.lit(0)) >= min_samples)
+                   .select("id"))
+    dense_ids = p.join(cells.where(F.col("n") >= min_samples).select("c"), "c").select("id")
+    core = p.join(dense_ids.unionByName(sparse_core), "id").select("id", "c", "x").persist()
+
+    # ---- cell components: every core point of a cell joins the cell's representative
+    ccell = core.groupBy("c").agg(F.min("id").alias("rep"), lo_expr.alias("lo"), hi_expr.alias("hi")).persist()
+    # neighbour cells by cell index: ring offsets applied to the cell id
+    offs = F.array(*[F.array(*[F.lit(v).cast("long") for v in o]) for o in _offsets(d, ring)])
+    pairs = (ccell.select(F.col("c").alias("ca"), F.col("rep").alias("ra"), F.col("lo").alias("la"),
+                          F.col("hi").alias("ha"),
+                          F.explode(F.transform(offs, lambda o: F.zip_with(F.col("c"), o, lambda a, b: a + b)))
+                          .alias("cb"))
+             .join(ccell.select(F.col("c").alias("cb"), F.col("rep").alias("rb"), F.col("lo").alias("lb"),
+                                F.col("hi").alias("hb")), "cb")
+             .where(F.col("ra") < F.col("rb"))
+             .withColumn("near2", _box_box_dist2(F.col("la"), F.col("ha"), F.col("lb"), F.col("hb"), False))
+             .withColumn("far2", _box_box_dist2(F.col("la"), F.col("ha"), F.col("lb"), F.col("hb"), True))
+             .where(F.col("near2") <= e2)).persist()
+    sure = pairs.where(F.col("far2") <= e2).select(F.col("ra").alias("src"), F.col("rb").alias("dst"))
+    undecided = pairs.where(F.col("far2") > e2).select("ca", "cb")
+    qa = core.join(undecided.withColumnRenamed("ca", "c"), "c").select("id", F.col("cb").alias("g"), "x")
+    db = core.join(ccell.select("c", "rep"), "c").select("id", F.col("c").alias("g"), "x",
+                                                         F.col("rep").cast("double").alias("payload"))
+    witnessed = (_chunked_pairs(qa, db, chunk_rows)
+                 .groupBy("g", "qc", "dc").applyInPandas(_min_label_kernel(eps), "qid long, label long")
+                 .join(core.join(ccell.select("c", "rep"), "c").select(F.col("id").alias("qid"), "rep"), "qid")
+                 .select(F.col("rep").alias("src"), F.col("label").alias("dst")).distinct())
+    rep_comp = connected_components(ccell.select(F.col("rep").alias("id")), sure.unionByName(witnessed))
+    comp = (core.join(ccell.select("c", "rep"), "c")
+            .join(rep_comp.select(F.col("id").alias("rep"), "label"), "rep").select("id", "label")).persist()
+
+    # ---- border points: smallest label among core neighbours within eps
+    clab = ccell.join(rep_comp.select(F.col("id").alias("rep"), "label"), "rep")
+    noncore = p.join(core.select("id"), "id", "left_anti")
+    nb = (noncore.select("id", "x", F.explode(_neighbour_cells(F.col("x"), side, d, ring)).alias("nc"))
+          .join(clab.select(F.col("c").alias("nc"), "lo", "hi", "label"), "nc")
+          .withColumn("near2", _box_dist2(x, F.col("lo"), F.col("hi"), False))
+          .withColumn("far2", _box_dist2(x, F.col("lo"), F.col("hi"), True))
+          .where(F.col("near2") <= e2))
+    by_box = nb.where(F.col("far2") <= e2).select("id", "label")
+    bq = nb.where(F.col("far2") > e2).select("id", F.col("nc").alias("g"), "x")
+    bd = comp.join(core, "id").select("id", F.col("c").alias("g"), "x", F.col("label").cast("double").alias("payload"))
+    by_points = (_chunked_pairs(bq, bd, chunk_rows)
+                 .groupBy("g", "qc", "dc").applyInPandas(_min_label_kernel(eps), "qid long, label long")
+                 .select(F.col("qid").alias("id"), "label"))
+    border = by_box.unionByName(by_points).groupBy("id").agg(F.min("label").alias("label"))
+    return comp.unionByName(border)
+
+
 def dbscan(df: DataFrame, features, key: str, eps: float = 1.5, min_samples: int = 10, grid_dims: int = 2,
            chunk_rows: int = 2048, out: str = "cluster") -> DataFrame:
     """Density clustering: label per row (noise = -1). Clusters are numbered 0.. in the
-    order of their smallest core key (the scan order of the classic algorithm)."""
+    order of their smallest core key (the scan order of the classic algorithm).
+
+    When the vectors have at most ``grid_dims`` coordinates the dense-grid method is used
+    (no work inside dense cells, box tests between cells); wider vectors use cells of side
+    eps on their top principal axes and point-level neighbour work."""
     p = _prepare(df, features, key)
+    d_full = len(p.select("x").first()[0]) if p.take(1) else 0
+    if 0 < d_full <= grid_dims:
+        from ..sources.sinks import with_row_number
+        labels = _dbscan_dense_grid(p, d_full, eps, min_samples, chunk_rows)
+        numbering = with_row_number(labels.select("label").distinct(), ["label"], "cluster_no")
+        lab = cut_lineage(labels.join(numbering, "label").select(F.col("id").alias("__id"),
+                                                                 F.col("cluster_no").cast("int").alias(out)))
+        res = df.join(lab, qcol(key).cast("long") == F.col("__id"), "left").drop("__id")
+        return res.withColumn(out, F.coalesce(F.col(out), F.lit(-1)))
     m = grid_dims_of(p, grid_dims)
     p = with_grid_coords(p, m, grid_basis(p, m)).persist()
     counts = prepared_neighbour_counts(p, eps, m, chunk_rows)
