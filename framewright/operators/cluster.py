@@ -348,16 +348,28 @@ def _dbscan_dense_grid(p: DataFrame, d: int, eps: float, min_samples: int, chunk
 
 
 def dbscan(df: DataFrame, features, key: str, eps: float = 1.5, min_samples: int = 10, grid_dims: int = 2,
-           chunk_rows: int = 2048, out: str = "cluster") -> DataFrame:
+           chunk_rows: int = 2048, out: str = "cluster", method: str = "auto",
+           hot_cell_rows: int = 50_000) -> DataFrame:
     """Density clustering: label per row (noise = -1). Clusters are numbered 0.. in the
     order of their smallest core key (the scan order of the classic algorithm).
 
-    When the vectors have at most ``grid_dims`` coordinates the dense-grid method is used
-    (no work inside dense cells, box tests between cells); wider vectors use cells of side
-    eps on their top principal axes and point-level neighbour work."""
+    Two exact methods. ``dense_grid`` (vectors with at most ``grid_dims`` coordinates):
+    no work inside dense cells and box tests between cells, so a hot cell — e.g. a third
+    of the rows sharing one value — costs linear work. ``points``: cells of side eps on the
+    top principal axes and point-level neighbour work, faster on evenly spread data.
+    ``auto`` counts the largest eps/sqrt(d) cell (one aggregate) and takes ``dense_grid``
+    when it holds at least ``hot_cell_rows`` rows."""
     p = _prepare(df, features, key)
     d_full = len(p.select("x").first()[0]) if p.take(1) else 0
-    if 0 < d_full <= grid_dims:
+    use_dense = method == "dense_grid"
+    if method == "auto" and 0 < d_full <= grid_dims:
+        side = eps / math.sqrt(d_full)
+        biggest = (p.groupBy(_cell(F.col("x"), side, d_full).alias("c")).count()
+                   .agg(F.max("count")).first()[0] or 0)
+        use_dense = biggest >= hot_cell_rows
+    if use_dense and not 0 < d_full <= grid_dims:
+        raise ValueError("the dense-grid method needs vectors with at most grid_dims coordinates")
+    if use_dense:
         from ..sources.sinks import with_row_number
         labels = _dbscan_dense_grid(p, d_full, eps, min_samples, chunk_rows)
         numbering = with_row_number(labels.select("label").distinct(), ["label"], "cluster_no")
