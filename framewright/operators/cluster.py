@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import qcol
-from ..session import cut_lineage
+from ..session import cut_lineage, materialize
 from .evaluate import feature_array, silhouette_squared
 from .neighbours import (_cell, _chunked_pairs, _count_kernel, _neighbour_cells, _offsets, _prepare, grid_basis,
                          grid_dims_of, pairwise_distance, prepared_neighbour_counts, with_grid_coords)
@@ -60,7 +60,8 @@ def kmeans(df: DataFrame, features, k: int = 5, seed: int = 42, out: str = "clus
     # features are dense arrays: the blocked (GEMM) solver computes the same centres faster
     model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=eps, featuresCol="__features", predictionCol=out,
                    solver="block").fit(v)
-    labelled = model.transform(v).drop("__features")
+    v.unpersist()  # the labelled frame re-derives the (cheap) vectors from its source
+    labelled = model.transform(_vectors(df, features, "__features")).drop("__features")
     return labelled, model
 
 
@@ -344,7 +345,7 @@ def _dbscan_dense_grid(p: DataFrame, d: int, eps: float, min_samples: int, chunk
                  .groupBy("g", "qc", "dc").applyInPandas(_min_label_kernel(eps), "qid long, label long")
                  .select(F.col("qid").alias("id"), "label"))
     border = by_box.unionByName(by_points).groupBy("id").agg(F.min("label").alias("label"))
-    return comp.unionByName(border)
+    return materialize(comp.unionByName(border), [p, cells, near, core, ccell, pairs, comp])
 
 
 def dbscan(df: DataFrame, features, key: str, eps: float = 1.5, min_samples: int = 10, grid_dims: int = 2,

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import qcol, quantiles
+from ..session import cut_lineage
 
 EULER_GAMMA = 0.5772156649015329
 
@@ -151,7 +152,8 @@ def isolation_forest_flag(df: DataFrame, col: str | Sequence[str], key: str, con
     """0/1 column ``outlier_iforest_<col>``: score above the (1 - contamination) quantile."""
     cols = [col] if isinstance(col, str) else list(col)
     name = f"outlier_iforest_{'_'.join(cols)}"
-    scored = isolation_forest_scores(df, cols, key, n_trees, max_samples, seed, "__score").persist()
+    # checkpointed: the scores feed the cut and the flags without re-running the forest
+    scored = cut_lineage(isolation_forest_scores(df, cols, key, n_trees, max_samples, seed, "__score"))
     cut = quantiles(scored, ["__score"], [1.0 - contamination])["__score"][0]
     flag = F.coalesce(F.col("__score") > F.lit(cut), F.lit(False)) if cut is not None else F.lit(False)
     return scored.withColumn(name, flag.cast("int")).drop("__score")

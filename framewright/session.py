@@ -61,3 +61,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(result: DataFrame, cached: list[DataFrame]) -> DataFrame:
+    """Checkpoint an iterative operator's result, then release the intermediates it cached,
+    so a long session does not accumulate cached blocks."""
+    out = cut_lineage(result)
+    for frame in cached:
+        frame.unpersist()
+    return out

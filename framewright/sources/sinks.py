@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from ..functions.stats import qcol, string_columns
+from ..session import cut_lineage
 
 
 def sink_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
@@ -28,8 +29,10 @@ def with_row_number(df: DataFrame, order_by: Sequence[str], name: str = "index",
     parts = partitions or max(spark.sparkContext.defaultParallelism,
                               int(spark.conf.get("spark.sql.shuffle.partitions")))
     keys = [qcol(c) for c in order_by]
-    ranged = (df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-              .withColumn("__pid", F.spark_partition_id())).persist()
+    # checkpointed, not cached: partition ids stay stable even if executors are lost,
+    # and nothing stays cached in the session
+    ranged = cut_lineage(df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+                         .withColumn("__pid", F.spark_partition_id()))
     sizes = {r["__pid"]: r["n"] for r in ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect()}
     offsets, running = {}, 0
     for pid in sorted(sizes):
