@@ -60,8 +60,8 @@ def one_row(df: DataFrame, exprs: Sequence[Column]) -> dict:
 # an approximate sketch brackets the wanted rank, exact counts confirm the bracket,
 # and only a bracket holding at most ``collect_limit`` values is sorted (its values,
 # not the column, reach the driver). Each refinement shrinks the bracket by about
-# accuracy/4, so a trillion-row column needs two rounds; the first sketch is taken in
-# the same scan that counts the column.
+# accuracy/4, so a trillion-row column needs two rounds. When the plan's size estimate
+# says the input is big, the first sketch is taken in the same scan that counts it.
 # ---------------------------------------------------------------------------
 
 def _in_bracket(c: Column, lo, hi) -> Column:
@@ -162,8 +162,18 @@ def order_statistics(df: DataFrame, wanted: dict[str, Iterable[int]], counts: di
     return result
 
 
+def estimated_bytes(df: DataFrame) -> float:
+    """Catalyst's size estimate of the optimised plan (file sizes for scans); 0 if unknown."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return float(size if isinstance(size, (int, float)) else size.toString())
+    except Exception:  # noqa: BLE001 - an estimate only steers a cost choice
+        return 0.0
+
+
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], relative_error: float | None = None,
-              collect_limit: int = 1_000_000, accuracy: int = 10_000) -> dict[str, list]:
+              collect_limit: int = 1_000_000, accuracy: int = 10_000,
+              sketch_first_bytes: float = 8e9) -> dict[str, list]:
     """Per-column quantiles, nulls ignored. Exact (linear interpolation) unless
     ``relative_error`` is given, in which case ``percentile_approx`` is used."""
     cols = list(cols)
@@ -174,11 +184,15 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], relati
         acc = max(1, int(round(1.0 / relative_error)))
         row = one_row(df, [F.percentile_approx(as_double(c), probs, acc).alias(c) for c in cols])
         return {c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in cols}
-    # one scan: counts, plus the first sketch bracket around every wanted rank
+    # first scan: counts, plus — when the input is estimated big enough to need it — the
+    # first sketch bracket around every wanted rank (saves a full pass; on small inputs
+    # the sketch would be wasted CPU, since the column fits in one sorted bracket)
     delta = 4.0 / accuracy
     sketch_ps = [min(1.0, max(0.0, p + d)) for p in probs for d in (-delta, delta)]
+    sketch_first = estimated_bytes(df) >= sketch_first_bytes
     exprs = [F.count(qcol(c)).alias(f"n_{i}") for i, c in enumerate(cols)]
-    exprs += [F.percentile_approx(as_double(c), sketch_ps, accuracy).alias(f"s_{i}") for i, c in enumerate(cols)]
+    if sketch_first:
+        exprs += [F.percentile_approx(as_double(c), sketch_ps, accuracy).alias(f"s_{i}") for i, c in enumerate(cols)]
     row = df.agg(*exprs).first()
     counts = {c: row[f"n_{i}"] for i, c in enumerate(cols)}
     plan, initial = {}, {}
@@ -193,7 +207,7 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], relati
             k0 = int(math.floor(h))
             k1 = min(k0 + 1, n - 1)
             plan[c].append((k0, k1, h - k0))
-            if n > collect_limit:
+            if n > collect_limit and sketch_first:
                 bracket = (row[f"s_{i}"][2 * j], row[f"s_{i}"][2 * j + 1])
                 initial.setdefault((c, k0), bracket)
                 initial.setdefault((c, k1), bracket)

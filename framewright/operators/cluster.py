@@ -60,8 +60,8 @@ def kmeans(df: DataFrame, features, k: int = 5, seed: int = 42, out: str = "clus
     # features are dense arrays: the blocked (GEMM) solver computes the same centres faster
     model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=eps, featuresCol="__features", predictionCol=out,
                    solver="block").fit(v)
-    v.unpersist()  # the labelled frame re-derives the (cheap) vectors from its source
-    labelled = model.transform(_vectors(df, features, "__features")).drop("__features")
+    # label once, checkpoint the labels, then release the cached vectors
+    labelled = materialize(model.transform(v).drop("__features"), [v])
     return labelled, model
 
 
