@@ -58,9 +58,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
+    """Reliable checkpoint into the shared checkpoint folder (survives executor loss).
+
+    The frame is cached while it is checkpointed: the checkpoint files are written by a
+    second job, which would otherwise compute the whole plan again."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 def materialize(result: DataFrame, cached: list[DataFrame]) -> DataFrame:
