@@ -49,27 +49,36 @@ def centroids(df: DataFrame, features, label: str) -> DataFrame:
     return s.select(F.col("__l"), F.col("__s.count").alias("__n"), vector_to_array(F.col("__s.mean")).alias("__c"))
 
 
-def _with_centroid(df: DataFrame, features, label: str) -> DataFrame:
+def _with_centroid(df: DataFrame, features, label: str) -> tuple[DataFrame, DataFrame]:
+    """(rows joined to their centroid, the cached centroid table to release after use)."""
     # one row per cluster: broadcast after a size check (a near-unique label would not be)
     cent = checked_broadcast(centroids(df, features, label))
-    return df.select(qcol(label).alias("__l"), feature_array(df, features).alias("__x")).join(cent, "__l")
+    joined = df.select(qcol(label).alias("__l"), feature_array(df, features).alias("__x")).join(cent, "__l")
+    return joined, cent
 
 
 # --------------------------------------------------------------------------- centroid metrics
 def inertia(df: DataFrame, features, label: str) -> float:
     """Sum of squared distances of points to their cluster centroid."""
-    j = _with_centroid(df, features, label)
-    return float(j.agg(F.sum(sq_dist(F.col("__x"), F.col("__c")))).first()[0] or 0.0)
+    j, cent = _with_centroid(df, features, label)
+    value = float(j.agg(F.sum(sq_dist(F.col("__x"), F.col("__c")))).first()[0] or 0.0)
+    cent.unpersist()
+    return value
 
 
 def davies_bouldin(df: DataFrame, features, label: str) -> float | None:
     """mean over clusters of max_{j != i} (s_i + s_j) / d(c_i, c_j), s = mean distance to centroid."""
-    j = _with_centroid(df, features, label)
-    per = j.groupBy("__l").agg(F.avg(F.sqrt(sq_dist(F.col("__x"), F.col("__c")))).alias("s"), F.first("__c").alias("c"))
+    j, cent = _with_centroid(df, features, label)
+    per = j.groupBy("__l").agg(F.avg(F.sqrt(sq_dist(F.col("__x"), F.col("__c")))).alias("s"),
+                               F.first("__c").alias("c")).persist()
     k = per.count()
     if k > MAX_PAIRWISE_CLUSTERS:
+        per.unpersist()
+        cent.unpersist()
         raise ValueError(f"davies_bouldin compares all centroid pairs; {k} clusters exceed {MAX_PAIRWISE_CLUSTERS}")
     s = per.collect()
+    per.unpersist()
+    cent.unpersist()
     if len(s) < 2:
         return None
     sc = np.array([r["s"] for r in s])
