@@ -72,7 +72,8 @@ def q_sink_tsv_with_index(spark, sf):
 @query("sink_sparse_onehot")
 def q_sink_sparse_onehot(spark, sf):
     path = scratch(spark)
-    written = SK.sink_sparse_onehot(table(spark, sf, "part").select("p_type", "p_brand"), path)
+    written = SK.sink_sparse_onehot(table(spark, sf, "part").select("p_partkey", "p_type", "p_brand"), path,
+                                    key="p_partkey")
     return spark.read.parquet(written["p_brand"])
 
 

@@ -62,8 +62,9 @@ def sink_tsv_with_index(df: DataFrame, path: str, order_by: Sequence[str], mode:
 
 
 def sink_sparse_onehot(df: DataFrame, out_dir: str, cols: Sequence[str] | None = None, min_freq: float = 0.01,
-                       mode: str = "overwrite") -> dict[str, str]:
-    """One parquet artefact per categorical column holding its sparse one-hot vector.
+                       mode: str = "overwrite", key: str | None = None) -> dict[str, str]:
+    """One parquet artefact per categorical column holding its sparse one-hot vector,
+    next to ``key`` when given (rows have no position to align on in a distributed table).
 
     Rare categories (share < min_freq) are merged first, which bounds the vector width
     by 1/min_freq + 1."""
@@ -71,14 +72,16 @@ def sink_sparse_onehot(df: DataFrame, out_dir: str, cols: Sequence[str] | None =
 
     from ..operators.encode import merge_rare
 
-    cols = list(cols) if cols is not None else string_columns(df)
+    cols = [c for c in (list(cols) if cols is not None else string_columns(df)) if c != key]
     merged = merge_rare(df, cols, threshold=min_freq)
+    keep = [qcol(key)] if key else []
     written = {}
     for c in cols:
         idx = StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep", stringOrderType="alphabetAsc")
         enc = OneHotEncoder(inputCol=f"{c}__idx", outputCol=f"{c}__onehot", dropLast=False)
         fitted = idx.fit(merged)
-        out = enc.fit(fitted.transform(merged)).transform(fitted.transform(merged)).select(f"{c}__onehot")
+        indexed = fitted.transform(merged)
+        out = enc.fit(indexed).transform(indexed).select(*keep, f"{c}__onehot")
         target = f"{out_dir.rstrip('/')}/{c}"
         out.write.mode(mode).parquet(target)
         written[c] = target
