@@ -120,7 +120,7 @@ def negative_values(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
 def error_report(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.5) -> DataFrame:
     """Long form (error_type, column_name, n): missing values, duplicate rows, nested
     types, IQR outlier rows and negative values."""
-    from .clean import iqr_outlier_rows
+    from ..functions.stats import tukey_fences
 
     spark = df.sparkSession
     nums = list(cols) if cols is not None else numeric_columns(df)
@@ -131,8 +131,16 @@ def error_report(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.
         F.col("n_duplicates").alias("n"))
     nested = spark.createDataFrame([("invalid_data_types", c, None) for c in nested_type_columns(df)],
                                    "error_type string, column_name string, n bigint")
-    outl = (iqr_outlier_rows(df, nums, k=k).groupBy("column_name").count()
-            .select(F.lit("outliers").alias("error_type"), "column_name", F.col("count").alias("n")))
+    # outlier rows per column: one conditional count per column over the fitted fences
+    fences = tukey_fences(df, nums, k)
+    live = [c for c in nums if fences[c][2] is not None]
+    if live:
+        counts = df.agg(*[F.count_if((as_double(c) < fences[c][2]) | (as_double(c) > fences[c][3])).alias(c)
+                          for c in live])
+        outl = (_long(counts, live, "n").where(F.col("n") > 0)
+                .select(F.lit("outliers").alias("error_type"), "column_name", "n"))
+    else:
+        outl = spark.createDataFrame([], "error_type string, column_name string, n bigint")
     neg = negative_values(df, nums).select(F.lit("inconsistent_values").alias("error_type"), "column_name",
                                            F.col("n_negative").alias("n"))
     return missing.unionByName(dups).unionByName(nested).unionByName(outl).unionByName(neg)
