@@ -21,8 +21,6 @@ def test_entry_runs(spark):
 
 def test_oracle_keys_are_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    for key in entry.queries():
-        assert "pipeline" not in key
 
 
 def _norm(v):
