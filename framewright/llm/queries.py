@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import budget_mix, vector_packing
+from . import budget_mix, feistel_pii, mil_quality, url_boosting, vector_packing
 from .frames import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,22 @@ def query(key: str, sql: str | None = None):
     return add
 
 
+@query("op5_url_boosting")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_boosting.judge(read_table(spark, sf_dir, "pages"))
+
+
+@query("op7_feistel_pii")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feistel_pii.pseudonymise(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op8_mil_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return mil_quality.score(docs, read_table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 @query("op9_vector_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_packing.shard(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
