@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import budget_mix, feistel_pii, mil_quality, url_boosting, vector_packing
+from . import ann_multiprobe, budget_mix, feistel_pii, mil_quality, multi_index, url_boosting, vector_packing
 from .frames import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,24 @@ def query(key: str, sql: str | None = None):
     return add
 
 
+@query("op2_ann_multiprobe")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_multiprobe.search(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_multi_index", """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings),
+good AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0),
+links AS (SELECT a.vec_id AS u, b.vec_id AS w FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_inner_product(a.e, b.e) / (sqrt(list_inner_product(a.e, a.e)) * sqrt(list_inner_product(b.e, b.e))) >= 0.98),
+reach AS (SELECT vec_id AS u, vec_id AS w FROM v UNION SELECT r.u, l.w FROM reach r JOIN links l ON r.w = l.u),
+low AS (SELECT u, min(w) AS component_id FROM reach GROUP BY u)
+SELECT v.vec_id, (SELECT count(*) FROM links WHERE links.u = v.vec_id) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN low ON low.u = v.vec_id""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.link(read_table(spark, sf_dir, "embeddings"))
+
+
 @query("op5_url_boosting")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_boosting.judge(read_table(spark, sf_dir, "pages"))
