@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann_multiprobe, budget_mix, feistel_pii, mil_quality, multi_index, url_boosting, vector_packing
+from . import ann_multiprobe, budget_mix, feistel_pii, line_dedup, mil_quality, multi_index, set_join, url_boosting, vector_packing
 from .frames import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,14 +22,19 @@ def query(key: str, sql: str | None = None):
     return add
 
 
+@query("op1_line_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.mark(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op2_ann_multiprobe")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_multiprobe.search(read_table(spark, sf_dir, "embeddings"))
 
 
 @query("op3_multi_index", """
-WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings),
-good AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0),
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+good AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
 links AS (SELECT a.vec_id AS u, b.vec_id AS w FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
           WHERE list_inner_product(a.e, b.e) / (sqrt(list_inner_product(a.e, a.e)) * sqrt(list_inner_product(b.e, b.e))) >= 0.98),
 reach AS (SELECT vec_id AS u, vec_id AS w FROM v UNION SELECT r.u, l.w FROM reach r JOIN links l ON r.w = l.u),
@@ -45,6 +50,23 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_boosting.judge(read_table(spark, sf_dir, "pages"))
 
 
+@query("op6_set_join", """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM w),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, md5(s) AS s FROM g),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS u, b.doc_id AS w, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT u, w FROM common JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = w WHERE 100 * c >= 85 * (x.n + y.n - c)),
+sym AS (SELECT u, w FROM links UNION ALL SELECT w, u FROM links),
+reach AS (SELECT doc_id AS u, doc_id AS w FROM documents UNION SELECT r.u, l.w FROM reach r JOIN sym l ON r.w = l.u)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT u, min(w) AS component_id FROM reach GROUP BY u) r ON r.u = d.doc_id""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return set_join.join(docs).select("doc_id", "n_shingles", "component_id")
+
+
 @query("op7_feistel_pii")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feistel_pii.pseudonymise(read_table(spark, sf_dir, "documents").select("doc_id", "text"))

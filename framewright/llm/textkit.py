@@ -99,8 +99,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarr
         if b - a >= k:
             out.append(np.unique(grams[a:b - k + 1]))
         else:
-            short = np.uint64(b - a)
+            short = np.full(min(b - a, 1), b - a, dtype=np.uint64)
             for w in words[a:b]:
-                short = mix64(np.array([short * _P + w]))[0]
-            out.append(np.array([short] if b > a else [], dtype=np.uint64))
+                short = mix64(short * _P + w)
+            out.append(short)
     return out
