@@ -63,6 +63,8 @@ class Pieces:
         hashes = np.array([self.hash_of(self.text[i]) for i in normal], dtype=np.uint64)
         by = np.argsort(hashes)
         self.keys, self.ids = hashes[by], np.array(normal, dtype=np.int32)[by]
+        self.maybe = np.zeros(1 << 20, dtype=bool)  # low bits of the keys: spares most probes that would miss
+        self.maybe[hashes & np.uint64(len(self.maybe) - 1)] = True
         self.bare_feed = not any("\n" in self.text[i] for i in normal)
         self.rank = {self.text[i]: self.score[i] for i in normal}
         # pairs of pieces looked at so far (sorted), and words encoded so far
@@ -121,8 +123,8 @@ class Pieces:
             at = np.searchsorted(self.pairs, key)
         return self.valid[at]
 
-    def viterbi(self, codes: np.ndarray) -> list[list[int]]:
-        """Piece ids of words of equal length, given as code points (words x length); -2 for unknown characters."""
+    def viterbi(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(piece ids, pieces of each word) of words of equal length, given as code points (words x length); -2 for unknown characters."""
         n, size = codes.shape
         score = np.full((n, size + 1), -np.inf)
         last = np.full((n, size + 1), -1, dtype=np.int32)
@@ -135,17 +137,20 @@ class Pieces:
             hashes[:, first:end] = hashes[:, first:end] * _P + (codes[:, end - 1:end].astype(np.uint64) + np.uint64(1))
             span = np.arange(end - first, 0, -1).astype(np.uint64)
             key = mix64(hashes[:, first:end] + span)
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = self.keys[at] == key
-            cand = np.where(hit, self.ids[at], -1)
+            row, col = np.nonzero(self.maybe[key & np.uint64(len(self.maybe) - 1)])
+            probe = key[row, col]
+            at = np.minimum(np.searchsorted(self.keys, probe), len(self.keys) - 1)
+            hit = self.keys[at] == probe
+            row, col, piece = row[hit], col[hit], self.ids[at[hit]]
+            cand = np.full(key.shape, -1, dtype=np.int32)
+            cand[row, col] = piece
+            value = np.full(key.shape, -np.inf)
             if self.merging:
-                row, col = np.nonzero(hit)
-                good = self.follows(last[row, first + col], cand[row, col])
-                value = np.full(cand.shape, -np.inf)
+                good = self.follows(last[row, first + col], piece)
                 value[row[good], col[good]] = 0.0
             else:
-                value = np.where(hit, score[:, first:end] + self.score[cand], -np.inf)
-            unknown = ~hit[:, -1]  # a character that is no piece stands alone
+                value[row, col] = score[row, first + col] + self.score[piece]
+            unknown = cand[:, -1] < 0  # a character that is no piece stands alone
             if self.merging:
                 value[unknown] = -np.inf
                 value[unknown, -1] = 0.0
@@ -155,14 +160,13 @@ class Pieces:
             best = value.argmax(axis=1)
             rows = np.arange(n)
             score[:, end], back[:, end], last[:, end] = value[rows, best], first + best, cand[rows, best]
-        out: list[list[int]] = [[] for _ in range(n)]
+        ends = np.zeros((n, size + 1), dtype=bool)  # where the pieces of the best path end
         place, todo = np.full(n, size), np.arange(n)
         while len(todo):
-            for i, piece in zip(todo.tolist(), last[todo, place[todo]].tolist(), strict=True):
-                out[i].append(piece)
+            ends[todo, place[todo]] = True
             place[todo] = back[todo, place[todo]]
             todo = todo[place[todo] > 0]
-        return [p[::-1] for p in out]
+        return last[ends], ends.sum(axis=1)
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
@@ -170,19 +174,28 @@ class Pieces:
 
     def learn(self, words: list[str], cells: int = 1 << 16) -> None:
         """Encodes words not met so far; those of one length are a batch, cut to ``cells`` characters."""
-        out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
         by: dict[int, list[int]] = {}
         for i, w in enumerate(words):
             by.setdefault(len(w), []).append(i)
+        order, ids, counts = [], [], []
         for size, members in by.items():
             step = max(1, cells // size)
             for a in range(0, len(members), step):
                 some = members[a:a + step]
-                codes = np.frombuffer("".join(words[i] for i in some).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(len(some), size)
-                for i, row, ids in zip(some, codes, self.viterbi(codes), strict=True):
-                    out[i] = self.spelled(ids, row) if _UNK in ids else np.array(ids, dtype=np.int32)
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(x) for x in out])])
-        self.flat = np.concatenate([self.flat, *out])
+                codes = np.frombuffer("".join([words[i] for i in some]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(len(some), size)
+                got, n = self.viterbi(codes)
+                if _UNK in got:
+                    parts = [self.spelled(p.tolist(), row) for p, row in zip(np.split(got, np.cumsum(n)[:-1]), codes, strict=True)]
+                    got, n = np.concatenate(parts), np.array([len(p) for p in parts])
+                order += some
+                ids.append(got)
+                counts.append(n)
+        ids, counts, back = np.concatenate(ids), np.concatenate(counts), np.argsort(order)
+        begin = np.cumsum(counts) - counts
+        counts, begin = counts[back], begin[back]
+        ends = np.cumsum(counts)
+        self.flat = np.concatenate([self.flat, ids[np.arange(ends[-1]) + np.repeat(begin - (ends - counts), counts)]])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + ends])
 
     def spelled(self, ids: list[int], codes: np.ndarray) -> np.ndarray:
         """Unknown characters as byte pieces; one unknown id per run where the model has none."""

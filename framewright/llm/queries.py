@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import ann_multiprobe, budget_mix, feistel_pii, line_dedup, mil_quality, multi_index, set_join, url_boosting, vector_packing
+from . import ann_multiprobe, budget_mix, feistel_pii, line_dedup, mil_quality, multi_index, piece_codec, set_join, url_boosting, vector_packing
 from .frames import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +46,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.link(read_table(spark, sf_dir, "embeddings"))
 
 
+@query("op4_piece_codec")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = piece_codec.encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    back = piece_codec.decode(docs, out="decoded")
+    return back.select("doc_id", "ids", F.size("ids").alias("n_tokens"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
 @query("op5_url_boosting")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_boosting.judge(read_table(spark, sf_dir, "pages"))
