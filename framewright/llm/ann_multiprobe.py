@@ -139,6 +139,7 @@ def search(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", ev
         spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
         left = asked.join(grid, ["t", "key"]).select("t", "key", "id", "vec", deal("parts", 1).alias("p"), spread("blocks").alias("b"))
         right = index.join(grid, ["t", "key"]).select("t", "key", "id", "vec", deal("blocks", 2).alias("b"), spread("parts").alias("p"))
+        left, right = left.toDF(*left.columns), right.toDF(*right.columns)  # columns of their own
         by = ["t", "key", "b", "p"]
         got = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(ranked, "query_id long, id long, score double")
         best = got.groupBy("query_id", "id").agg(F.min("score").alias("score"))

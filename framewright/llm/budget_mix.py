@@ -37,10 +37,11 @@ def targets(sizes: list[int], weights: list[float], share: float = 1.5, cap: flo
 
 
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int = 1 << 16) -> np.ndarray:
-    """How many documents of each length make up ``budget`` words, or as near below as can be.
+    """How many documents of each length make up ``budget`` words, or come nearest to it.
 
     Proportional shares first, then the longest lengths until at most ``window`` words are left
-    open, then a bounded-knapsack programme (counts split into powers of two) over those words."""
+    open, then a bounded-knapsack programme (counts split into powers of two) over those words. The
+    programme looks as far above the budget as taking nothing more would be below it."""
     whole = int((lengths * counts).sum())
     if budget >= whole:
         return counts.copy()
@@ -53,21 +54,23 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int = 1 <<
             n = min(int(left[i]), (budget - window // 2) // int(lengths[i]))
             if n > 0:
                 take[i], left[i], budget = take[i] + n, left[i] - n, budget - n * int(lengths[i])
-    by = np.full(budget + 1, -1, dtype=np.int64)  # the item that first reached each sum
-    can = np.zeros(budget + 1, dtype=bool)
+    top = budget + min(budget, int(lengths[left > 0].max(initial=0)))
+    by = np.full(top + 1, -1, dtype=np.int64)  # the item that first reached each sum
+    can = np.zeros(top + 1, dtype=bool)
     can[0], items = True, []
     for i in np.argsort(lengths, kind="stable"):
         size, n, part = int(lengths[i]), int(left[i]), 1
-        while n > 0 and 0 < size <= budget and not can[budget]:
+        while n > 0 and 0 < size <= top and not can[budget]:
             k = min(part, n)
             n, part = n - k, part * 2
-            if (step := k * size) > budget:
+            if (step := k * size) > top:
                 break
             new = np.zeros_like(can)
             new[step:] = can[:-step] & ~can[step:]
             by[new], can = len(items), can | new
             items.append((i, k, step))
-    at = int(np.flatnonzero(can)[-1])
+    sums = np.flatnonzero(can)
+    at = int(sums[np.argmin(np.abs(sums - budget))])
     while at:
         i, k, step = items[by[at]]
         take[i] += k
