@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import qcol
 from ..session import cut_lineage, materialize
-from .evaluate import feature_array, silhouette_squared
+from .evaluate import feature_array, silhouette
 from .neighbours import (_cell, _chunked_pairs, _count_kernel, _neighbour_cells, _offsets, _prepare, grid_basis,
                          grid_dims_of, pairwise_distance, prepared_neighbour_counts, with_grid_coords)
 
@@ -74,14 +74,15 @@ def total_sum_of_squares(df: DataFrame, features) -> float:
     return float(j.agg(F.sum(sq_dist(F.col("__x"), F.col("__c")))).first()[0] or 0.0)
 
 
-def elbow_curve(df: DataFrame, features, max_clusters: int = 10, seed: int = 42) -> DataFrame:
-    """(k, inertia) for k = 1..max_clusters; the input is cached once for all fits."""
+def elbow_curve(df: DataFrame, features, max_clusters: int = 10, seed: int = 42, max_iter: int = 300,
+                eps: float = 1e-4) -> DataFrame:
+    """(k, inertia) for k = 1..max_clusters, fitted like ``kmeans``; the input is cached once for all fits."""
     from pyspark.ml.clustering import KMeans
 
     v = _vectors(df, features, "__features").select("__features").persist()
     rows = [(1, total_sum_of_squares(df, features))]
     for k in range(2, max_clusters + 1):
-        m = KMeans(k=k, seed=seed, featuresCol="__features").fit(v)
+        m = KMeans(k=k, seed=seed, maxIter=max_iter, tol=eps, featuresCol="__features", solver="block").fit(v)
         rows.append((k, float(m.summary.trainingCost)))
     v.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, inertia double")
@@ -112,7 +113,7 @@ def gmm_select_k(df: DataFrame, features, max_clusters: int = 10, seed: int = 42
     for k in range(2, max_clusters + 1):
         lab, _ = gmm(cached, features, k, seed)
         n_lab = lab.agg(F.count_distinct("cluster")).first()[0]
-        rows.append((k, silhouette_squared(lab, features, "cluster") if n_lab > 1 else None))
+        rows.append((k, silhouette(lab, features, "cluster") if n_lab > 1 else None))
     cached.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
@@ -124,7 +125,7 @@ def fit_predict_score(df: DataFrame, features, kind: str = "kmeans", k: int = 5,
         raise ValueError(f"unknown model kind {kind!r}; choose from {sorted(fitters)}")
     lab, _ = fitters[kind](df, features, k, seed)
     stats = lab.agg(F.count_distinct("cluster").alias("c"), F.count(F.lit(1)).alias("n")).first()
-    score = silhouette_squared(lab, features, "cluster") if 1 < stats["c"] < stats["n"] else None
+    score = silhouette(lab, features, "cluster") if 1 < stats["c"] < stats["n"] else None
     return lab, score
 
 
@@ -203,37 +204,17 @@ def _min_label_kernel(eps: float):
     return fn
 
 
-def _union_find_labels(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, smallest id of each id's component) for an edge list."""
-    ids, inv = np.unique(np.concatenate([src, dst]), return_inverse=True)
-    n = len(src)
-    roots = local_components(len(ids), inv[:n], inv[n:])
-    return ids, ids[roots]
-
-
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 200,
-                         local_edge_limit: int = 2_000_000) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """vertices(id), edges(src, dst) -> (id, label), label = smallest id of the component.
 
-    The edge list is counted first: at most ``local_edge_limit`` edges (a checked bound)
-    are solved by union-find on the driver; larger graphs run min-label propagation with
-    pointer jumping on Spark, one reliable checkpoint per round."""
+    Min-label propagation with pointer jumping on Spark, one reliable checkpoint per round, until
+    no label changes."""
     spark = vertices.sparkSession
     e = edges.select(F.col("src").cast("long"), F.col("dst").cast("long")).where(F.col("src") != F.col("dst"))
     e = cut_lineage(e.distinct())
-    n_edges = e.count()
-    if n_edges <= local_edge_limit:
-        pdf = e.toPandas()
-        if len(pdf):
-            ids, lab = _union_find_labels(pdf["src"].to_numpy(), pdf["dst"].to_numpy())
-            mapping = spark.createDataFrame(pd.DataFrame({"__v": ids, "__lab": lab}))
-        else:
-            mapping = spark.createDataFrame([], "__v long, __lab long")
-        return (vertices.select("id").join(mapping, F.col("id") == F.col("__v"), "left")
-                .select("id", F.coalesce("__lab", "id").alias("label")))
     und = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     labels = cut_lineage(vertices.select("id", F.col("id").alias("label")))
-    for _ in range(max_rounds):
+    while True:
         nb = und.join(labels.select(F.col("id").alias("src"), "label"), "src").select(F.col("dst").alias("id"), "label")
         new = labels.unionByName(nb).groupBy("id").agg(F.min("label").alias("label"))
         # pointer jumping: label(v) <- label(label(v))
@@ -244,8 +225,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         changed = hop.join(old, "id").where(F.col("label") != F.col("old")).limit(1).count()
         labels = hop
         if changed == 0:
-            break
-    return labels
+            return labels
 
 
 def _box_dist2(x, lo, hi, farthest: bool):

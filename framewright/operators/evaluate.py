@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.stats import checked_broadcast, qcol
-from .relational import sample_n, top_k_per_group
+from .relational import top_k_per_group
 
 MAX_PAIRWISE_CLUSTERS = 20_000  # Davies-Bouldin compares every pair of centroids
 
@@ -153,15 +153,11 @@ def _block_sums(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(out, ignore_index=True)
 
 
-def silhouette_exact(df: DataFrame, features, label: str, key: str, sample_size: int | None = 10_000,
-                     seed: int = 42, block_rows: int = 1_000) -> float | None:
-    """Mean euclidean silhouette. With ``sample_size`` the points are the ``sample_size``
-    smallest md5(seed:key) (a repeatable sample, as the reference samples 10 000 rows);
-    ``None`` uses every row — all n^2 distances, so only for bounded inputs."""
+def silhouette_exact(df: DataFrame, features, label: str, key: str, block_rows: int = 1_000) -> float | None:
+    """Mean euclidean silhouette of every row given: all n^2 distances, in blocks, so only for
+    inputs that the caller has bounded. ``silhouette`` is the measure for whole tables."""
     pts = df.select(qcol(key).alias("__key"), qcol(label).cast("long").alias("cl"),
                     feature_array(df, features).alias("x"))
-    if sample_size is not None:
-        pts = sample_n(pts, sample_size, "__key", seed)
     integral = isinstance(df.schema[key].dataType, T.IntegralType)
     pts = pts.withColumn("id", F.col("__key").cast("long") if integral else F.xxhash64("__key")).persist()
     n = pts.count()
@@ -195,20 +191,24 @@ def silhouette_exact(df: DataFrame, features, label: str, key: str, sample_size:
     return float(val)
 
 
-def silhouette_squared(df: DataFrame, features, label: str) -> float:
-    """Scalable silhouette on squared euclidean distance (Spark's ClusteringEvaluator):
-    O(n k), a different number from the euclidean one."""
+def silhouette(df: DataFrame, features, label: str) -> float | None:
+    """Mean silhouette of every row on squared euclidean distance (Spark's ClusteringEvaluator,
+    O(n k)): a different number from the euclidean one. Null for fewer than two clusters."""
     from pyspark.ml.evaluation import ClusteringEvaluator
     from pyspark.ml.functions import array_to_vector
 
     v = df.select(array_to_vector(feature_array(df, features)).alias("features"),
                   qcol(label).cast("double").alias("prediction"))
+    v = v.where(F.col("prediction").isNotNull())
+    if v.select("prediction").distinct().limit(2).count() < 2:
+        return None
     return float(ClusteringEvaluator(featuresCol="features", predictionCol="prediction").evaluate(v))
 
 
 def evaluate_clusters(df: DataFrame, features, label: str, kind: str = "kmeans", key: str | None = None,
-                      k: int | None = None, sample_size: int | None = 10_000) -> DataFrame:
-    """Long (metric, value) table. ``kind`` is 'kmeans' or 'dbscan' (others are refused)."""
+                      k: int | None = None) -> DataFrame:
+    """Long (metric, value) table over all rows. ``kind`` is 'kmeans' or 'dbscan' (others are refused);
+    with 'dbscan' the noise label -1 is a group of its own in the silhouette."""
     if kind not in ("kmeans", "dbscan"):
         raise ValueError("evaluate_clusters supports kind='kmeans' or 'dbscan'")
     spark = df.sparkSession
@@ -219,15 +219,11 @@ def evaluate_clusters(df: DataFrame, features, label: str, kind: str = "kmeans",
     rows = []
     if kind == "dbscan":
         ns = noise_stats(df, label).first()
-        clustered = df.where(qcol(label) != -1)
         rows += [("n_clusters", float(ns["n_clusters"])), ("noise_ratio", float(ns["noise_ratio"]))]
-        if ns["n_clusters"] >= 2 and key is not None:
-            rows.append(("silhouette", silhouette_exact(clustered, features, label, key, sample_size)))
+        rows.append(("silhouette", silhouette(df, features, label)))
         rows.append(("cluster_size_std", cluster_size_std(df, label, noise=-1)))
     else:
-        if key is not None:
-            rows.append(("silhouette", silhouette_exact(df, features, label, key, sample_size)))
-        rows += [("davies_bouldin", davies_bouldin(df, features, label)),
+        rows += [("silhouette", silhouette(df, features, label)), ("davies_bouldin", davies_bouldin(df, features, label)),
                  ("calinski_harabasz", calinski_harabasz(df, features, label)),
                  ("inertia", inertia(df, features, label)),
                  ("cluster_size_std", cluster_size_std(df, label, k=k))]
@@ -237,9 +233,11 @@ def evaluate_clusters(df: DataFrame, features, label: str, kind: str = "kmeans",
 
 # --------------------------------------------------------------------------- classification
 def misclassified_rows(df: DataFrame, y_true: str, y_pred: str) -> DataFrame:
-    """Rows whose prediction differs from the truth, with the error rate of the whole input."""
-    rate = df.agg(F.avg((qcol(y_true) != qcol(y_pred)).cast("double"))).first()[0]
-    return df.where(qcol(y_true) != qcol(y_pred)).withColumn("error_rate", F.lit(rate).cast("double"))
+    """Rows whose prediction differs from the truth, with the error rate of the whole input. A null
+    on one side only is a difference."""
+    wrong = ~qcol(y_true).eqNullSafe(qcol(y_pred))
+    rate = df.agg(F.avg(wrong.cast("double"))).first()[0]
+    return df.where(wrong).withColumn("error_rate", F.lit(rate).cast("double"))
 
 
 def confusion_matrix(df: DataFrame, y_true: str, y_pred: str, labels: Sequence | None = None,

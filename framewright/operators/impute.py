@@ -42,8 +42,8 @@ def _fill(df: DataFrame, values: dict) -> DataFrame:
 
 
 def impute_mean(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Numeric columns only; string columns untouched."""
-    cols = list(cols) if cols is not None else numeric_columns(df)
+    """Numeric columns only, by default those that hold nulls; string columns untouched."""
+    cols = list(cols) if cols is not None else [c for c, n in _numeric_with_nulls(df, numeric_columns(df)).items() if n]
     if not cols:
         return df
     row = df.agg(*[F.avg(as_double(c)).alias(c) for c in cols]).first()
@@ -51,8 +51,10 @@ def impute_mean(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def impute_median(df: DataFrame, cols: Sequence[str] | None = None, relative_error: float | None = None) -> DataFrame:
-    """Exact median (linear interpolation) per numeric column."""
-    cols = list(cols) if cols is not None else numeric_columns(df)
+    """Exact median (linear interpolation) per numeric column, by default of those that hold nulls."""
+    cols = list(cols) if cols is not None else [c for c, n in _numeric_with_nulls(df, numeric_columns(df)).items() if n]
+    if not cols:
+        return df
     q = quantiles(df, cols, [0.5], relative_error)
     return _fill(df, {c: q[c][0] for c in cols})
 
@@ -70,9 +72,10 @@ def column_modes(df: DataFrame, cols: Sequence[str]) -> dict:
     per type family, then a per-column min over (-count, value) — both partial
     aggregates, so neither a hot value nor a high-cardinality column lands in one task."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    families = {"double": [c for c in cols if isinstance(types[c], T.NumericType)],
+    families = {"double": [c for c in cols if isinstance(types[c], T.FractionalType) and not isinstance(types[c], T.DecimalType)],
+                "bigint": [c for c in cols if isinstance(types[c], T.IntegralType)],
                 "string": [c for c in cols if isinstance(types[c], T.StringType)]}
-    out = {c: column_mode(df, c) for c in cols if c not in families["double"] + families["string"]}
+    out = {c: column_mode(df, c) for c in cols if not any(c in f for f in families.values())}
     for cast, cs in families.items():
         if not cs:
             continue

@@ -249,8 +249,8 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str] | None = None, whis: float
     """(column_name, q1, median, q3, whisker_low, whisker_high, n_outliers); columns with
     at most one distinct value are skipped, as no box is drawn for them."""
     cols = list(cols) if cols is not None else numeric_columns(df)
-    nd = df.agg(*[F.count_distinct(qcol(c)).alias(c) for c in cols]).first() if cols else {}
-    cols = [c for c in cols if nd[c] > 1]
+    varies = df.agg(*[(F.min(qcol(c)) < F.max(qcol(c))).alias(c) for c in cols]).first() if cols else {}
+    cols = [c for c in cols if varies[c]]
     spark = df.sparkSession
     schema = ("column_name string, q1 double, median double, q3 double, whisker_low double, "
               "whisker_high double, n_outliers bigint")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.stats import qcol
 from ..operators import clean as C
 from ..sources.readers import row_limit, scan_parquet
 from .registry import events_dirty, part_dirty, query, table, with_views
@@ -222,33 +223,34 @@ def _names_kind(spark, pairs):
 _DUCK_NUMERIC = "('TINYINT','SMALLINT','INTEGER','BIGINT','HUGEINT','FLOAT','DOUBLE') OR column_type LIKE 'DECIMAL%'"
 
 
-@query("numeric_columns",
-       f"SELECT column_name, CASE WHEN column_type IN {_DUCK_NUMERIC} THEN 'numeric' "
-       "WHEN column_type = 'VARCHAR' THEN 'categorical' ELSE 'datetime' END AS kind FROM (DESCRIBE orders) "
-       f"WHERE column_type IN {_DUCK_NUMERIC} OR column_type = 'VARCHAR' OR column_type LIKE 'TIMESTAMP%' "
-       "OR column_type = 'DATE'")
+def _kinds(df, kinds):
+    """(column_name, kind, n_values): the columns of each kind with their non-null counts, in one scan."""
+    names = [(c, k) for k, cols in kinds for c in cols]
+    row = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("kind"), F.count(qcol(c)).alias("n_values")) for c, k in names])
+    return df.agg(row.alias("r")).select(F.inline("r"))
+
+
+@query("numeric_columns", "SELECT * FROM (" + union_all(
+    [f"SELECT '{c}' AS column_name, '{k}' AS kind, count({c}) AS n_values FROM orders" for c, k in (
+        ("o_orderkey", "numeric"), ("o_custkey", "numeric"), ("o_totalprice", "numeric"), ("o_orderstatus", "categorical"),
+        ("o_orderpriority", "categorical"), ("o_orderdate", "datetime"))]) + ")")
 def q_numeric_columns(spark, sf):
     from ..operators.profile import categorical_columns, datetime_columns, numeric_columns
     df = table(spark, sf, "orders")
-    return _names_kind(spark, [(c, "numeric") for c in numeric_columns(df)]
-                       + [(c, "categorical") for c in categorical_columns(df)]
-                       + [(c, "datetime") for c in datetime_columns(df)])
+    return _kinds(df, [("numeric", numeric_columns(df)), ("categorical", categorical_columns(df)), ("datetime", datetime_columns(df))])
 
 
-@query("nested_type_columns",
-       "SELECT column_name FROM (DESCRIBE embeddings) WHERE column_type LIKE '%[]' OR column_type LIKE 'STRUCT%' "
-       "OR column_type LIKE 'MAP%'")
+@query("nested_type_columns", "SELECT 'embedding' AS column_name, 'nested' AS kind, count(embedding) AS n_values FROM embeddings")
 def q_nested_type_columns(spark, sf):
     from ..operators.profile import nested_type_columns
-    return spark.createDataFrame([(c,) for c in nested_type_columns(table(spark, sf, "embeddings"))],
-                                 "column_name string")
+    df = table(spark, sf, "embeddings")
+    return _kinds(df, [("nested", nested_type_columns(df))])
 
 
-@query("columns_by_regex",
-       "SELECT column_name FROM (DESCRIBE lineitem) WHERE column_name LIKE '%key' AND column_name NOT LIKE 'l_supp%'")
+@query("columns_by_regex", "SELECT l_orderkey, l_partkey FROM lineitem")
 def q_columns_by_regex(spark, sf):
-    names = C.columns_by_regex(table(spark, sf, "lineitem"), "key", ["l_supp"])
-    return spark.createDataFrame([(c,) for c in names], "column_name string")
+    df = table(spark, sf, "lineitem")
+    return df.select(*C.columns_by_regex(df, "key", ["l_supp"]))
 
 
 @query("drop_columns", "SELECT p_partkey, p_name, p_size, p_retailprice * 2 AS doubled FROM part")

@@ -11,8 +11,6 @@ from ..operators.udf import apply_function
 from .registry import query, table
 from .sqlgen import union_all
 
-U_SQL = "CAST(('0x' || substr(md5('42:' || CAST({k} AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0"
-
 
 def _one(spark, name, value):
     return spark.createDataFrame([(None if value is None else float(value),)], f"{name} double")
@@ -76,14 +74,6 @@ def q_apply_function(spark, sf):
 
 
 # =========================================================================== cluster metrics
-_PTS = ("p AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings "
-        f"ORDER BY {U_SQL.format(k='vec_id')}, vec_id LIMIT 10000)")
-_SIL = (_PTS + ", d AS (SELECT a.vec_id, a.label AS own, b.label AS cl, sum(list_distance(a.x, b.x)) AS dsum, "
-        "count(*) AS cnt FROM p a CROSS JOIN p b GROUP BY 1, 2, 3), "
-        "pp AS (SELECT vec_id, max(CASE WHEN cl = own THEN cnt END) AS n_own, max(CASE WHEN cl = own THEN dsum END) "
-        "AS d_own, min(CASE WHEN cl <> own THEN dsum / cnt END) AS b FROM d GROUP BY 1) ")
-_SIL_VALUE = ("(SELECT avg(CASE WHEN n_own > 1 AND b IS NOT NULL THEN (b - d_own / (n_own - 1)) / "
-              "greatest(d_own / (n_own - 1), b) ELSE 0 END) FROM pp)")
 _CENT = ("e AS (SELECT vec_id, label, unnest(CAST(embedding AS DOUBLE[])) AS v, "
          "generate_subscripts(embedding, 1) AS i FROM embeddings), "
          "c AS (SELECT label, i, avg(v) AS cv FROM e GROUP BY 1, 2), "
@@ -96,6 +86,15 @@ _CENT = ("e AS (SELECT vec_id, label, unnest(CAST(embedding AS DOUBLE[])) AS v,
          "g AS (SELECT i, avg(v) AS gv FROM e GROUP BY 1), "
          "bss AS (SELECT sum(s.n * q.sq) AS b FROM s JOIN (SELECT c.label, sum((c.cv - g.gv) * (c.cv - g.gv)) AS sq "
          "FROM c JOIN g USING (i) GROUP BY 1) q USING (label)) ")
+# mean squared distance of a row to a cluster, from the cluster's centre and mean square
+_SIL = ("sq AS (SELECT vec_id, label, sum(v * v) AS xx FROM e GROUP BY 1, 2), "
+        "ms AS (SELECT label, avg(xx) AS mm, count(*) AS n FROM sq GROUP BY 1), "
+        "dot AS (SELECT e.vec_id, c.label AS cl, sum(e.v * c.cv) AS xc FROM e JOIN c ON e.i = c.i GROUP BY 1, 2), "
+        "md AS (SELECT sq.vec_id, sq.label AS own, dot.cl, sq.xx - 2 * dot.xc + ms.mm AS d, ms.n FROM sq "
+        "JOIN dot ON dot.vec_id = sq.vec_id JOIN ms ON ms.label = dot.cl), "
+        "pp AS (SELECT vec_id, max(CASE WHEN cl = own THEN n END) AS n_own, max(CASE WHEN cl = own THEN d * n / (n - 1) END) "
+        "AS a, min(CASE WHEN cl <> own THEN d END) AS b FROM md GROUP BY 1) ")
+_SIL_VALUE = "(SELECT avg(CASE WHEN n_own > 1 THEN (b - a) / greatest(a, b) ELSE 0 END) FROM pp)"
 _DB_VALUE = "(SELECT avg(m) FROM r)"
 _INERTIA_VALUE = "(SELECT sum(d2) FROM dist)"
 _CH_VALUE = ("((SELECT b FROM bss) / ((SELECT count(*) FROM s) - 1)) / "
@@ -107,9 +106,9 @@ def _emb(spark, sf):
     return table(spark, sf, "embeddings")
 
 
-@query("silhouette", "WITH " + _SIL + f"SELECT {_SIL_VALUE} AS silhouette")
+@query("silhouette", "WITH " + _CENT + ", " + _SIL + f"SELECT {_SIL_VALUE} AS silhouette")
 def q_silhouette(spark, sf):
-    return _one(spark, "silhouette", EV.silhouette_exact(_emb(spark, sf), "embedding", "label", "vec_id"))
+    return _one(spark, "silhouette", EV.silhouette(_emb(spark, sf), "embedding", "label"))
 
 
 @query("davies_bouldin", "WITH " + _CENT + f"SELECT {_DB_VALUE} AS davies_bouldin")
@@ -140,18 +139,27 @@ def q_noise_ratio(spark, sf):
     return EV.noise_stats(_emb(spark, sf), "label", noise=0)
 
 
-@query("evaluate_clusters", "WITH " + _SIL + ", " + _CENT + "SELECT * FROM (" + union_all([
+@query("evaluate_clusters", "WITH " + _CENT + ", " + _SIL + "SELECT * FROM (" + union_all([
     f"SELECT 'silhouette' AS metric, {_SIL_VALUE} AS value", f"SELECT 'davies_bouldin', {_DB_VALUE}",
     f"SELECT 'calinski_harabasz', {_CH_VALUE}", f"SELECT 'inertia', {_INERTIA_VALUE}",
     f"SELECT 'cluster_size_std', {_SIZE_STD_VALUE}"]) + ")")
 def q_evaluate_clusters(spark, sf):
-    return EV.evaluate_clusters(_emb(spark, sf), "embedding", "label", "kmeans", key="vec_id", k=10)
+    return EV.evaluate_clusters(_emb(spark, sf), "embedding", "label", "kmeans", k=10)
+
+
+@query("evaluate_density_clusters", "WITH " + _CENT + ", " + _SIL + "SELECT * FROM (" + union_all([
+    "SELECT 'n_clusters' AS metric, CAST((SELECT count(*) FROM s WHERE label <> 0) AS DOUBLE) AS value",
+    "SELECT 'noise_ratio', (SELECT avg(CAST(label = 0 AS DOUBLE)) FROM embeddings)", f"SELECT 'silhouette', {_SIL_VALUE}",
+    "SELECT 'cluster_size_std', (SELECT stddev_pop(n) FROM s WHERE label <> 0)"]) + ")")
+def q_evaluate_density_clusters(spark, sf):
+    marked = _emb(spark, sf).withColumn("label", F.when(F.col("label") == 0, -1).otherwise(F.col("label")))
+    return EV.evaluate_clusters(marked, "embedding", "label", "dbscan")
 
 
 # =========================================================================== classification
 @query("misclassified_rows",
-       "SELECT doc_id, quality, toxic, (SELECT avg(CAST(quality <> toxic AS DOUBLE)) FROM labels) AS error_rate "
-       "FROM labels WHERE quality <> toxic")
+       "SELECT doc_id, quality, toxic, (SELECT avg(CAST(quality IS DISTINCT FROM toxic AS DOUBLE)) FROM labels) AS error_rate "
+       "FROM labels WHERE quality IS DISTINCT FROM toxic")
 def q_misclassified_rows(spark, sf):
     return EV.misclassified_rows(table(spark, sf, "labels"), "quality", "toxic")
 

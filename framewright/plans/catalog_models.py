@@ -182,7 +182,7 @@ def q_gmm(spark, sf):
 
 @query("gmm_select_k")
 def q_gmm_select_k(spark, sf):
-    return CL.gmm_select_k(_part_std(spark, sf), "features", 6)
+    return CL.gmm_select_k(_part_std(spark, sf), "features", 10)
 
 
 @query("dbscan")
@@ -249,9 +249,9 @@ def q_project_2d(spark, sf):
 @query("regression_compare")
 def q_regression_compare(spark, sf):
     li = table(spark, sf, "lineitem").withColumn("key", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
-    return M.regression_compare(li, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "key", trees=20)
+    return M.regression_compare(li, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "key", trees=100)
 
 
 @query("rf_classifier_importances")
 def q_rf_classifier_importances(spark, sf):
-    return M.rf_classifier_importances(doc_labels(spark, sf), ["n_chars", "toxic"], "quality", "doc_id", trees=20)
+    return M.rf_classifier_importances(doc_labels(spark, sf), ["n_chars", "toxic"], "quality", "doc_id", trees=100)

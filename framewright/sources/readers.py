@@ -22,6 +22,11 @@ NULL_TOKENS = [
 ]
 
 
+# Spark's casts also take the suffixes of Java literals (12d, 5f), which are no numbers in a file.
+INTEGER = r"^[+-]?[0-9]+$"
+DECIMAL = r"^[+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity)$"
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Float / double NaN -> NULL, other columns untouched (one projection)."""
     exprs = []
@@ -34,13 +39,13 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def null_tokens_to_null(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
-    """String cells equal to a null token (after trimming) become NULL."""
+    """String cells equal to a null token become NULL (blanks around a token make it text)."""
     toks = F.array(*[F.lit(t) for t in tokens])
     exprs = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.StringType):
             c = qcol(f.name)
-            exprs.append(F.when(~F.array_contains(toks, F.trim(c)), c).alias(f.name))
+            exprs.append(F.when(~F.array_contains(toks, c), c).alias(f.name))
         else:
             exprs.append(qcol(f.name))
     return df.select(*exprs)
@@ -48,15 +53,15 @@ def null_tokens_to_null(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> D
 
 def infer_types(df: DataFrame) -> DataFrame:
     """Whole-column inference for string columns: bigint if every non-null cell is an
-    integer, double if every cell parses as a number, else string. One aggregate job."""
+    integer, double if every cell is written as a decimal number, else string. One aggregate job."""
     strs = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not strs:
         return df
     exprs = []
     for i, c in enumerate(strs):
         v = F.trim(qcol(c))
-        exprs.append(F.count_if(v.isNotNull() & v.try_cast("double").isNull()).alias(f"d{i}"))
-        exprs.append(F.count_if(v.isNotNull() & v.try_cast("bigint").isNull()).alias(f"l{i}"))
+        exprs.append(F.count_if(v.isNotNull() & ~(v.rlike(DECIMAL) & v.try_cast("double").isNotNull())).alias(f"d{i}"))
+        exprs.append(F.count_if(v.isNotNull() & ~(v.rlike(INTEGER) & v.try_cast("bigint").isNotNull())).alias(f"l{i}"))
         exprs.append(F.count(v).alias(f"n{i}"))
     row = df.agg(*exprs).first()
     target = {}
@@ -72,10 +77,12 @@ def infer_types(df: DataFrame) -> DataFrame:
 
 
 def scan_csv(spark: SparkSession, path: str, sep: str = ",", schema: T.StructType | str | None = None,
-             infer: bool = True, limit: int | None = None) -> DataFrame:
-    """Header CSV. With a schema, parsing is pruned to the projected columns; without, all
+             infer: bool = True, limit: int | None = None, multiline: bool = True) -> DataFrame:
+    """Header CSV with quoted cells, doubled quotes and line breaks inside quotes. Spark can't split a file
+    whose cells may hold line breaks: with ``multiline=False``, for files known to have none, large files
+    are read by many tasks. With a schema, parsing is pruned to the projected columns; without, all
     columns load as text, null tokens are normalised and types inferred over the whole column."""
-    reader = spark.read.option("header", True).option("sep", sep).option("multiLine", False)
+    reader = spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"').option("multiLine", multiline)
     if schema is not None:
         df = reader.schema(schema).csv(path)
         df = nan_to_null(null_tokens_to_null(df))
@@ -93,7 +100,7 @@ def scan_tsv(spark: SparkSession, path: str, **kw) -> DataFrame:
 def scan_tsv_gz_limit(spark: SparkSession, path: str, n: int, partitions: int | None = None) -> DataFrame:
     """First ``n`` rows of a gzip TSV. Gzip is not splittable, so the limited frame is
     redistributed before downstream work."""
-    df = scan_csv(spark, path, sep="\t", infer=False).limit(n)
+    df = infer_types(scan_csv(spark, path, sep="\t", infer=False).limit(n).persist())
     return df.repartition(partitions or spark.sparkContext.defaultParallelism)
 
 

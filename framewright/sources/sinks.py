@@ -14,8 +14,10 @@ from ..session import cut_lineage
 
 
 def sink_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
-    """Header CSV, no index; a directory of part files written in parallel."""
-    df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
+    """Header CSV, no index; a directory of part files written in parallel. Quotes in cells are
+    doubled, blanks around a cell are kept."""
+    (df.write.mode(mode).option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def with_row_number(df: DataFrame, order_by: Sequence[str], name: str = "index",

@@ -112,7 +112,7 @@ def test_silhouette_and_centroid_metrics(spark):
         a = d[i, own].sum() / (own.sum() - 1)
         b = min(d[i, lab == c].mean() for c in set(lab) if c != lab[i])
         s.append((b - a) / max(a, b))
-    got = EV.silhouette_exact(df, "x", "label", "id", sample_size=None, block_rows=60)
+    got = EV.silhouette_exact(df, "x", "label", "id", block_rows=60)
     assert got == pytest.approx(np.mean(s), abs=1e-9)
     cent = np.array([x[lab == c].mean(0) for c in sorted(set(lab))])
     w = sum(((x[lab == c] - cent[k]) ** 2).sum() for k, c in enumerate(sorted(set(lab))))
@@ -134,7 +134,7 @@ def test_connected_components_chain(spark):
 def test_connected_components_distributed_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 30)] + [(100, 101), (101, 55)], "src long, dst long")
     verts = spark.createDataFrame([(i,) for i in list(range(31)) + [55, 100, 101, 200]], "id long")
-    lab = {r.id: r.label for r in CL.connected_components(verts, edges, local_edge_limit=0).collect()}
+    lab = {r.id: r.label for r in CL.connected_components(verts, edges).collect()}
     assert all(lab[i] == 0 for i in range(31))
     assert lab[100] == lab[101] == lab[55] == 55 and lab[200] == 200
 
@@ -149,3 +149,34 @@ def test_isolation_forest_flags_planted_outliers(spark):
     flagged = set(out[out["outlier_iforest_v"] == 1]["k"])
     assert 45 <= len(flagged) <= 55
     assert set(range(980, 1000)) <= flagged
+
+
+def test_density_silhouette_keeps_noise_as_a_group(spark):
+    import numpy as np
+    r = np.random.default_rng(2)
+    x = np.concatenate([r.normal(0, 0.3, (12000, 2)), r.normal(4, 0.3, (300, 2)), r.uniform(-5, 9, (60, 2))])
+    label = np.repeat([0, 1, -1], [12000, 300, 60])
+    df = spark.createDataFrame([(i, v.tolist(), int(c)) for i, (v, c) in enumerate(zip(x, label))], "id long, x array<double>, label int")
+    s = []
+    for v, c in zip(x[::50], label[::50]):
+        d = {k: ((x[label == k] - v) ** 2).sum(1).mean() for k in (0, 1, -1)}
+        n = (label == c).sum()
+        a, b = d[c] * n / (n - 1), min(q for k, q in d.items() if k != c)
+        s.append((b - a) / max(a, b))
+    got = {r.metric: r.value for r in EV.evaluate_clusters(df, "x", "label", "dbscan").collect()}
+    assert abs(got["silhouette"] - np.mean(s)) < 0.02 and got["n_clusters"] == 2
+
+
+def test_null_prediction_is_an_error(spark):
+    df = spark.createDataFrame([(1, 1), (1, None), (0, 1), (None, None)], "t int, p int")
+    assert sorted((r.t, r.p, r.error_rate) for r in EV.misclassified_rows(df, "t", "p").fillna(-1).collect()) == [(0, 1, 0.5), (1, -1, 0.5)]
+
+
+def test_default_imputation_leaves_whole_columns_alone(spark):
+    from framewright.operators import impute as IM
+    big = 2**53 + 1
+    df = spark.createDataFrame([(big, 1.0), (big, None), (big + 1, 3.0)], "k long, x double")
+    for fn in (IM.impute_mean, IM.impute_median):
+        assert dict(fn(df).dtypes) == {"k": "bigint", "x": "double"}
+        assert sorted(r.x for r in fn(df).collect()) == [1.0, 2.0, 3.0]
+    assert IM.column_modes(df, ["k"]) == {"k": big}

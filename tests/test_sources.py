@@ -32,3 +32,19 @@ def test_row_number_dense_in_key_order(spark):
     df = spark.range(0, 1000).selectExpr("(id * 7919) % 1000 AS k", "id AS v")
     out = SK.with_row_number(df, ["k"], partitions=7).collect()
     assert sorted((r["index"], r["k"]) for r in out) == [(i, i) for i in range(1000)]
+
+
+def test_csv_quotes_line_breaks_and_lot_codes(spark):
+    d = tempfile.mkdtemp(prefix="fw-csv-", dir="/tmp")
+    with open(os.path.join(d, "a.csv"), "w", newline="") as fh:
+        fh.write('id,text,lot,n\n1,"say ""hi"" now",12d,1e3\n2,"two\nlines, one cell",5f,.5\n3, NA ,7,-2.\n')
+    df = RDR.scan_csv(spark, d)
+    assert dict(df.dtypes) == {"id": "bigint", "text": "string", "lot": "string", "n": "double"}
+    rows = [(r.id, r.text, r.lot, r.n) for r in df.orderBy("id").collect()]
+    assert rows == [(1, 'say "hi" now', "12d", 1000.0), (2, "two\nlines, one cell", "5f", 0.5), (3, " NA ", "7", -2.0)]
+    SK.sink_csv(df, os.path.join(d, "out"), sep="\t")
+    assert [(r.id, r.text, r.lot, r.n) for r in RDR.scan_tsv(spark, os.path.join(d, "out")).orderBy("id").collect()] == rows
+    part = next(f for f in os.listdir(os.path.join(d, "out")) if f.startswith("part-") and f.endswith(".csv"))
+    import csv
+    with open(os.path.join(d, "out", part), newline="") as fh:
+        assert all(len(r) == 4 for r in csv.reader(fh, delimiter="\t"))
