@@ -1,6 +1 @@
 """Operators for preparing training corpora. Nothing else in the library imports this subpackage."""
-
-from pyspark import cloudpickle as _cloudpickle
-
-# task functions travel by value, so executors need not have this package installed
-_cloudpickle.register_pickle_by_value(__import__(__name__, fromlist=["_"]))
