@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ from .frames import components, written
 from .textkit import shingle_sets, slices
 
 SKETCH = 1 << 20  # counters for the global order
-BITS = 1024  # parity bits of a set's signature
+BITS = 512  # parity bits of a set's signature
 NEED = 1 << 22  # bits of the filter for the texts that are needed
 
 
@@ -35,15 +36,23 @@ def least_overlap(x: Column, y: Column, num: int) -> Column:
     return F.ceil((x + y) * F.lit(num) / F.lit(100.0 + num) - 1e-9)
 
 
-def parity(hashes: np.ndarray) -> bytes:
+def parity(hashes: np.ndarray) -> np.ndarray:
     """One bit per hash bucket: the parity of the set's elements in it. Two sets differ in at least
     as many elements as their signatures differ in bits."""
-    return np.packbits(np.bincount((hashes % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1, bitorder="little").astype(np.uint8).tobytes()
+    odd = np.bincount((hashes % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def sizes_and_sketch(docs: DataFrame, k: int, frequent: int = 3) -> DataFrame:
-    """Rows (id, n, digest) of every document, and rows (bucket, count): how often a task's
-    documents hit each of the ``SKETCH`` hash buckets, where ``frequent`` times or more."""
+def may_link(a: str, b: str, num: int) -> Column:
+    """Whether sets (columns with prefixes a and b: n, bits) of these sizes and signatures may link."""
+    x, y = F.col(f"{a}n"), F.col(f"{b}n")
+    apart = sum((F.bit_count(F.get(f"{a}bits", F.lit(i)).bitwiseXOR(F.get(f"{b}bits", F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
+    return apart <= x + y - 2 * least_overlap(x, y, num)
+
+
+def sizes_and_sketch(docs: DataFrame, k: int) -> DataFrame:
+    """Rows (id, n, digest) of every document, and rows (part, counters): how often a task's
+    documents hit each of the ``SKETCH`` hash buckets, 1024 counters to a row."""
     def run(batches):
         total = np.zeros(SKETCH, dtype=np.int64)
         for batch in batches:
@@ -54,13 +63,29 @@ def sizes_and_sketch(docs: DataFrame, k: int, frequent: int = 3) -> DataFrame:
                 digest += [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 if sets:
                     total += np.bincount((np.concatenate(sets) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
-            none = pa.nulls(len(n), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), none, none], ["id", "n", "digest", "bucket", "count"])
-        at = np.flatnonzero(total >= frequent)
-        none = pa.nulls(len(at), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(at), pa.binary()), pa.array(at), pa.array(total[at])], ["id", "n", "digest", "bucket", "count"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.nulls(len(n), pa.int32()),
+                                              pa.nulls(len(n), pa.binary())], ["id", "n", "digest", "part", "counters"])
+        if total.any():
+            rows = total.astype(np.uint32).reshape(-1, 1024)
+            none = pa.nulls(len(rows), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(rows), pa.binary()), pa.array(np.arange(len(rows), dtype=np.int32)),
+                                              pa.array([r.tobytes() for r in rows], pa.binary())], ["id", "n", "digest", "part", "counters"])
+
+    return docs.mapInArrow(run, "id long, n long, digest binary, part int, counters binary")
+
 
-    return docs.mapInArrow(run, "id long, n long, digest binary, bucket long, count long")
+def summed(counters: DataFrame) -> np.ndarray:
+    """The counters of all tasks added up, in two levels, so no task reads more than a share; ``SKETCH`` sums come back."""
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        width = len(pdf["counters"].iloc[0]) // 1024
+        total = sum(np.frombuffer(c, dtype=f"u{width}").astype(np.uint64) for c in pdf["counters"])
+        return pd.DataFrame({"part": pdf["part"].iloc[:1], "counters": [total.tobytes()]})
+
+    salted = counters.groupBy("part", F.spark_partition_id() % 64).applyInPandas(add, "part int, counters binary")
+    out = np.zeros((SKETCH // 1024, 1024), dtype=np.uint64)
+    for r in salted.groupBy("part").applyInPandas(add, "part int, counters binary").collect():
+        out[r["part"]] = np.frombuffer(bytes(r["counters"]), dtype=np.uint64)
+    return np.minimum(out.reshape(-1), 2**31 - 1).astype(np.int32)
 
 
 def prefixes(docs: DataFrame, k: int, num: int, order: np.ndarray) -> DataFrame:
@@ -77,25 +102,16 @@ def prefixes(docs: DataFrame, k: int, num: int, order: np.ndarray) -> DataFrame:
                         for c, v in zip(out, (key, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), parity(s), s[by[:keep]].view(np.int64)), strict=True):
                             out[c].append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(out["id"], pa.int64()), pa.array(out["n"], pa.int64()), pa.array(out["digest"], pa.binary()),
-                                                  pa.array(out["bits"], pa.binary()), pa.array(out["prefix"], pa.list_(pa.int64()))], list(out))
+                                                  pa.array(out["bits"], pa.list_(pa.int64())), pa.array(out["prefix"], pa.list_(pa.int64()))], list(out))
 
-    return docs.mapInArrow(run, "id long, n long, digest binary, bits binary, prefix array<long>")
+    return docs.mapInArrow(run, "id long, n long, digest binary, bits array<long>, prefix array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, num: int) -> DataFrame:
     """The pairs (a, b) that link. Signatures sort out most of the others without their texts; only
     the texts of the rest travel, picked by a bit filter of fixed size."""
-    most = lambda x, y: x + y - 2 * least_overlap(x, y, num)  # noqa: E731  elements in which linked sets may differ
-
-    def alike(batches):
-        for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint64).reshape(-1, BITS // 64) for c in ("abits", "bbits"))
-            near = np.bitwise_count(a ^ b).sum(axis=1) <= np.asarray(batch.column("most"))
-            yield batch.select(["a", "b"]).filter(pa.array(near))
-
     side = lambda c: sets.select(F.col("id").alias(c), F.col("n").alias(f"{c}n"), F.col("bits").alias(f"{c}bits"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "abits", "bbits", most(F.col("an"), F.col("bn")).cast("long").alias("most"))
-    near = written(near.mapInArrow(alike, "a long, b long").distinct(), "pairs")
+    near = written(pairs.join(side("a"), "a").join(side("b"), "b").where(may_link("a", "b", num)).select("a", "b").distinct(), "pairs")
     bit = F.pmod(F.xxhash64("id"), F.lit(NEED))
     needed = near.select(F.explode(F.array("a", "b")).alias("id")).select((bit + 1).alias("bit"))  # bitmaps count from 1
     filled = needed.groupBy(F.bitmap_bucket_number("bit").alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
@@ -145,10 +161,8 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int =
     aren't read, so their names can't clash."""
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     both = written(sizes_and_sketch(docs, k), "sketch")
-    base = both.where("bucket is null").select("id", "n", "digest")
-    counts = both.where("bucket is not null").groupBy("bucket").agg(F.sum("count").alias("count")).toArrow()  # SKETCH rows at most
-    order = np.zeros(SKETCH, dtype=np.int64)
-    order[np.asarray(counts.column("bucket"), dtype=np.int64)] = np.asarray(counts.column("count"), dtype=np.int64)
+    base = both.where("part is null").select("id", "n", "digest")
+    order = summed(both.where("part is not null").select("part", "counters"))
     classes = base.where("digest is not null").groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("class_size"))
     sets = prefixes(docs, k, num, order).groupBy("digest").agg(F.min_by(F.struct("id", "n", "bits", "prefix"), "id").alias("s")).select("s.*")
     sets = written(sets, "sets")
@@ -167,19 +181,27 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int =
     done = components(links, "a", "b").select(F.col("node").alias("id"), "root")
     left = lists.join(done, "id", "left").withColumn("root", F.coalesce("root", "id"))
     mixed = left.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
-    left = written(left.join(mixed, "token").select("token", "id", "n", "pos", "root", "block", F.col("hub.id").alias("hub")), "lists")
-    blocks = left.groupBy("token", "root", "block").agg(F.max("n").alias("n"), F.min("n").alias("low"), F.min("pos").alias("pos"))
+    left = left.join(mixed, "token").select("token", "id", "n", "pos", "root", "block", F.col("hub.id").alias("hub"))
+    left = left.withColumn("alone", F.expr("count(*) over (partition by token, root) = 1"))
+    left = written(left.join(sets.select("id", "bits"), "id"), "lists").repartition("token")  # one exchange for all joins below
+    # Of a list, sets that are alone in their component meet each other, and those of larger components, one by
+    # one; larger components meet as blocks first. So no component's own sets are paired, and only pairs that
+    # their sizes, positions and signatures allow leave a join.
+    side = lambda c: [F.col("id").alias(c), F.col("n").alias(f"{c}n"), F.col("pos").alias(f"{c}p"), F.col("hub").alias(f"{c}hub"), F.col("bits").alias(f"{c}bits")]
+    fits = (F.col("a") != F.col("bhub")) & (F.col("b") != F.col("ahub")) & (bound(F.col("an"), F.col("ap"), F.col("bn"), F.col("bp")) >= least_overlap(F.col("an"), F.col("bn"), num)) & may_link("a", "b", num)
+    one, many = left.where("alone"), left.where("not alone")
+    single = one.select("token", *side("b"))
+    singles = one.select("token", *side("a")).join(single, "token").where((F.col("a") < F.col("b")) & fits).select("a", "b")
+    uneven = many.select("token", *side("a")).join(single, "token").where(fits).select("a", "b")
+    blocks = many.groupBy("token", "root", "block").agg(F.max("n").alias("n"), F.min("n").alias("low"), F.min("pos").alias("pos"))
     other = blocks.toDF("token", "root2", "block2", "n2", "low2", "pos2")
     can = F.least(n, F.col("n2")) - F.greatest(p, F.col("pos2")) + F.least((F.col("block.pos") + 1) * 16, (F.col("block2.pos") + 1) * 16)
     pairs = blocks.join(other, "token").where((F.col("root") < F.col("root2")) & (F.abs(F.col("block.size") - F.col("block2.size")) <= 1)
-                                              & (can >= least_overlap(F.col("low"), F.col("low2"), num)))
-    pairs = pairs.select("token", "root", "block", "root2", "block2")
-    rest = pairs.join(left, ["token", "root", "block"]).select("token", "root2", "block2", F.col("id").alias("a"), F.col("n").alias("an"), F.col("pos").alias("ap"))
-    again = left.toDF("token", "b", "bn", "bp", "root2", "block2", "hub")
-    rest = rest.join(again, ["token", "root2", "block2"]).where(
-        (F.col("a") != F.col("hub")) & (F.col("b") != F.col("hub"))
-        & (bound(F.col("an"), F.col("ap"), F.col("bn"), F.col("bp")) >= least_overlap(F.col("an"), F.col("bn"), num)))
-    rest = written(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+                                              & (can >= least_overlap(F.col("low"), F.col("low2"), num))).select("token", "root", "block", "root2", "block2")
+    again = many.select("token", F.col("root").alias("root2"), F.col("block").alias("block2"), *side("b"))
+    several = pairs.join(many.select("token", "root", "block", *side("a")), ["token", "root", "block"]).join(again, ["token", "root2", "block2"]).where(fits).select("a", "b")
+    rest = singles.unionByName(uneven).unionByName(several).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = written(rest.distinct(), "pairs")
     if not rest.isEmpty():
         more = verified(rest, sets, docs, k, num)
         done = components(links.unionByName(more), "a", "b").select(F.col("node").alias("id"), "root")

@@ -75,17 +75,16 @@ def levenshtein(a, b):
 
 
 def blocks_of(norm):
-    words, out = norm.split(" "), []
+    words, bits = list(dict.fromkeys(norm.split(" "))), []
     for i in range(line_dedup.HASHES):
         hashes = [xxhash.xxh64_intdigest(struct.pack("<i", i), xxhash.xxh64_intdigest(w.encode(), 42)) for w in words]
-        bits = [2 * sum(h >> b & 1 for h in hashes) > len(words) for b in range(64)]
-        out += [tuple(bits[k] for k in range(line_dedup.BITS)), tuple(bits[32 + k] for k in range(line_dedup.BITS))]
-    return out
+        bits += [2 * sum(h >> b & 1 for h in hashes) > len(words) for b in range(64)]
+    return [tuple(bits[b:b + line_dedup.BITS]) for b in range(0, len(bits), line_dedup.BITS)]
 
 
-def brute_lines(docs, similarity=0.8, far=44):
+def brute_lines(docs, similarity=0.8, far=48):
     lines = [(d is not None, d, n, line) for d, t in docs if t is not None for n, line in enumerate(t.split("\n"))]
-    norm = [re.sub(r"[\W_]+", " ", line.lower()).strip() for *_, line in lines]
+    norm = [re.sub("[\x00-/:-@\\[-`{-\xbf\xd7\xf7]+", " ", line.lower()).strip(" ") for *_, line in lines]
     names = sorted({x for x in norm if x})
     u, sig = Union(names), {x: blocks_of(x) for x in names}
     for a, b in itertools.combinations(names, 2):
@@ -111,7 +110,7 @@ def line_docs():
         for _ in range(r.randint(1, 2)):
             w[r.randrange(len(w))] = r.choice(vocabulary)
         docs.append((i, "\n".join(["the end", " ".join(w).upper() + "!", ""])))
-    return [*docs, (3, docs[3][1]), (3, docs[3][1]), (50, None), (51, ""), (52, "--\n\n..."), (53, "w " * 3000 + "\n" + line(5)), (None, base[0])]
+    return [*docs, (3, docs[3][1]), (3, docs[3][1]), (50, None), (51, ""), (52, "--\n\n..."), (53, "w " * 3000 + "\n" + line(5)), (54, " ".join(f"w{i}" for i in range(700))), (55, " ".join(f"w{i}" for i in range(701))), (None, base[0])]
 
 
 def test_line_dedup_matches_brute_force(spark):
@@ -144,7 +143,7 @@ def brute_sets(docs, k, num):
     return sorted((d, len(s), u.root(d)) for d in sets for s in sets[d])
 
 
-@pytest.mark.parametrize(("k", "num"), [(4, 85), (5, 80), (2, 50)])
+@pytest.mark.parametrize(("k", "num"), [(4, 85), (2, 50)])
 def test_set_join_matches_brute_force(spark, k, num):
     r = random.Random(k)
     words = ["w%d" % i for i in range(60)]
