@@ -236,7 +236,7 @@ def strip_columns(df: DataFrame) -> DataFrame:
 
 
 def narrow_numeric_types(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Cast numeric columns to the narrowest lossless type (one min/max/integrality job)."""
+    """Cast numeric columns to the narrowest lossless type (one aggregate job)."""
     cols = list(cols) if cols is not None else numeric_columns(df)
     if not cols:
         return df
@@ -244,7 +244,6 @@ def narrow_numeric_types(df: DataFrame, cols: Sequence[str] | None = None) -> Da
     for i, c in enumerate(cols):
         x = qcol(c)
         exprs += [F.min(x).cast("double").alias(f"mn{i}"), F.max(x).cast("double").alias(f"mx{i}"),
-                  F.count_if(x.isNotNull() & (x.cast("double") != F.floor(x.cast("double")))).alias(f"fr{i}"),
                   F.count_if(x.isNotNull() & (x.cast("float").cast("double") != x.cast("double"))).alias(f"fl{i}")]
     row = df.agg(*exprs).first()
     casts = {}

@@ -100,25 +100,18 @@ def isolation_forest_scores(df: DataFrame, cols: Sequence[str], key: str, n_tree
     n = base.count()
     if n == 0:
         return df.withColumn(out, F.lit(None).cast("double"))
-    psi = min(max_samples, n)
-    p = min(1.0, 3.0 * psi / n)
+    psi = min(max_samples, max(2, -(-n // n_trees)))
+    p = min(1.0 / n_trees, 3.0 * psi / n)
     keyed = base.select(qcol(key).cast("string").alias("__k"), x.alias("x"))
 
     def h(tree_col):
         digest = F.md5(F.concat_ws(":", F.lit(str(seed)), tree_col.cast("string"), F.col("__k")))
         return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
-    if n_trees * p <= 1.0:
-        # large data: one hash per row; its value picks the row's tree (disjoint sub-samples)
-        # and orders rows inside it, so nearly every row is dropped after a single hash
-        u = h(F.lit(-1))
-        cand = (keyed.withColumn("__u", u).where(F.col("__u") < F.lit(n_trees * p))
-                .withColumn("tree", F.floor(F.col("__u") / F.lit(p)).cast("int")))
-    else:
-        # small data: an independent hash per tree (sub-samples may overlap)
-        trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-        cand = (keyed.select("__k", "x", F.explode(F.filter(trees, lambda t: h(t) < p)).alias("tree"))
-                .withColumn("__u", h(F.col("tree"))))
+    # one hash per row: its value picks the row's tree (disjoint sub-samples) and orders rows inside
+    # it, so on large inputs nearly every row is dropped after a single hash
+    cand = (keyed.withColumn("__u", h(F.lit(-1))).where(F.col("__u") < F.lit(n_trees * p))
+            .withColumn("tree", F.least(F.floor(F.col("__u") / F.lit(p)), F.lit(n_trees - 1)).cast("int")))
     w = Window.partitionBy("tree").orderBy("__u", "__k")
     sample = cand.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= psi)
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
