@@ -195,7 +195,8 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int =
     uneven = many.select("token", *side("a")).join(single, "token").where(fits).select("a", "b")
     blocks = many.groupBy("token", "root", "block").agg(F.max("n").alias("n"), F.min("n").alias("low"), F.min("pos").alias("pos"))
     other = blocks.toDF("token", "root2", "block2", "n2", "low2", "pos2")
-    can = F.least(n, F.col("n2")) - F.greatest(p, F.col("pos2")) + F.least((F.col("block.pos") + 1) * 16, (F.col("block2.pos") + 1) * 16)
+    # no pair of two blocks has more in common: before its place at most the nearer block end, from it on at most what the larger sets have left
+    can = F.least(n - p, F.col("n2") - F.col("pos2")) + F.least((F.col("block.pos") + 1) * 16, (F.col("block2.pos") + 1) * 16)
     pairs = blocks.join(other, "token").where((F.col("root") < F.col("root2")) & (F.abs(F.col("block.size") - F.col("block2.size")) <= 1)
                                               & (can >= least_overlap(F.col("low"), F.col("low2"), num))).select("token", "root", "block", "root2", "block2")
     again = many.select("token", F.col("root").alias("root2"), F.col("block").alias("block2"), *side("b"))

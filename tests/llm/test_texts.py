@@ -167,3 +167,18 @@ def test_set_join_nulls_and_empty_table(spark):
     df = spark.createDataFrame([(None, "a b c d e"), (7, "a b c d e"), (None, "z")], "doc_id long, text string")
     assert sorted((x.doc_id or -1, x.component_id or -1) for x in set_join.join(df).collect()) == [(-1, -1), (-1, 7), (7, 7)]
     assert set_join.join(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("k", "num", "own", "more", "sizes"), [(4, 85, 0.08, 0.1, (300, 600, 1000)), (5, 80, 0.13, 0.14, (500, 1000))])
+def test_set_join_links_copies_with_an_added_passage(spark, k, num, own, more, sizes):
+    docs, new = [], itertools.count()
+    words = lambda n: ["w%d" % next(new) for _ in range(n)]
+    for g, n in enumerate(sizes):
+        body, passage = words(n), words(int(n * more))
+        group = [body + words(int(n * own))]  # first of all lists of the body; too far from the copies with the passage
+        group += [body + words(1) for _ in range(3)] + [body + passage + words(1) for _ in range(3)]
+        docs += [(100 * g + i, " ".join(w)) for i, w in enumerate(group)]
+    want = brute_sets(docs, k, num)
+    assert {c for *_, c in want} == {100 * g for g in range(len(sizes))}
+    got = set_join.join(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), k=k, num=num).collect()
+    assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in got) == want
