@@ -6,6 +6,11 @@ addresses. Each validated value goes through a keyed permutation of its own form
 is valid again, equal values get equal pseudonyms in every document, and different values stay different.
 Candidates that fail validation stay as they are.
 
+Cards and IBANs may stand beside other digits or capitals (an expiry date, a currency, another number), so
+every stretch of a run that begins and ends at a word boundary is a candidate: for cards each of 13 to
+19 digits, for IBANs the one of the length that its country fixes (any length where the country isn't
+listed). Only those that are valid are split at; the rest of the run is open to all other kinds.
+
 Everything is SQL expressions: a text is split at the candidates, the candidates are mapped one by
 one, and both are joined again. No table of values is gathered.
 """
@@ -26,7 +31,23 @@ PATTERNS = {
     "phone": r"\+[0-9](?:[ ().-]{0,2}[0-9]){6,14}(?![0-9])|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
-ANY = "|".join(PATTERNS.values())
+#: Stretches that may hold cards or IBANs, of any length.
+RUNS = {"iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9 ]{11,}", "card": r"(?<![0-9])[0-9][0-9 -]{11,}[0-9]"}
+#: Length of the IBANs of each country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES HN MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+LISTED = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+#: Candidates of a run, those of overlapping places included: one pattern for each length, the longest first.
+WITHIN = {
+    "iban": [rf"(?<![A-Za-z0-9])(?=((?:{'|'.join(rf'(?:{c.replace(" ", "|")})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}' for n, c in IBAN_LENGTHS.items())})(?![A-Za-z0-9])))",
+             *[rf"(?<![A-Za-z0-9])(?!{LISTED})(?=([A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])))" for n in range(34, 14, -1)]],
+    "card": [rf"(?<![0-9])(?=([0-9](?:[ -]?[0-9]){{{n - 1}}}(?![0-9])))" for n in range(19, 12, -1)],
+}
+EDGE = {"iban": "A-Za-z0-9", "card": "0-9"}
 DAYS_A, DAYS_B = 17, 4297  # 17 x 4297 = 73,049 days from 1900-01-01 to 2099-12-31
 
 
@@ -142,6 +163,26 @@ class Permuter:
         return (f"case when substr({m}, 5, 1) = '-' then {day(part(1, 6, 9), 'yyyy-MM-dd')} when substr({m}, 3, 1) = '.' then {day(part(7, 4, 1), 'dd.MM.yyyy')} "
                 f"else coalesce({day(part(7, 1, 4), 'MM/dd/yyyy')}, {day(part(7, 4, 1), 'dd/MM/yyyy')}) end")
 
+    def valid(self, kind: str, m: str) -> str:
+        """Whether a card or IBAN candidate passes its check digits."""
+        if kind == "card":
+            return self.let(f"regexp_replace({m}, '[^0-9]', '')", lambda d: f"{self.luhn(d)} = 0")
+        return self.let(f"replace({m}, ' ', '')", lambda x: f"{self.mod97(f'concat(substr({x}, 5), substr({x}, 1, 4))')} = 1")
+
+    def pattern(self, text: str) -> str:
+        """The pattern of one text's candidates in order of precedence; of cards and IBANs only valid ones are in it."""
+        parts = []
+        for kind, p in PATTERNS.items():
+            if kind not in RUNS:
+                parts.append(sql(p))
+                continue
+            r, c = self.name(), self.name()
+            each = f"concat({', '.join(f'regexp_extract_all({r}, {sql(w)}, 1)' for w in WITHIN[kind])})"
+            good = f"filter(array_distinct(flatten(transform(regexp_extract_all({text}, {sql(RUNS[kind])}, 0), {r} -> {each}))), {c} -> {self.valid(kind, c)})"
+            edge = EDGE[kind]
+            parts.append(self.let(f"array_join({good}, '|')", lambda v: f"if({v} = '', null, concat('(?<![{edge}])(?:', {v}, ')(?![{edge}])'))"))  # noqa: B023
+        return f"concat_ws('|', {', '.join(parts)})"
+
     def any(self, m: str) -> str:
         """(kind, pseudonym) of a candidate; (null, itself) where it isn't valid."""
         whole = "case " + " ".join(f"when {m} rlike {sql('^(?:' + p + ')$')} then {getattr(self, kind)(m)}" for kind, p in PATTERNS.items()) + " end"
@@ -156,9 +197,11 @@ def pseudonymise(df: DataFrame, text_col: str = "text", key: str = "demonstratio
     texts stay empty. Repeated rows get equal results, an empty table gives no rows. An input column
     ``n_private`` is replaced. The permutation is keyed, not a one-way hash: who holds the key can undo it."""
     text = f"`{text_col}`"
-    found = f"if({text} rlike '[0-9@]', transform(regexp_extract_all({text}, {sql(ANY)}, 0), m -> {Permuter(key).any('m')}), null)"
-    between = f"split({text}, {sql(ANY)}, -1)"
+    permuter = Permuter(key)
+    pattern = f"if({text} rlike '[0-9@]', {permuter.pattern(text)}, null)"
+    found = f"transform(regexp_extract_all({text}, __pattern, 0), m -> {permuter.any('m')})"
+    between = f"split({text}, __pattern, -1)"
     glued = f"concat(element_at({between}, 1), array_join(zip_with(__found.text, slice({between}, 2, size(__found)), (a, b) -> concat(a, b)), ''))"
     count = "cast(coalesce(size(filter(__found.kind, k -> k is not null)), 0) as int)"
-    return (df.withColumn("__found", F.expr(found)).withColumn("n_private", F.greatest(F.expr(count), F.lit(0)))
-            .withColumn(text_col, F.when(F.col("n_private") > 0, F.expr(glued)).otherwise(F.expr(text))).drop("__found"))
+    return (df.withColumn("__pattern", F.expr(pattern)).withColumn("__found", F.expr(found)).withColumn("n_private", F.greatest(F.expr(count), F.lit(0)))
+            .withColumn(text_col, F.when(F.col("n_private") > 0, F.expr(glued)).otherwise(F.expr(text))).drop("__found", "__pattern"))

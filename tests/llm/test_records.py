@@ -96,6 +96,24 @@ def test_every_kind_and_invalid_candidates(spark):
     assert got[len(texts) - 1][0] == "x" * 200_000 + " " + new["ip"]
 
 
+def test_cards_and_ibans_beside_other_digits_and_capitals(spark):
+    c, e, x, i = "4111 1111 1111 1111", "3782 822463 10005", "4111111111111111", "DE89 3704 0044 0532 0130 00"
+    y, other = "DE89370400440532013000", next(o for n in range(100) if iban(o := f"XX{n:02d} 1234 5678 9012 345"))
+    texts = [c, e, i, f"{c} 12/27", f"{x} 123", f"pay 4242 {c} 123.", f"{e} {c}", f"{x}-5500000000000004 {c}", f"{c} 12/05/2027", f"{c} 10.0.0.1", f"{c} 2027-05-01",
+             f"{y} EUR", f"{i} BIC COBADEFFXXX", f"IBAN {i} {y} {c}", f"ABC {y} 12", f"{other} EUR", "4111 1111 1111 1112 123", f"{y}X", f"9{c}", "DE90 3704 0044 0532 0130 00 EUR"]
+    got = run_pii(spark, texts)
+    card, amex, bank = (got[n][0] for n in range(3))
+    assert luhn(card.replace(" ", "")) and luhn(amex.replace(" ", "")) and iban(bank) and (card, amex, bank) != (c, e, i)
+    plain, bare = card.replace(" ", ""), bank.replace(" ", "")
+    assert [got[n] for n in range(3, 8)] == [(f"{card} 12/27", 1), (f"{plain} 123", 1), (f"pay 4242 {card} 123.", 1), (f"{amex} {card}", 2), (f"{plain}-{got[7][0][17:33]} {card}", 3)]
+    assert luhn(got[7][0][17:33]) and got[7][0][17:33] != "5500000000000004"
+    for n, rest in ((8, "12/05/2027"), (9, "10.0.0.1"), (10, "2027-05-01")):
+        assert got[n][0].startswith(card + " ") and rest not in got[n][0] and got[n][1] == 2
+    assert [got[n] for n in range(11, 15)] == [(f"{bare} EUR", 1), (f"{bank} BIC COBADEFFXXX", 1), (f"IBAN {bank} {bare} {card}", 3), (f"ABC {bare} 12", 1)]
+    assert iban(got[15][0][:-4]) and got[15][0] != texts[15] and got[15][0].endswith(" EUR") and got[15][1] == 1
+    assert [got[n] for n in range(16, len(texts))] == [(t, 0) for t in texts[16:]]
+
+
 def test_permutations_are_one_to_one(spark):
     days = [f"{1900 + i // 336}-{i // 28 % 12 + 1:02d}-{i % 28 + 1:02d}" for i in range(0, 200 * 336, 37)]
     got = run_pii(spark, days)
