@@ -46,6 +46,29 @@ def test_trees_learn_what_the_rules_mark(spark):
     assert [verdict[160 + i] for i in range(20)] == ["block"] * 10 + ["allow"] * 10
 
 
+def test_suffix_statistics_come_from_all_labelled_urls(spark):
+    urls = [f"http://h{i}.net/spam/{i}" for i in range(60)] + [f"http://h{i}.org/a{i % 3}/{i}" for i in range(90)]
+    rows = spark.createDataFrame([(u, *u[7:].split("/", 1), float("spam" in u)) for u in urls], "url string, host string, path string, label double")
+    known = url_boosting.with_suffixes(rows.withColumn("path", F.concat(F.lit("/"), "path"))).withColumn("fold", F.length("url") % 3)
+    stats = {}
+    for x in url_boosting.suffix_counts(known).collect():
+        a, b = stats.get((x.kind, x.value), (0, 0))
+        stats[x.kind, x.value] = (a + x.blocked, b + x.n)
+    assert stats["tld", "net"] == (60.0, 60) and stats["tld", "org"] == (0.0, 90) and stats["segment", "/spam"] == (60.0, 60)
+    assert stats["segment", "/a0"] == (0.0, 30) and len([k for k in stats if k[0] == "domain"]) == 150
+    one = url_boosting.with_rates(known, url_boosting.suffix_counts(known), 0.4, 4.0, apart=True).where("url = 'http://h7.net/spam/7'").first()
+    others = sum("net" in u and len(u) % 3 != one.fold for u in urls)  # all but its own fold
+    assert 0 < others < 60 and abs(one.tld_rate - (others + 1.6) / (others + 4)) < 1e-12 and abs(one.tld_count - np.log1p(others)) < 1e-12
+    assert abs(one.domain_rate - 0.4) < 1e-12 and one.domain_count == 0
+    every = url_boosting.with_rates(known, url_boosting.suffix_counts(known), 0.4, 4.0).where("url = 'http://h7.net/spam/7'").first()
+    assert abs(every.tld_rate - 61.6 / 64) < 1e-12 and abs(every.domain_rate - 2.6 / 5) < 1e-12
+    # the verdict of a row without a rule hangs on its segment, also where the sample has no URL of it
+    ruled = [(f"com/s{i:02d}/", ("block", "allow")[i % 2]) for i in range(40)]
+    urls = [f"http://h{j:02d}{i:02d}.com/s{i:02d}/q" for j in range(12) for i in range(40)] + [f"http://h99{i:02d}.info/s{i:02d}/q" for i in range(40)]
+    verdict = {x.page_id: x.verdict for x in url_boosting.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules=ruled, sample=60).collect()}
+    assert [verdict[480 + i] for i in range(40)] == ["block", "allow"] * 20
+
+
 def luhn(d):
     return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
 
