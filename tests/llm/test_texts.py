@@ -122,6 +122,24 @@ def test_line_dedup_matches_brute_force(spark):
     assert all((x.group is None) <= x.kept for x in got)
 
 
+@pytest.mark.parametrize(("words", "least"), [((6, 10), 0.6), ((11, 20), 0.8), ((21, 40), 0.7), ((41, 80), 0.6)])
+def test_line_dedup_recall_by_length(spark, words, least):
+    r = random.Random(words[0])
+    vocabulary = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(4, 8))) for _ in range(3000)]
+    docs = []
+    for i in range(200):  # pairs of lines of edit similarity 0.8 or more; a tenth of the words differ, at least one
+        a = [r.choice(vocabulary) for _ in range(r.randint(*words))]
+        b = list(a)
+        for at in r.sample(range(len(a)), max(1, len(a) // 10)):
+            b[at] = r.choice([w for w in vocabulary[:200] if len(w) == len(a[at])])
+        x, y = " ".join(a), " ".join(b)
+        if x != y and levenshtein(x, y) <= 0.2 * max(len(x), len(y)) + 1e-9:
+            docs += [(2 * i, x), (2 * i + 1, y)]
+    got = line_dedup.mark(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert len(docs) > 200 and all(x.kept for x in got if x.doc_id % 2 == 0)
+    assert sum(not x.kept for x in got) >= least * len(docs) / 2
+
+
 def test_line_dedup_rebuilds_documents(spark):
     docs = [(1, "Alpha beta\n\ngamma delta", "x"), (2, "ALPHA, beta\nnew line here", "y"), (3, "gamma   delta", "z"), (4, None, "n"), (5, "", "e"), (6, "..", "d"), (7, "alpha beta", "all gone")]
     df = spark.createDataFrame(docs, "doc_id long, text string, `group` string").withColumn("kept", F.lit(1)).withColumn("line no", F.lit(2))
