@@ -131,3 +131,11 @@ def test_pipeline_stages_on_a_small_corpus(spark, tmp_path, sp):
     texts = {x.doc_id: x.text for x in seen[2]}
     assert all(x.round_trip and list(x.ids) == sp.encode(texts[x.doc_id]) for x in seen[4])
     assert sorted((x.doc_id, tuple(x.ids)) for x in corpus_pipeline.run(spark, sf).collect()) == sorted((x.doc_id, tuple(x.ids)) for x in seen[4])
+
+
+def test_near_duplicates_are_rows_not_ids(spark):
+    text = lambda c: " ".join(f"{c}{i}" for i in range(60))
+    docs = [(1, text("a")), (1, text("b")), (2, text("a") + " more"), (None, text("c")), (None, text("c")), (None, text("b")), (None, text("d")), (3, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = corpus_pipeline.jaccard_join(spark, df, "").collect()
+    assert sorted((x.doc_id or 0, x.text or "") for x in got) == [(0, text("c")), (0, text("d")), (1, text("a")), (1, text("b")), (3, "")]
