@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_multiprobe, budget_mix, feistel_pii, line_dedup, mil_quality, multi_index, piece_codec, set_join, url_boosting, vector_packing
+from . import (
+    ann_multiprobe,
+    budget_mix,
+    difference_packing,
+    feistel_pii,
+    line_dedup,
+    mil_quality,
+    multi_index,
+    piece_codec,
+    set_join,
+    source_audit,
+    token_align,
+    url_boosting,
+    vector_packing,
+)
 from .frames import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +108,37 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return budget_mix.mix(docs, "doc_id", "source", "text").select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op11_source_audit", """
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+t AS MATERIALIZED (SELECT lang, source, r, term, count(*) AS n FROM (SELECT lang, source, r, unnest(w) AS term FROM d) GROUP BY ALL),
+kept AS MATERIALIZED (SELECT lang, term, sum(n) AS total FROM t GROUP BY ALL HAVING count(*) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+grp AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+has AS MATERIALIZED (SELECT lang, source, term, sum(n) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+own AS (SELECT lang, source, sum(n) AS n FROM has GROUP BY ALL),
+p AS MATERIALIZED (SELECT g.lang, g.source, k.term, coalesce(h.n, 0) AS c, k.total, v.n AS lang_n, v.v,
+                          1 + 1000000000 * (coalesce(h.n, 0) + 5)::HUGEINT // (coalesce(o.n, 0) + 5 * v.v) AS p
+      FROM grp g JOIN kept k ON k.lang = g.lang JOIN v ON v.lang = g.lang LEFT JOIN own o ON o.lang = g.lang AND o.source = g.source
+      LEFT JOIN has h ON h.lang = g.lang AND h.source = g.source AND h.term = k.term),
+pair AS (SELECT a.lang, a.source, b.source AS item, coalesce(s.f, 0) AS f FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+         LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS f FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL) s
+         ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+term AS (SELECT lang, source, term AS item, p - (1 + 1000000000 * (total + 5)::HUGEINT // (lang_n + 5 * v)) AS f FROM p WHERE c > 0),
+every AS (SELECT lang, source, 'pair' AS part, item, f FROM pair UNION ALL SELECT lang, source, 'term', item, f FROM term WHERE f > 0)
+SELECT lang, source, part, item, CAST(f AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY f DESC, item) AS INTEGER) AS rank
+FROM every QUALIFY part = 'pair' OR rank <= 50""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(read_table(spark, sf_dir, "documents"))
+
+
+@query("op12_token_align")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align(read_table(spark, sf_dir, "documents"))
+
+
+@query("op13_difference_packing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return difference_packing.pack(read_table(spark, sf_dir, "documents"))
