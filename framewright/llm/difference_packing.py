@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
 import os
 import re
 import zlib
@@ -22,41 +23,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import written
+from .frames import chunks_of, written
 
 TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 END = 2
 CAPACITY = 4096
-#: White space for every pattern engine; a tokenizer that drops white space never joins ids across it.
-WORDS = re.compile("[^ \t\n\r\x0b\x0c]+")
+#: Letters and digits on the one hand, ASCII signs on the other: ids are never joined across them, nor are code points
+#: composed. The apostrophe belongs to both, and signs beside other characters stay with them.
+SIGNS = r"!-&(-/:-@\[-`{-~"
+APART = re.compile(f"(?<=[0-9a-z])(?=[{SIGNS}])|(?<=[{SIGNS}])(?=[0-9a-z])")
 
 
 class Words:
-    """Ids by word, as little-endian unsigned 32-bit numbers, learned once and forgotten when they grow too many."""
+    """Ids of words as little-endian unsigned 32-bit numbers, learned once per worker.
 
-    def __init__(self, file: str, most: int = 300_000):
+    The tokenizer drops white space and lowers letters, so ids follow from the lower-case words (A-Z alone are
+    lowered here) and, in a word, from its stretches of letters and of signs. A text that could hold a special
+    token is encoded by its words as they are. When more than ``most`` words are known, those of the current texts stay."""
+
+    def __init__(self, file: str, most: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.known = Tokenizer.from_file(file), most, {}
-
-    def encode(self, text: str) -> bytes:
-        words = WORDS.findall(text)
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            if len(self.known) > self.most:
-                self.known.clear()
-            new = [w for w in dict.fromkeys(words) if w not in self.known]
-            for lo in range(0, len(new), 4096):
-                some = new[lo:lo + 4096]
-                for w, got in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                    self.known[w] = np.array(got.ids, dtype="<u4").tobytes()
-            out = b"".join(map(self.known.__getitem__, words))
-            for w in new:
-                if len(w) > 64:
-                    del self.known[w]
-            return out
+        self.tokenizer, self.most, self.words, self.parts = Tokenizer.from_file(file), most, {}, {}
+        self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def ids(self, parts: list[str]) -> list[bytes]:
+        out = []
+        for lo in range(0, len(parts), 4096):
+            got = [x.ids for x in self.tokenizer.encode_batch(parts[lo:lo + 4096], add_special_tokens=False)]
+            flat, ends = np.array(list(itertools.chain.from_iterable(got)), dtype="<u4").tobytes(), [0, *itertools.accumulate(4 * len(x) for x in got)]
+            out += [flat[i:j] for i, j in itertools.pairwise(ends)]
+        return out
+
+    def learn(self, words: list[bytes]) -> None:
+        cut = [APART.split(w.decode()) for w in words]
+        new = [p for p in dict.fromkeys(itertools.chain.from_iterable(cut)) if p not in self.parts]
+        self.parts.update(zip(new, self.ids(new), strict=True))
+        get = self.parts.__getitem__
+        self.words.update((w, get(c[0]) if len(c) == 1 else b"".join(map(get, c))) for w, c in zip(words, cut, strict=True))
+        if len(self.parts) > self.most:
+            self.parts.clear()
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        data = [(t or "").encode().lower() for t in texts]
+        plain = [not any(s in d for s in self.special) for d in data]
+        words = [d.split() if p else [] for d, p in zip(data, plain, strict=True)]  # splits bytes at ASCII white space only
+        every = dict.fromkeys(itertools.chain.from_iterable(words))
+        self.learn([w for w in every if w not in self.words])
+        out = [b"".join(map(self.words.__getitem__, x)) if p else b"".join(self.ids([w.decode() for w in t.encode().split()]))
+               for x, p, t in zip(words, plain, texts, strict=True)]
+        if len(self.words) > self.most:
+            self.words = {w: self.words[w] for w in every if len(w) <= 64}
+        return out
 
 
 @functools.lru_cache(maxsize=2)
@@ -73,11 +92,10 @@ def tokenised(df: DataFrame, id_col: str, text_col: str, file: str, capacity: in
     def run(batches):
         words = words_of(file)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
+            for part in chunks_of(batch, 2):
                 tokens, crcs, full, tail = [], [], [], []
-                for text in part.column(2).to_pylist():
-                    ids = words.encode(text or "") + end
+                for ids in words.encode(part.column(2).to_pylist()):
+                    ids += end
                     whole = len(ids) - len(ids) % width
                     pieces = [ids[i:i + width] for i in range(0, whole, width)]
                     tokens.append(len(ids) // 4)

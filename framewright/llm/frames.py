@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +29,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def chunks_of(batch: pa.RecordBatch, text: int, size: int = 1 << 20):
+    """Slices of ``batch`` with about ``size`` bytes in column ``text``; a longer text is a slice of its own."""
+    lengths = np.asarray(pc.binary_length(batch.column(text)).fill_null(0), dtype=np.int64)
+    ends, lo = np.cumsum(lengths), 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - lengths[lo] + size, side="right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def ascii_lower(col):
     """Lower-case A-Z only."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

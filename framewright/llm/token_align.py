@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
+import json
 import os
 import re
 
@@ -24,10 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import written
+from .frames import chunks_of, written
 
 MODEL_A = "/opt/tokenizers/byte_bpe_50k.json"
 MODEL_B = "/opt/tokenizers/piece_bpe_32k.model"
+#: The published pattern that splits text before byte-level merges.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -46,76 +50,104 @@ def coalesce(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return order, np.cumsum(breaks)
 
 
+def ranks_of(file: str) -> dict[bytes, int] | None:
+    """Bytes and ids of a byte-level BPE file whose merges rank by id and that splits text by ``PATTERN``; None for other files."""
+    with open(file, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, split = spec["model"], spec["pre_tokenizer"] or {}
+    plain = {k: v for k, v in model.items() if k not in ("type", "vocab", "merges") and v}
+    if model["type"] != "BPE" or plain or spec["normalizer"] or split.get("type") != "ByteLevel" or split["add_prefix_space"] or not split["use_regex"]:
+        return None
+    special = {t["content"] for t in spec["added_tokens"]}
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    made = [model["vocab"].get(x + y, -1) for x, y in pairs]
+    if made != sorted(set(made)) or made and made[0] < 256:
+        return None
+    of = byte_alphabet()
+    return {bytes(of[c] for c in k): i for k, i in model["vocab"].items() if k not in special}
+
+
 class Aligner:
-    """Both tokenizers, and what is known of units: (A tokens, B tokens, groups as text, linked pairs), or None where bytes differ."""
+    """Both tokenizers, and what is known of units: (A tokens, B tokens, groups as text, linked pairs), or None where bytes differ.
+
+    Where A's file allows it, units of Latin letters (those that every Unicode version classes alike) are encoded
+    by the faster of the two libraries that read such vocabularies; the ids are the same."""
 
-    def __init__(self, file_a: str, file_b: str, most: int = 100_000):
+    def __init__(self, file_a: str, file_b: str, most: int = 60_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
         self.a, self.b = Tokenizer.from_file(file_a), SentencePieceProcessor(model_file=file_b)
         self.a.encode_special_tokens = True
+        self.fast = None
+        if ranks := ranks_of(file_a):
+            import tiktoken
+            self.fast = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         of, size = byte_alphabet(), self.a.get_vocab_size(with_added_tokens=False)
         self.bytes_a = [bytes(of.get(c, 0x3F) for c in self.a.id_to_token(i) or "") for i in range(size)]
         piece = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.bytes_b = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(piece)]
+        self.size_a, self.size_b = (np.array(list(map(len, x)), dtype=np.int64) for x in (self.bytes_a, self.bytes_b))
+        # an id as text with what follows it: "," inside a group, "|" after its last A token, ";" after its last B token
+        self.text_a, self.text_b = (np.array([f"{i}{c}" for i in range(n) for c in "," + last], dtype=object) for n, last in ((size, "|"), (len(piece), ";")))
         self.most, self.known = most, {}
 
     def units(self, text: str) -> list[str]:
         return CUT.split(" " + text)
 
+    def encode_a(self, units: list[str]) -> list[list[int]]:
+        quick = [self.fast is not None and (u.isascii() or max(u) < "\u0250") for u in units]
+        slow = iter(self.a.encode_batch([u for u, q in zip(units, quick, strict=True) if not q], add_special_tokens=False))
+        return [self.fast.encode_ordinary(u) if q else next(slow).ids for u, q in zip(units, quick, strict=True)]
+
     def learn(self, units: list[str]) -> None:
-        """Encode and coalesce new units, some thousand on one axis at a time."""
-        lo = 0
+        """Encode and coalesce new units, about 256 KB on one axis at a time."""
+        lo, ends = 0, np.cumsum([len(u) for u in units])
         while lo < len(units):
-            hi, size = lo, 0
-            while hi < len(units) and (hi == lo or hi - lo < 4096 and size < 1 << 20):
-                size += len(units[hi])
-                hi += 1
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + (1 << 18))))
             some = units[lo:hi]
-            ids_a = [x.ids for x in self.a.encode_batch(some, add_special_tokens=False)]
-            ids_b = self.b.encode([x[1:] for x in some], num_threads=1)
-            good = []
-            for unit, a, b in zip(some, ids_a, ids_b, strict=True):
-                data = unit.encode()
-                if b"".join(map(self.bytes_a.__getitem__, a)) == data == b"".join(map(self.bytes_b.__getitem__, b)):
-                    good.append((unit, a, b))
-                else:
-                    self.known[unit] = None
-            if good:
-                self.put(good)
+            self.put(some, self.encode_a(some), self.b.encode([x[1:] for x in some], num_threads=1))
             lo = hi
 
-    def put(self, good: list[tuple[str, list[int], list[int]]]) -> None:
-        ids = [np.array([i for x in good for i in x[k]], dtype=np.int64) for k in (1, 2)]
-        ends = [np.cumsum([len(table[i]) for i in one]) for one, table in zip(ids, (self.bytes_a, self.bytes_b), strict=True)]
-        starts = [np.concatenate([[0], e[:-1]]) for e in ends]
-        na = len(ids[0])
-        order, group = coalesce(np.concatenate(starts), np.concatenate(ends))
+    def put(self, units: list[str], ids_a: list[list[int]], ids_b: list[list[int]]) -> None:
+        a, b = (np.array(list(itertools.chain.from_iterable(x)), dtype=np.int64) for x in (ids_a, ids_b))
+        n_a, n_b = (np.array(list(map(len, x)), dtype=np.int64) for x in (ids_a, ids_b))
+        data = [u.encode() for u in units]
+        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        cut, cut_a, cut_b = np.cumsum([len(x) for x in data]), np.cumsum(n_a), np.cumsum(n_b)
+        spelled = [b"".join(map(table.__getitem__, x.tolist())) for table, x in ((self.bytes_a, a), (self.bytes_b, b))]
+        whole = b"".join(data)
+        if not (spelled[0] == spelled[1] == whole and n_a.all() and n_b.all() and (end_a[cut_a - 1] == cut).all() and (end_b[cut_b - 1] == cut).all()):
+            spells = lambda x, table, want: b"".join(map(table.__getitem__, x)) == want
+            good = [i for i, x in enumerate(data) if spells(ids_a[i], self.bytes_a, x) and spells(ids_b[i], self.bytes_b, x)]
+            self.known.update(dict.fromkeys(units))
+            if good:
+                self.put(*([x[i] for i in good] for x in (units, ids_a, ids_b)))
+            return
+        starts = np.concatenate([end_a - self.size_a[a], end_b - self.size_b[b]])
+        order, group = coalesce(starts, np.concatenate([end_a, end_b]))
         of = np.empty(len(order), dtype=np.int64)
         of[order] = group
-        end = np.concatenate(ends)
-        of_a, of_b, end_a, end_b = of[:na], of[na:], end[:na], end[na:]
+        of_a, of_b = of[:len(a)], of[len(a):]
         # tokens of a group that end together: its last ones, as the group breaks at every end in common
-        last_a, last_b = np.flatnonzero(np.diff(of_a, append=-1)), np.flatnonzero(np.diff(of_b, append=-1))
-        assert (end_a[last_a] == end_b[last_b]).all()
-        pairs = (ids[1][last_b] << 32 | ids[0][last_a]).astype(np.int64)
-        text_a, text_b = list(map(str, ids[0].tolist())), list(map(str, ids[1].tolist()))
-        cut_a, cut_b = [0, *(last_a + 1).tolist()], [0, *(last_b + 1).tolist()]
-        texts = [",".join(text_a[cut_a[g]:cut_a[g + 1]]) + "|" + ",".join(text_b[cut_b[g]:cut_b[g + 1]]) for g in range(len(last_a))]
-        first = np.searchsorted(end_a[last_a], np.cumsum([0] + [len(x[0].encode()) for x in good]), side="right")
-        for i, (unit, a, b) in enumerate(good):
-            g = slice(int(first[i]), int(first[i + 1]))
-            self.known[unit] = (len(a), len(b), ";".join(texts[g]), pairs[g].tobytes())
+        is_a, is_b = np.diff(of_a, append=-1) != 0, np.diff(of_b, append=-1) != 0
+        last_a, last_b = np.flatnonzero(is_a), np.flatnonzero(is_b)
+        pairs = (b[last_b] << 32 | a[last_a]).tobytes()
+        texts = np.empty(len(order), dtype=object)
+        texts[np.arange(len(a)) + np.concatenate([[0], last_b + 1])[of_a]] = self.text_a[2 * a + is_a]
+        texts[np.arange(len(b)) + (last_a + 1)[of_b]] = self.text_b[2 * b + is_b]
+        texts, ends, groups = texts.tolist(), (cut_a + cut_b).tolist(), (8 * (of_a[cut_a - 1] + 1)).tolist()
+        lo = g = 0
+        for unit, x, y, hi, h in zip(units, n_a.tolist(), n_b.tolist(), ends, groups, strict=True):
+            self.known[unit] = (x, y, "".join(texts[lo:hi]), pairs[g:h])
+            lo, g = hi, h
 
     def align(self, texts: list[str | None]) -> list[tuple[int, int, str, bytes]]:
         """(A tokens, B tokens, groups as text, pairs as 64-bit numbers ``b << 32 | a``) of every text."""
-        if len(self.known) > self.most:
-            self.known.clear()
         units = [self.units(t) if t else [] for t in texts]
-        new = [u for u in dict.fromkeys(u for one in units for u in one) if u not in self.known]
-        self.learn(new)
+        every = dict.fromkeys(itertools.chain.from_iterable(units))
+        self.learn([u for u in every if u not in self.known])
         out = []
         for one in units:
             got = list(map(self.known.__getitem__, one))
@@ -123,10 +155,9 @@ class Aligner:
                 out.append((0, 0, "", b""))
             else:
                 n_a, n_b, groups, pairs = zip(*got, strict=True)
-                out.append((sum(n_a), sum(n_b), ";".join(groups), b"".join(pairs)))
-        for u in new:
-            if len(u) > 64:
-                del self.known[u]
+                out.append((sum(n_a), sum(n_b), "".join(groups)[:-1], b"".join(pairs)))
+        if len(self.known) > self.most:
+            self.known = {u: self.known[u] for u in every if len(u) <= 64}
         return out
 
 
@@ -135,16 +166,6 @@ def aligner_of(file_a: str, file_b: str) -> Aligner:
     return Aligner(file_a, file_b)
 
 
-def chunks_of(batch: pa.RecordBatch, size: int = 2 << 20):
-    """Slices of a batch of (id, text) with about ``size`` bytes of text; a longer text is a slice of its own."""
-    lengths = np.asarray(pa.compute.binary_length(batch.column(1)).fill_null(0), dtype=np.int64)
-    lo = 0
-    while lo < batch.num_rows:
-        hi = max(lo + 1, lo + int(np.searchsorted(np.cumsum(lengths[lo:]), size, side="right")))
-        yield batch.slice(lo, hi - lo)
-        lo = hi
-
-
 def aligned(df: DataFrame, id_col: str, text_col: str, file_a: str, file_b: str, with_groups: bool) -> DataFrame:
     """A row per chunk of texts: (chunk, docs, pairs, times). ``docs`` refers to the chunk's distinct pairs by place."""
     some = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
@@ -155,7 +176,7 @@ def aligned(df: DataFrame, id_col: str, text_col: str, file_a: str, file_b: str,
     def run(batches):
         aligner = aligner_of(file_a, file_b)
         for batch in batches:
-            for part in chunks_of(batch):
+            for part in chunks_of(batch, 1):
                 n_a, n_b, groups, links = zip(*aligner.align(part.column(1).to_pylist()), strict=True)
                 sha = [hashlib.sha256(x.encode()).hexdigest() if x else "" for x in groups]
                 codes, place, times = np.unique(np.frombuffer(b"".join(links), dtype=np.int64), return_inverse=True, return_counts=True)
@@ -177,7 +198,7 @@ def align(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", file_a:
     tokens don't spell blank and text, have no tokens: zeros and an empty string. ``n_best`` counts the
     links whose pair is the commonest one, ties included, of its B id in the table, ``count_sum`` adds up the counts of the
     links' pairs. Repeated rows, equal and null ids are texts of their own; an empty table gives no rows. Input columns
-    other than the two named aren't read. A chunk holds about 2 MB of text, so a very common pair is one row per chunk."""
+    other than the two named aren't read. A chunk holds about 1 MB of text, so a very common pair is one row per chunk."""
     table = written(aligned(df, id_col, text_col, file_a, file_b, with_groups).withColumn("chunk", F.monotonically_increasing_id()), "links")
     each = table.select("chunk", F.explode(F.arrays_zip("pairs", "times")).alias("x")).select("chunk", F.col("x.pairs").alias("pair"), F.col("x.times").alias("times"))
     counts = each.groupBy("pair").agg(F.sum("times").alias("count"))

@@ -251,3 +251,19 @@ def test_windows_hold_everything_within_capacity(sizes):
             assert len(found) == -(-int(sizes.sum()) // 64)  # the count rises only as far as it must
         else:
             assert sorted(f for f in fill if f < 64) == [1 << b for b in range(6) if rest >> b & 1]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(list("abZé ΣİßǺ̸,.<|>'-_!1²\t\n\x1c\x85\xa0東ａ﷐endoftxs")), max_size=30), max_size=4))
+def test_ids_of_words_equal_those_of_whole_texts(texts):
+    words, aligner = difference_packing.words_of(difference_packing.TOKENIZER), token_align.aligner_of(token_align.MODEL_A, token_align.MODEL_B)
+    texts = [*texts, "<|ENDOFTEXT|> a", "x<|endoftext|>,y <|startoftext|>'s don't, Don'T."]
+    want = [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in words.encode(texts)] == want
+    for t, (n_a, n_b, groups, _) in zip(texts, aligner.align(texts), strict=True):
+        a, b = aligner.a.encode(" " + t, add_special_tokens=False).ids, aligner.b.encode(t)
+        if n_a:
+            assert [int(x) for g in groups.split(";") for x in g.split("|")[0].split(",")] == a
+            assert [int(x) for g in groups.split(";") for x in g.split("|")[1].split(",")] == b
+        else:
+            assert not t or "".join(aligner.b.id_to_piece(b)).replace("▁", " ") != " " + t
