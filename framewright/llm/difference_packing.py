@@ -13,6 +13,7 @@ from __future__ import annotations
 import functools
 import heapq
 import itertools
+import json
 import os
 import re
 import zlib
@@ -24,57 +25,156 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .frames import chunks_of, written
+from .textkit import LOWER, byte_alphabet, slices, span_hashes, spans
 
 TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 END = 2
 CAPACITY = 4096
-#: Letters and digits on the one hand, ASCII signs on the other: ids are never joined across them, nor are code points
-#: composed. The apostrophe belongs to both, and signs beside other characters stay with them.
-SIGNS = r"!-&(-/:-@\[-`{-~"
-APART = re.compile(f"(?<=[0-9a-z])(?=[{SIGNS}])|(?<=[{SIGNS}])(?=[0-9a-z])")
+#: Words of ASCII and Latin-1 lower-case letters alone, which no normaliser changes, and their pieces by the
+#: tokenizer's published pattern.
+SIMPLE = re.compile("[!-~ß-öø-ÿ]{1,64}")
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
+class Merges:
+    """The merges of a byte-level BPE file with a word-end suffix, applied to many pieces at once."""
+
+    NONE = np.int64(1 << 40)
+
+    def __init__(self, file: str):
+        with open(file, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        vocab, end = model["vocab"], model["end_of_word_suffix"]
+        alphabet = {b: c for c, b in byte_alphabet().items()}
+        self.byte, self.last = (np.array([vocab[alphabet[b] + x] for b in range(256)], dtype=np.int64) for x in ("", end))
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        code = np.array([vocab[x] << 32 | vocab[y] for x, y in pairs], dtype=np.int64)
+        order = np.argsort(code)
+        self.code, self.rank, self.made = code[order], order, np.array([vocab[x + y] for x, y in pairs], dtype=np.int64)
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        code = left << 32 | right
+        at = np.minimum(np.searchsorted(self.code, code), len(self.code) - 1)
+        return np.where((self.code[at] == code) & (right >= 0), self.rank[at], self.NONE)
+
+    def apply(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, start, size): every piece's ids. In a round, every piece that can still be merged does its first merge of lowest rank."""
+        flat_ids, done, start, many = [], 0, np.zeros(len(pieces), dtype=np.int64), np.zeros(len(pieces), dtype=np.int64)
+        size = np.array(list(map(len, pieces)), dtype=np.int64)
+        order, lo = np.argsort(size, kind="stable"), 0
+        while lo < len(order):
+            hi = min(int(np.searchsorted(size[order], max(8, 2 * size[order[lo]]), side="right")), lo + 16384)
+            row, width = order[lo:hi], int(size[order[hi - 1]])
+            flat = np.frombuffer(b"".join(pieces[i].ljust(width, b"\0") for i in row), dtype=np.uint8).reshape(len(row), width)
+            col, last = np.arange(width), (size[row] - 1)[:, None]
+            ids = np.where(col < last, self.byte[flat], np.where(col == last, self.last[flat], -1))
+            rank = np.concatenate([self.ranks(ids[:, :-1], ids[:, 1:]), np.full((len(row), 1), self.NONE)], axis=1)
+            while len(row):
+                at = rank.argmin(axis=1)
+                best = rank[np.arange(len(row)), at]
+                on = best < self.NONE
+                if not on.all():
+                    full = ids[~on] >= 0
+                    n = full.sum(axis=1)
+                    flat_ids.append(ids[~on][full].astype("<u4"))
+                    many[row[~on]], start[row[~on]], done = n, done + np.cumsum(n) - n, done + int(n.sum())
+                row, ids, rank, at, best = row[on], ids[on], rank[on], at[on], best[on]
+                here, shift = np.arange(len(row)), np.minimum(col + (col > at[:, None]), width - 1)
+                ids, rank = np.take_along_axis(ids, shift, 1), np.take_along_axis(rank, shift, 1)
+                ids[:, -1], rank[:, -1] = np.where(at == width - 1, ids[:, -1], -1), self.NONE
+                ids[here, at] = self.made[best]
+                after = np.where(at + 1 < width, ids[here, np.minimum(at + 1, width - 1)], -1)
+                rank[here, at] = self.ranks(ids[here, at], after)
+                some = here[at > 0]
+                rank[some, at[some] - 1] = self.ranks(ids[some, at[some] - 1], ids[some, at[some]])
+            lo = hi
+        return np.concatenate(flat_ids) if flat_ids else np.zeros(0, "<u4"), start, many
+
+
+def ragged(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the stretches of ``flat`` one after the other, where each of them begins, with the end)."""
+    before = np.concatenate([[0], np.cumsum(size)])
+    return flat[np.repeat(start - before[:-1], size) + np.arange(before[-1])], before
 
 
 class Words:
-    """Ids of words as little-endian unsigned 32-bit numbers, learned once per worker.
+    """Ids of words as unsigned 32-bit numbers, learned once per worker and found again by the words' 64-bit hashes.
 
-    The tokenizer drops white space and lowers letters, so ids follow from the lower-case words (A-Z alone are
-    lowered here) and, in a word, from its stretches of letters and of signs. A text that could hold a special
-    token is encoded by its words as they are. When more than ``most`` words are known, those of the current texts stay."""
+    The tokenizer drops white space and lowers letters, so the ids of a text are those of its lower-case words
+    (A-Z alone are lowered here). Words of simple letters are merged together in numpy, others go to the tokenizers
+    library. A text that could hold a special token goes there by its words as they are. When more than ``most``
+    words are known, those of the current texts stay."""
 
     def __init__(self, file: str, most: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.words, self.parts = Tokenizer.from_file(file), most, {}, {}
+        self.tokenizer, self.most = Tokenizer.from_file(file), most
         self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
-
-    def ids(self, parts: list[str]) -> list[bytes]:
+        self.merges = Merges(file) if self.fits(file) else None
+        self.keys, self.start, self.size, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    @staticmethod
+    def fits(file: str) -> bool:
+        """Whether the file splits and normalises as ``PIECES`` and ``SIMPLE`` take for granted."""
+        with open(file, encoding="utf-8") as f:
+            spec = json.load(f)
+        steps, split, model = (spec["normalizer"] or {}).get("normalizers", []), (spec["pre_tokenizer"] or {}).get("pretokenizers", []), spec["model"]
+        return ([x["type"] for x in steps] == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in split] == ["Split", "ByteLevel"]
+                and split[0]["pattern"] == {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"} and not split[1]["add_prefix_space"]
+                and model["type"] == "BPE" and bool(model["end_of_word_suffix"]) and not model["dropout"] and not model["continuing_subword_prefix"])
+
+    def library(self, words: list[str]) -> list[np.ndarray]:
         out = []
-        for lo in range(0, len(parts), 4096):
-            got = [x.ids for x in self.tokenizer.encode_batch(parts[lo:lo + 4096], add_special_tokens=False)]
-            flat, ends = np.array(list(itertools.chain.from_iterable(got)), dtype="<u4").tobytes(), [0, *itertools.accumulate(4 * len(x) for x in got)]
-            out += [flat[i:j] for i, j in itertools.pairwise(ends)]
+        for lo in range(0, len(words), 4096):
+            out += [np.array(x.ids, dtype="<u4") for x in self.tokenizer.encode_batch(words[lo:lo + 4096], add_special_tokens=False)]
         return out
 
-    def learn(self, words: list[bytes]) -> None:
-        cut = [APART.split(w.decode()) for w in words]
-        new = [p for p in dict.fromkeys(itertools.chain.from_iterable(cut)) if p not in self.parts]
-        self.parts.update(zip(new, self.ids(new), strict=True))
-        get = self.parts.__getitem__
-        self.words.update((w, get(c[0]) if len(c) == 1 else b"".join(map(get, c))) for w, c in zip(words, cut, strict=True))
-        if len(self.parts) > self.most:
-            self.parts.clear()
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        data = [(t or "").encode().lower() for t in texts]
-        plain = [not any(s in d for s in self.special) for d in data]
-        words = [d.split() if p else [] for d, p in zip(data, plain, strict=True)]  # splits bytes at ASCII white space only
-        every = dict.fromkeys(itertools.chain.from_iterable(words))
-        self.learn([w for w in every if w not in self.words])
-        out = [b"".join(map(self.words.__getitem__, x)) if p else b"".join(self.ids([w.decode() for w in t.encode().split()]))
-               for x, p, t in zip(words, plain, texts, strict=True)]
-        if len(self.words) > self.most:
-            self.words = {w: self.words[w] for w in every if len(w) <= 64}
+    def learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, where each word's begin, with the end)."""
+        cut = [PIECES.findall(w) if self.merges is not None and SIMPLE.fullmatch(w) else [w] for w in words]
+        number = {p: i for i, p in enumerate(dict.fromkeys(itertools.chain.from_iterable(cut)))}
+        simple = [p for p in number if self.merges is not None and SIMPLE.fullmatch(p)]
+        rest = [p for p in number if self.merges is None or not SIMPLE.fullmatch(p)]
+        flat, start, size = self.merges.apply([p.encode() for p in simple]) if simple else (np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        other = self.library(rest)
+        more = np.array(list(map(len, other)), dtype=np.int64)
+        flat, start, size = np.concatenate([flat, *other]).astype("<u4"), np.concatenate([start, len(flat) + np.cumsum(more) - more]), np.concatenate([size, more])
+        place = np.empty(len(number), dtype=np.int64)
+        place[[number[p] for p in itertools.chain(simple, rest)]] = np.arange(len(number))
+        pieces = place[[number[p] for p in itertools.chain.from_iterable(cut)]]
+        ids, before = ragged(flat, start[pieces], size[pieces])
+        return ids, before[np.concatenate([[0], np.cumsum(list(map(len, cut)))])]
+
+    def encode(self, column: pa.Array) -> list[bytes]:
+        """Ids of every text as little-endian bytes. Nulls count as empty."""
+        out = []
+        for lo, data, offsets in slices(column):
+            data = LOWER[data]
+            starts, ends, first = spans(data, offsets)
+            keys, at, of = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+            place = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+            new = np.flatnonzero(self.keys[place] != keys) if len(self.keys) else np.arange(len(keys))
+            whole = data.tobytes()
+            if len(new):
+                got, before = self.learn([whole[i:j].decode() for i, j in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)])
+                size = np.diff(before)
+                every = np.concatenate([self.keys, keys[new]])
+                order = np.argsort(every)
+                self.start = np.concatenate([self.start, len(self.flat) + before[:-1]])[order]
+                self.size, self.flat, self.keys = np.concatenate([self.size, size])[order], np.concatenate([self.flat, got]).astype("<u4"), every[order]
+                place = np.searchsorted(self.keys, keys)
+            ids, before = ragged(self.flat, self.start[place][of], self.size[place][of])
+            ids = ids.tobytes()
+            cut = (4 * before[first]).tolist()
+            out += [ids[i:j] for i, j in itertools.pairwise(cut)]
+            if any(s in whole for s in self.special):
+                for i in range(len(offsets) - 1):
+                    if any(s in whole[offsets[i]:offsets[i + 1]] for s in self.special):
+                        out[lo + i] = b"".join(x.tobytes() for x in self.library([w.decode() for w in column[lo + i].as_py().encode().split()]))
+            if len(self.keys) > self.most:
+                self.flat, before = ragged(self.flat, self.start[place], self.size[place])
+                self.keys, self.start, self.size = keys, before[:-1], np.diff(before)
         return out
 
 
@@ -94,7 +194,7 @@ def tokenised(df: DataFrame, id_col: str, text_col: str, file: str, capacity: in
         for batch in batches:
             for part in chunks_of(batch, 2):
                 tokens, crcs, full, tail = [], [], [], []
-                for ids in words.encode(part.column(2).to_pylist()):
+                for ids in words.encode(part.column(2)):
                     ids += end
                     whole = len(ids) - len(ids) % width
                     pieces = [ids[i:i + width] for i in range(0, whole, width)]

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .frames import chunks_of, written
+from .textkit import byte_alphabet
 
 MODEL_A = "/opt/tokenizers/byte_bpe_50k.json"
 MODEL_B = "/opt/tokenizers/piece_bpe_32k.model"
@@ -35,13 +36,6 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The published byte-level alphabet: printable bytes stand for themselves, the others for the next code points from 256."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 def coalesce(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order, group): intervals by start, and the number of the group that each of them lies in."""
     order = np.lexsort((ends, starts))

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -259,7 +260,7 @@ def test_ids_of_words_equal_those_of_whole_texts(texts):
     words, aligner = difference_packing.words_of(difference_packing.TOKENIZER), token_align.aligner_of(token_align.MODEL_A, token_align.MODEL_B)
     texts = [*texts, "<|ENDOFTEXT|> a", "x<|endoftext|>,y <|startoftext|>'s don't, Don'T."]
     want = [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
-    assert [np.frombuffer(x, dtype="<u4").tolist() for x in words.encode(texts)] == want
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in words.encode(pa.array(texts, pa.string()))] == want
     for t, (n_a, n_b, groups, _) in zip(texts, aligner.align(texts), strict=True):
         a, b = aligner.a.encode(" " + t, add_special_tokens=False).ids, aligner.b.encode(t)
         if n_a:
@@ -267,3 +268,11 @@ def test_ids_of_words_equal_those_of_whole_texts(texts):
             assert [int(x) for g in groups.split(";") for x in g.split("|")[1].split(",")] == b
         else:
             assert not t or "".join(aligner.b.id_to_piece(b)).replace("▁", " ") != " " + t
+
+
+def test_forgotten_words_and_long_ones():
+    words = difference_packing.Words(difference_packing.TOKENIZER, most=0)
+    texts = pa.array(["one two, three l'eau", None, "two ... a" + "b" * 200, "", "çà ÇÀ 12x3 don't can''t 's ''", "aaaaaaaa aaaa abababab"])
+    want = [words.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
+    for _ in range(2):
+        assert [np.frombuffer(x, dtype="<u4").tolist() for x in words.encode(texts)] == want
