@@ -132,19 +132,17 @@ class Words:
 
     def learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, where each word's begin, with the end)."""
-        cut = [PIECES.findall(w) if self.merges is not None and SIMPLE.fullmatch(w) else [w] for w in words]
-        number = {p: i for i, p in enumerate(dict.fromkeys(itertools.chain.from_iterable(cut)))}
-        simple = [p for p in number if self.merges is not None and SIMPLE.fullmatch(p)]
-        rest = [p for p in number if self.merges is None or not SIMPLE.fullmatch(p)]
+        cut = [PIECES.findall(w) if self.merges is not None and SIMPLE.fullmatch(w) else None for w in words]
+        simple = list(dict.fromkeys(itertools.chain.from_iterable(c for c in cut if c)))
+        rest = [w for w, c in zip(words, cut, strict=True) if c is None]
+        number = {p: i for i, p in enumerate(itertools.chain(simple, rest))}
         flat, start, size = self.merges.apply([p.encode() for p in simple]) if simple else (np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64))
         other = self.library(rest)
         more = np.array(list(map(len, other)), dtype=np.int64)
         flat, start, size = np.concatenate([flat, *other]).astype("<u4"), np.concatenate([start, len(flat) + np.cumsum(more) - more]), np.concatenate([size, more])
-        place = np.empty(len(number), dtype=np.int64)
-        place[[number[p] for p in itertools.chain(simple, rest)]] = np.arange(len(number))
-        pieces = place[[number[p] for p in itertools.chain.from_iterable(cut)]]
+        pieces = np.array([number[p] for w, c in zip(words, cut, strict=True) for p in c or (w,)], dtype=np.int64)
         ids, before = ragged(flat, start[pieces], size[pieces])
-        return ids, before[np.concatenate([[0], np.cumsum(list(map(len, cut)))])]
+        return ids, before[np.concatenate([[0], np.cumsum([len(c) if c else 1 for c in cut])])]
 
     def encode(self, column: pa.Array) -> list[bytes]:
         """Ids of every text as little-endian bytes. Nulls count as empty."""
