@@ -1,8 +1,8 @@
 """Statistics helpers shared by the operators.
 
 Everything here is one or a few distributed aggregate jobs returning a handful of
-scalars to the driver. Nothing collects a column, except a quantile bracket whose
-size is bounded by ``collect_limit``.
+scalars to the driver. Nothing collects a column; of a quantile's bracket at most
+``FEW`` values travel.
 """
 
 from __future__ import annotations
@@ -56,175 +56,145 @@ def one_row(df: DataFrame, exprs: Sequence[Column]) -> dict:
 # Exact quantiles with linear interpolation (pandas / DuckDB quantile_cont).
 #
 # Spark's exact ``percentile`` merges a value->count map of every distinct value in
-# one final task: unbounded memory at scale. Instead we select order statistics:
-# an approximate sketch brackets the wanted rank, exact counts confirm the bracket,
-# and only a bracket holding at most ``collect_limit`` values is sorted (its values,
-# not the column, reach the driver). Each refinement shrinks the bracket by about
-# accuracy/4, so a trillion-row column needs two rounds. When the plan's size estimate
-# says the input is big, the first sketch is taken in the same scan that counts it.
+# one final task: unbounded memory at scale. Instead order statistics are selected:
+# the first scan takes a count and a sketch that brackets every wanted rank. Then every
+# scan settles the brackets that hold few values (exact counts at and below the ends, and the
+# values strictly between them, which alone travel) and cuts the others at an even grid
+# of sketched quantiles with exact counts, some fiftyfold. A value that many rows share is
+# an end of its bracket, so it is counted, never collected. The path is the same at
+# every size; a column of 10^12 rows takes four more scans than one of 10^6.
 # ---------------------------------------------------------------------------
 
-def _in_bracket(c: Column, lo, hi) -> Column:
-    cond = c.isNotNull()
-    if lo is not None:
-        cond = cond & (c >= F.lit(lo))
-    if hi is not None:
-        cond = cond & (c <= F.lit(hi))
-    return cond
-
+FEW = 5000          # values a bracket may hold to be settled
+HELD = 200_000      # values that one scan may collect, for all columns together
+ACCURACY = 20_000   # of the sketches: ranks are off by at most n / ACCURACY
+MARGIN = 5          # half the width of a first bracket, in n / ACCURACY
+GRID = 200          # cuts of a bracket that holds too many
+
+
+class _Bracket:
+    """Where ranks ``k0`` and ``k1`` (0-based) of a column lie: between values ``lo`` and ``hi`` (None: open), about ``size`` values."""
+
+    def __init__(self, col: str, k0: int, k1: int, size: float, lo=None, hi=None):
+        self.col, self.k0, self.k1, self.size, self.lo, self.hi, self.whole, self.slack = col, k0, k1, size, lo, hi, size, 1
+
+    def exprs(self, settle: bool) -> list[Column]:
+        """Counts below, at ``lo`` and at ``hi``, and what lies strictly between: all values, or their count and sketched grid."""
+        x, lo, hi = as_double(self.col), F.lit(self.lo), F.lit(self.hi)
+        inside = x.isNotNull() if self.lo is None else (x > lo) & (x < hi)
+        counts = [F.lit(0)] * 3 if self.lo is None else [F.count_if(x < lo), F.count_if(x == lo), F.count_if(x == hi)]
+        if settle:
+            return [*counts, F.sort_array(F.collect_list(F.when(inside, x)))]
+        return [*counts, F.count_if(inside), F.percentile_approx(F.when(inside, x), [i / GRID for i in range(GRID + 1)], ACCURACY)]
+
+    def settled(self, below: int, at_lo: int, at_hi: int, values: list) -> tuple | None:
+        """The values of the two ranks, or None if the sketch has missed one of them."""
+        if self.lo == self.hi and self.lo is not None:
+            at_hi = 0
+        out = []
+        for k in (self.k0 - below, self.k1 - below):
+            if not 0 <= k < at_lo + len(values) + at_hi:
+                return None
+            out.append(self.lo if k < at_lo else values[k - at_lo] if k < at_lo + len(values) else self.hi)
+        return tuple(out)
+
+    def reset(self) -> None:
+        self.lo, self.hi, self.size, self.slack = None, None, max(self.whole, FEW + 1), min(2 * self.slack, GRID // 8)
+
+    def cut(self, below: int, at_lo: int, at_hi: int, inside: int, grid: list | None) -> None:
+        if self.lo == self.hi and self.lo is not None:
+            at_hi = 0
+        first, last = self.k0 - below, self.k1 - below
+        if not 0 <= first <= last < at_lo + inside + at_hi:
+            return self.reset()
+        if inside <= FEW:
+            self.size = inside
+            return
+        cells = [max(0, (first - at_lo) * GRID // inside - self.slack), min(GRID, (last - at_lo + 1) * GRID // inside + 1 + self.slack)]
+        # a rank among the copies of an end stays there; the other end moves
+        lo, hi = self.lo if first < at_lo else grid[cells[0]], self.hi if last >= at_lo + inside else grid[cells[1]]
+        if last < at_lo:
+            hi = lo
+        if first >= at_lo + inside:
+            lo = hi
+        self.lo, self.hi, self.size = lo, hi, 0 if lo == hi else inside * (cells[1] - cells[0]) / GRID
+
+
+def _select(df: DataFrame, brackets: list[_Bracket], trace: list | None = None) -> dict:
+    """{(column, k0, k1): values of both ranks}. One scan settles or cuts all brackets."""
+    out, left = {}, list(brackets)
+    while left:
+        held, settle = 0, []
+        for x in sorted(left, key=lambda x: x.size):
+            if x.size <= FEW and held + x.size <= HELD:
+                settle.append(x)
+                held += x.size
+        cut = [x for x in left if x.size > FEW]
+        jobs = [(x, x.exprs(True)) for x in settle] + [(x, x.exprs(False)) for x in cut]
+        row = df.agg(*[e.alias(f"a{i}_{j}") for i, (_, es) in enumerate(jobs) for j, e in enumerate(es)]).first()
+        found = [[row[f"a{i}_{j}"] for j in range(len(es))] for i, (_, es) in enumerate(jobs)]
+        if trace is not None:
+            trace.append(sum(len(f[3]) for f in found[:len(settle)]))
+        for x, f in zip(settle, found, strict=False):
+            got = x.settled(*f)
+            if got is None:
+                x.reset()
+            else:
+                out[x.col, x.k0, x.k1] = got
+                left.remove(x)
+        for x, f in zip(cut, found[len(settle):], strict=True):
+            x.cut(*f)
+    return out
 
-def order_statistics(df: DataFrame, wanted: dict[str, Iterable[int]], counts: dict[str, int] | None = None,
-                     collect_limit: int = 1_000_000, accuracy: int = 10_000, max_rounds: int = 24,
-                     initial: dict | None = None) -> dict:
-    """Exact k-th smallest (0-based, nulls excluded) for each column and rank.
 
-    ``initial`` may give a sketch bracket {(column, k): (lo, hi)} to confirm first.
-    Returns ``{(column, k): value}``. Every round runs at most one job per phase:
-    count (confirm brackets), collect (sort small brackets), sketch (narrow big ones)."""
-    cols = list(wanted)
+def order_statistics(df: DataFrame, wanted: dict[str, Iterable[int]], counts: dict[str, int] | None = None) -> dict:
+    """Exact k-th smallest (0-based, nulls excluded) for each column and rank: ``{(column, k): value}``."""
     if counts is None:
-        counts = one_row(df, [F.count(qcol(c)).alias(c) for c in cols])
-    state = {}
-    for c in cols:
-        for k in sorted(set(wanted[c])):
-            if 0 <= k < counts[c]:
-                s = {"lo": None, "hi": None, "below": 0, "inside": counts[c], "delta": 2.0 / accuracy,
-                     "counted": True, "n": counts[c]}
-                if initial and (c, k) in initial and initial[(c, k)][0] is not None:
-                    s.update(lo=initial[(c, k)][0], hi=initial[(c, k)][1], counted=False)
-                state[(c, k)] = s
-    result: dict = {}
-    for _ in range(max_rounds):
-        if not state:
-            break
-        # count phase: confirm sketch brackets with exact rank counts
-        pending = [t for t, s in state.items() if not s["counted"]]
-        if pending:
-            exprs = []
-            for i, (c, k) in enumerate(pending):
-                s, x = state[(c, k)], as_double(c)
-                exprs += [F.count_if(x < F.lit(s["lo"])).alias(f"lt{i}"), F.count_if(x <= F.lit(s["hi"])).alias(f"le{i}")]
-            cnt = df.agg(*exprs).first()
-            for i, (c, k) in enumerate(pending):
-                s = state[(c, k)]
-                lt, le = cnt[f"lt{i}"], cnt[f"le{i}"]
-                if lt <= k < le:
-                    if s["lo"] == s["hi"]:
-                        result[(c, k)] = float(s["lo"])
-                        state.pop((c, k))
-                        continue
-                    s.update(below=lt, inside=le - lt, counted=True)
-                else:  # the sketch missed the rank: start over with a wider margin
-                    s.update(lo=None, hi=None, below=0, inside=s["n"], counted=True, delta=s["delta"] * 4)
-        # collect phase: sort brackets small enough to hold on the driver
-        small = {t: s for t, s in state.items() if s["counted"] and s["inside"] <= collect_limit}
-        if small:
-            brackets, sizes = {}, {}
-            for (c, k), s in small.items():
-                key = (c, s["lo"], s["hi"])
-                brackets.setdefault(key, []).append((k, s["below"]))
-                sizes[key] = s["inside"]
-            # one job per batch of brackets holding at most collect_limit values in total
-            batches, cur, held = [], [], 0
-            for key in brackets:
-                if cur and held + sizes[key] > collect_limit:
-                    batches.append(cur)
-                    cur, held = [], 0
-                cur.append(key)
-                held += sizes[key]
-            batches.append(cur)
-            for keys in batches:
-                exprs = []
-                for i, (c, lo, hi) in enumerate(keys):
-                    x = as_double(c)
-                    exprs.append(F.sort_array(F.collect_list(F.when(_in_bracket(x, lo, hi), x))).alias(f"b{i}"))
-                row = df.agg(*exprs).first()
-                for i, key in enumerate(keys):
-                    vals = row[f"b{i}"]
-                    for k, below in brackets[key]:
-                        result[(key[0], k)] = vals[k - below]
-                        state.pop((key[0], k))
-        # sketch phase: narrow brackets still too large
-        big = [t for t, s in state.items() if s["counted"] and s["inside"] > collect_limit]
-        if big:
-            exprs = []
-            for i, (c, k) in enumerate(big):
-                s, x = state[(c, k)], as_double(c)
-                q = (k - s["below"] + 0.5) / s["inside"]
-                ps = [max(0.0, q - s["delta"]), min(1.0, q + s["delta"])]
-                exprs.append(F.percentile_approx(F.when(_in_bracket(x, s["lo"], s["hi"]), x), ps, accuracy).alias(f"a{i}"))
-            approx = df.agg(*exprs).first()
-            for i, t in enumerate(big):
-                lo, hi = approx[f"a{i}"]
-                state[t].update(lo=lo, hi=hi, counted=False)
-    if state:
-        raise RuntimeError(f"quantile refinement did not converge for {sorted(state)}")
-    return result
-
-
-def estimated_bytes(df: DataFrame) -> float:
-    """Catalyst's size estimate of the optimised plan (file sizes for scans); 0 if unknown."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return float(size if isinstance(size, (int, float)) else size.toString())
-    except Exception:  # noqa: BLE001 - an estimate only steers a cost choice
-        return 0.0
+        counts = one_row(df, [F.count(qcol(c)).alias(c) for c in wanted])
+    got = _select(df, [_Bracket(c, k, k, counts[c]) for c, ks in wanted.items() for k in sorted(set(ks)) if 0 <= k < counts[c]])
+    return {(c, k): v[0] for (c, k, _), v in got.items()}
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], relative_error: float | None = None,
-              collect_limit: int = 1_000_000, accuracy: int = 10_000,
-              sketch_first_bytes: float = 8e9) -> dict[str, list]:
+              trace: list | None = None) -> dict[str, list]:
     """Per-column quantiles, nulls ignored. Exact (linear interpolation) unless
-    ``relative_error`` is given, in which case ``percentile_approx`` is used."""
-    cols = list(cols)
+    ``relative_error`` is given, in which case ``percentile_approx`` is used. ``trace``
+    receives the number of values that each scan after the first has collected."""
+    cols, probs = list(dict.fromkeys(cols)), list(probs)
     if not cols:
         return {}
-    probs = list(probs)
     if relative_error is not None:
         acc = max(1, int(round(1.0 / relative_error)))
         row = one_row(df, [F.percentile_approx(as_double(c), probs, acc).alias(c) for c in cols])
         return {c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in cols}
-    # first scan: counts, plus — when the input is estimated big enough to need it — the
-    # first sketch bracket around every wanted rank (saves a full pass; on small inputs
-    # the sketch would be wasted CPU, since the column fits in one sorted bracket)
-    delta = 4.0 / accuracy
-    sketch_ps = [min(1.0, max(0.0, p + d)) for p in probs for d in (-delta, delta)]
-    sketch_first = estimated_bytes(df) >= sketch_first_bytes
-    exprs = [F.count(qcol(c)).alias(f"n_{i}") for i, c in enumerate(cols)]
-    if sketch_first:
-        exprs += [F.percentile_approx(as_double(c), sketch_ps, accuracy).alias(f"s_{i}") for i, c in enumerate(cols)]
-    row = df.agg(*exprs).first()
-    counts = {c: row[f"n_{i}"] for i, c in enumerate(cols)}
-    plan, initial = {}, {}
+    delta = MARGIN / ACCURACY
+    ends = [min(1.0, max(0.0, p + d)) for p in probs for d in (-delta, delta)]
+    row = df.agg(*[F.count(qcol(c)).alias(f"n{i}") for i, c in enumerate(cols)],
+                 *[F.percentile_approx(as_double(c), ends, ACCURACY).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+    plan, brackets = {}, {}
     for i, c in enumerate(cols):
-        n = counts[c]
-        plan[c] = []
+        n = row[f"n{i}"]
         for j, p in enumerate(probs):
-            if n == 0:
-                plan[c].append(None)
+            if not n:
                 continue
             h = (n - 1) * p
             k0 = int(math.floor(h))
-            k1 = min(k0 + 1, n - 1)
-            plan[c].append((k0, k1, h - k0))
-            if n > collect_limit and sketch_first:
-                bracket = (row[f"s_{i}"][2 * j], row[f"s_{i}"][2 * j + 1])
-                initial.setdefault((c, k0), bracket)
-                initial.setdefault((c, k1), bracket)
-    wanted = {c: [r for t in plan[c] if t for r in t[:2]] for c in cols}
-    stats = order_statistics(df, {c: w for c, w in wanted.items() if w}, counts, collect_limit=collect_limit,
-                             accuracy=accuracy, initial=initial)
+            plan[c, j] = (k0, min(k0 + 1, n - 1), h - k0)
+            bracket = _Bracket(c, *plan[c, j][:2], n)
+            if n > FEW:
+                (bracket.lo, bracket.hi), bracket.size = row[f"s{i}"][2 * j:2 * j + 2], 2 * (MARGIN + 1) * n / ACCURACY
+            brackets[c, k0] = bracket
+    got = _select(df, list(brackets.values()), trace)
     out = {}
     for c in cols:
-        vals = []
-        for t in plan[c]:
-            if t is None:
-                vals.append(None)
+        out[c] = []
+        for j in range(len(probs)):
+            if (c, j) not in plan:
+                out[c].append(None)
                 continue
-            k0, k1, frac = t
-            a, b = stats[(c, k0)], stats[(c, k1)]
-            vals.append(a + (b - a) * frac if frac else a)
-        out[c] = vals
+            k0, k1, frac = plan[c, j]
+            a, b = got[c, k0, k1]
+            out[c].append(a + (b - a) * frac if frac else a)
     return out
 
 
