@@ -105,7 +105,7 @@ class Words:
     library. A text that could hold a special token goes there by its words as they are. When more than ``most``
     words are known, those of the current texts stay."""
 
-    def __init__(self, file: str, most: int = 200_000):
+    def __init__(self, file: str, most: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -158,7 +158,7 @@ class Words:
                 got, before = self.learn([whole[i:j].decode() for i, j in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)])
                 size = np.diff(before)
                 every = np.concatenate([self.keys, keys[new]])
-                order = np.argsort(every)
+                order = np.argsort(every, kind="stable")  # mostly sorted already
                 self.start = np.concatenate([self.start, len(self.flat) + before[:-1]])[order]
                 self.size, self.flat, self.keys = np.concatenate([self.size, size])[order], np.concatenate([self.flat, got]).astype("<u4"), every[order]
                 place = np.searchsorted(self.keys, keys)
@@ -190,7 +190,7 @@ def tokenised(df: DataFrame, id_col: str, text_col: str, file: str, capacity: in
     def run(batches):
         words = words_of(file)
         for batch in batches:
-            for part in chunks_of(batch, 2):
+            for part in chunks_of(batch, 2, 2 << 20):
                 tokens, crcs, full, tail = [], [], [], []
                 for ids in words.encode(part.column(2)):
                     ids += end
