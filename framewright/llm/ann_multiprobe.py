@@ -40,7 +40,7 @@ class Tables:
     def keys(cells: np.ndarray) -> np.ndarray:
         out = np.zeros(len(cells), dtype=np.uint64)
         for j in range(cells.shape[1]):
-            out = mix64(out * np.uint64(31) + cells[:, j].astype(np.int64).astype(np.uint64) + np.uint64(1))
+            out = mix64(out * np.uint64(31) + np.clip(cells[:, j], -(2.0**62), 2.0**62).astype(np.int64).astype(np.uint64) + np.uint64(1))
         return out.view(np.int64)
 
     def probes(self, place: np.ndarray, share: float) -> np.ndarray:
@@ -70,16 +70,22 @@ class Tables:
 
 def nearest(q: np.ndarray, qid: np.ndarray, x: np.ndarray, xid: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, row, distance): each query's ``k`` nearest rows of other ids, by exact double distance."""
-    rough = np.maximum((q * q).sum(axis=1)[:, None] + (x * x).sum(axis=1) - 2 * (q @ x.T), 0)
-    rough[qid[:, None] == xid] = np.inf
-    out = []
-    for i in range(len(q)):
-        row = rough[i]
-        cut = np.partition(row, k - 1)[k - 1] if len(row) > k else np.inf
-        near = np.flatnonzero((row <= cut * (1 + 1e-9) + 1e-9 * float(q[i] @ q[i])) & np.isfinite(row))
-        d = np.sqrt(((x[near] - q[i]) ** 2).sum(axis=1))
-        best = np.lexsort((xid[near], d))[:k]
-        out.append((np.full(len(best), qid[i]), xid[near[best]], d[best]))
+    with np.errstate(over="ignore", invalid="ignore"):
+        rough = np.maximum((q * q).sum(axis=1)[:, None] + (x * x).sum(axis=1) - 2 * (q @ x.T), 0)
+        own, odd = qid[:, None] == xid, ~np.isfinite(rough)  # squares of huge components overflow: those rows are all compared
+        rough[own | odd] = np.inf
+        out = []
+        for i in range(len(q)):
+            row = rough[i]
+            cut = np.partition(row, k - 1)[k - 1] if len(row) > k else np.inf
+            near = np.flatnonzero(((row <= cut * (1 + 1e-9) + 1e-9 * float(q[i] @ q[i])) | odd[i]) & ~own[i])
+            diff = x[near] - q[i]
+            most = np.abs(diff).max(axis=1, initial=0)
+            plain = np.sqrt((diff**2).sum(axis=1))
+            scaled = most * np.sqrt(((diff / np.where(most > 0, most, 1)[:, None]) ** 2).sum(axis=1))
+            d = np.where(np.isfinite(plain), plain, scaled)
+            best = np.lexsort((xid[near], d))[:k]
+            out.append((np.full(len(best), qid[i]), xid[near[best]], d[best]))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
 
 
@@ -92,15 +98,18 @@ def search(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", ev
     bucket that holds a third of all rows is many small tasks. A query that found fewer than
     ``k`` rows is compared with all blocks of the first table. Vectors that are null, zero, of another
     than the commonest length or hold null or non-finite components take no part, nor do null ids. Ties go to the smaller
-    id; rows that repeat an id count once, at their nearest; a query never finds its own id. Tables without two vectors give no rows."""
+    id; distances whose squares overflow are still compared; rows that repeat an id count once, at their nearest; a query never finds its own id. Tables without two vectors give no rows."""
     spark = df.sparkSession
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec")).where(F.col("id").isNotNull())
     width = width_of(rows, "vec")
     x = sample_of(rows, "id", "vec", sample, width) if width else np.zeros((0, 1))
     if len(x) < 2:
         return spark.createDataFrame([], f"query_id long, rank int, {id_col} long, score double")
-    d = np.sqrt(np.maximum((x * x).sum(axis=1)[:200, None] + (x * x).sum(axis=1) - 2 * (x[:200] @ x.T), 0))
-    r = float(np.median(np.sort(d, axis=1)[:, min(k, len(x) - 1)])) or 1.0
+    with np.errstate(over="ignore", invalid="ignore"):
+        d = np.sqrt(np.maximum((x * x).sum(axis=1)[:200, None] + (x * x).sum(axis=1) - 2 * (x[:200] @ x.T), 0))
+    kth = np.sort(d, axis=1)[:, min(k, len(x) - 1)]  # those not finite come last
+    r = float(np.median(kth[np.isfinite(kth)])) if np.isfinite(kth).any() else 1.0
+    r = r or 1.0
     lsh = Tables(width, tables, hashes, r, slot, seed)
     keyed = "t int, key long, id long, vec binary"
 

@@ -87,8 +87,8 @@ def mix(df: DataFrame, key_col: str, source_col: str, text_col: str, share: floa
     The rank of a document among those of its source and length is counted in ``lanes`` hash
     lanes, so a length that a third of all rows share is still ranked by many tasks. Null and
     empty texts have size 0 and add nothing; they are taken with whole epochs only. Equal rows are
-    interchangeable. An empty table gives no rows. Clashing names can't matter: kept columns
-    travel in one struct."""
+    interchangeable. An empty table gives no rows. Kept columns travel in one struct; those
+    with the name of a result column give way to it."""
     spark = df.sparkSession
     keep = keep or list(dict.fromkeys([key_col, source_col]))
     rows = df.select(
@@ -117,5 +117,5 @@ def mix(df: DataFrame, key_col: str, source_col: str, text_col: str, share: floa
     rank = F.expr("row_number() over (partition by s, size, lane order by h, row)")
     times = F.col("epochs") + F.when(F.col("before") + F.col("rank") <= F.col("more"), 1).otherwise(0)
     return (rows.withColumn("rank", rank).join(plan, ["s", "size", "lane"])
-            .select("row.*", "size", "source_size", "target", times.cast("int").alias("times"),
+            .select(*[F.col(f"row.`{c}`").alias(c) for c in keep if c not in ("size", "source_size", "target", "times", "taken")], "size", "source_size", "target", times.cast("int").alias("times"),
                     (times * F.col("size")).cast("long").alias("taken")))

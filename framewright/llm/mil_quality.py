@@ -127,7 +127,7 @@ def train(x: np.ndarray, before: np.ndarray, y: np.ndarray, hidden: int = 24, ga
 
 
 def score(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 3000,
-          longest: int = 1 << 20, threshold: float = 0.3) -> DataFrame:
+          longest: int = 1 << 17, threshold: float = 0.3) -> DataFrame:
     """``df`` with held_out, score and predicted; every whole text is scored.
 
     The model learns from at most ``sample`` documents of at most ``longest`` bytes each: those
@@ -150,7 +150,9 @@ def score(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), y.slice(lo, len(rows))], ["x", "y"])
 
     bounded = F.coalesce(F.octet_length(text_col), F.lit(0)) <= longest
-    train_rows = df.where(bounded & (fold != 0)).join(F.broadcast(chosen), id_col).select(text_col, "__y").mapInArrow(encode, "x binary, y double")
+    known = df.where(bounded & (fold != 0)).select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).join(F.broadcast(chosen.toDF("i", "y")), "i")
+    # an id may repeat in either table, so the bound holds for what is joined
+    train_rows = known.orderBy(F.xxhash64("i"), "i", F.xxhash64("t"), "y").limit(sample).select("t", "y").mapInArrow(encode, "x binary, y double")
     got = sorted((r.y, bytes(r.x)) for r in train_rows.collect())  # sorted: the same sums in any order of arrival
     model = None
     if got:

@@ -9,6 +9,7 @@ spanning forest, never the pairs.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .frames import components, written
-from .vectors import decode, sample_of, width_of
+from .vectors import decode, sample_of
 
 
 def codebook(x: np.ndarray, size: int, seed: int, rounds: int = 12) -> np.ndarray:
@@ -82,6 +83,9 @@ def forest(u: np.ndarray, v: np.ndarray) -> np.ndarray:
         label = new
 
 
+NO_ID = 1 << 62  # vectors without any id are nodes from here on
+
+
 def link(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str | None = "label", cosine: float = 0.98,
          size: int = 16, recall: float = 0.9999, sample: int = 4096, block: int = 1024, seed: int = 5) -> DataFrame:
     """(id, n_links, component_id, kept), one row per row of ``df``.
@@ -91,12 +95,20 @@ def link(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", labe
     that a share ``recall`` of partners at exactly the threshold is reached from one side; a pair is
     found if either side reaches the other. Equal vectors of a label are one node with a weight;
     a full cell is cut into blocks of about ``block`` rows, and its visitors likewise, so a third of all
-    rows in one cell is many tasks. Vectors that are null, zero, of another than the commonest length or hold null or non-finite
-    components link with nothing: 0 links, their own component. Rows that repeat an id are vectors of their own in
-    ``n_links`` and share a component. A null id keeps a null component unless it links. An empty table gives no rows."""
+    rows in one cell is many tasks. Vectors that are null, zero or hold null or non-finite components link with nothing: 0
+    links, their own component. Vectors of different lengths don't link; every length that occurs has a grid of its own. Rows that
+    repeat an id are vectors of their own in ``n_links`` and share a component if of equal length. Rows without an id
+    count like others; they keep a null component unless they reach an id (ids are below 2**62). An empty table gives no rows."""
     label = F.col(label_col).cast("string") if label_col else F.lit("")
     rows = df.select(F.col(id_col).alias("id"), label.alias("label"), F.col(vec_col).alias("vec"))
-    width = width_of(rows, "vec")
+    has = F.coalesce(F.size("vec"), F.lit(-1))
+    widths = sorted(r.w for r in rows.select(has.alias("w")).distinct().collect())  # the lengths that occur
+    parts = [_link_width(rows.where(has == w) if len(widths) > 1 else rows, id_col, max(w, 0), cosine, size, recall, sample, block, seed) for w in widths or [0]]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _link_width(rows: DataFrame, id_col: str, width: int, cosine: float, size: int, recall: float, sample: int, block: int, seed: int) -> DataFrame:
+    """``link`` for (id, label, vec) rows of one length."""
     unit = sample_of(rows, "id", "vec", sample, width) if width else np.zeros((0, 1))
     unit = unit / np.linalg.norm(unit, axis=1, keepdims=True) if len(unit) else unit
     grid = Grid(unit, size, cosine, recall, seed) if len(unit) else None
@@ -111,8 +123,9 @@ def link(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", labe
 
     id_type = rows.schema["id"].dataType.simpleString()
     flat = written(rows.mapInArrow(keyed, f"id {id_type}, label string, key binary, raw binary"), "vectors")
-    nodes = flat.where(F.col("key").isNotNull() & F.col("label").isNotNull() & F.col("id").isNotNull()).groupBy("label", "key").agg(
+    nodes = flat.where(F.col("key").isNotNull() & F.col("label").isNotNull()).groupBy("label", "key").agg(
         F.min("id").cast("long").alias("node"), F.count("*").alias("weight"), F.first("raw").alias("raw"))
+    nodes = nodes.withColumn("node", F.coalesce("node", F.lit(NO_ID) + F.pmod(F.xxhash64("label", "key"), F.lit(NO_ID - 1))))
 
     def placed(batches):
         for batch in batches:
@@ -167,6 +180,7 @@ def link(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", labe
     counts = found.where("links > 0").groupBy("node").agg(F.sum("links").alias("links"))
     known = (cells.select("label", "key", "node", "weight").join(counts, "node", "left").join(roots, "node", "left")
              .select("label", "key", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component_id", "node").alias("component_id")))
+    known = known.withColumn("component_id", F.when(F.col("component_id") < NO_ID, F.col("component_id")))
     own = F.col("id").cast("long")
     return flat.select("id", "label", "key").join(known, ["label", "key"], "left").select(
         F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", own).alias("component_id"),

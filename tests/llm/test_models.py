@@ -139,3 +139,23 @@ def test_near_duplicates_are_rows_not_ids(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     got = corpus_pipeline.jaccard_join(spark, df, "").collect()
     assert sorted((x.doc_id or 0, x.text or "") for x in got) == [(0, text("c")), (0, text("d")), (1, text("a")), (1, text("b")), (3, "")]
+
+
+def test_sample_is_bounded_after_the_join_and_names_may_clash(spark):
+    from framewright.llm import mil_quality
+    docs = spark.createDataFrame([(1, f"text {i} words", i) for i in range(60)] + [(7, "other", 0)], "doc_id long, text string, __y int")
+    labels = spark.createDataFrame([(1, 1), (7, 0)], "doc_id long, quality int")
+    got = mil_quality.score(docs, labels, sample=5)
+    assert got.count() == 61 and "__y" in got.columns
+
+
+def test_pipeline_stages_with_clashing_names_and_empty(spark):
+    import corpus_pipeline
+    names = ["score", "held_out", "predicted", "size", "times", "target", "taken", "row", "rest", "whole", "lane"]
+    cols = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names)
+    df = spark.createDataFrame([(i, f"some words number {i} of a text\nand a line {i * 7}", "en", f"s{i % 3}", 5, *names) for i in range(40)], cols)
+    for docs in (df, df.limit(0)):
+        for stage in (corpus_pipeline.quality_classifier, corpus_pipeline.mix_sources):
+            got = stage(spark, docs, "/root/testdata/sf0.001")
+            assert got.columns == df.columns
+            assert all(r[n] == n for r in got.collect() for n in names)

@@ -1,5 +1,7 @@
 """Nearest neighbours and embedding near-dedup against brute force."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -88,3 +90,22 @@ def test_links_of_empty_and_vectorless_tables(spark):
     df = spark.createDataFrame(BAD, SCHEMA)
     assert multi_index.link(df.limit(0)).count() == 0
     assert [r.n_links for r in multi_index.link(df.where("vec_id < 9004")).collect()] == [0, 0, 0]
+
+
+def test_links_of_every_length_and_without_ids(spark):
+    rows = [(1, [1.0, 2.0], "a"), (2, [2.0, 4.0], "a"), (3, [1.0, 0.0, 0.0], "a"), (4, [3.0, 0.0, 0.0], "a"), (5, [0.0, 1.0, 0.0], "a"),
+            (7, [5.0, 5.0, 5.0], "b"), (8, [5.0, 5.0, 5.0], "b"), (None, [5.0, 5.0, 5.0], "b"), (None, [9.0, 0.0, -9.0], "b"), (None, [9.0, 0.0, -9.0], "b"), (9, None, "a"), (10, [], "a")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = sorted(((r.vec_id or 0), r.n_links, r.component_id or 0) for r in multi_index.link(df).collect())
+    assert got == [(0, 1, 0), (0, 1, 0), (0, 2, 7), (1, 1, 1), (2, 1, 1), (3, 1, 3), (4, 1, 3), (5, 0, 5), (7, 2, 7), (8, 2, 7), (9, 0, 9), (10, 0, 10)]
+
+
+def test_search_of_huge_components(spark):
+    rows = [(i, [1e200 * (i + 1), -1e200, float(i)]) for i in range(0, 700, 50)] + [(i, [float(i), 1.0, 2.0]) for i in range(1, 40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann_multiprobe.search(df, k=3).collect()
+    assert len(got) == 7 * 3
+    of = dict(rows)
+    for r in got:  # the scale of a component doesn't spoil the distance
+        d = [x - y for x, y in zip(of[r.query_id], of[r.vec_id], strict=True)]
+        assert r.vec_id != r.query_id and abs(r.score / math.hypot(*d) - 1) < 1e-12
