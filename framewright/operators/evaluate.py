@@ -208,7 +208,7 @@ def silhouette(df: DataFrame, features, label: str) -> float | None:
 def evaluate_clusters(df: DataFrame, features, label: str, kind: str = "kmeans", key: str | None = None,
                       k: int | None = None) -> DataFrame:
     """Long (metric, value) table over all rows. ``kind`` is 'kmeans' or 'dbscan' (others are refused);
-    with 'dbscan' the noise label -1 is a group of its own in the silhouette."""
+    with 'dbscan' the noise label -1 is a group of its own in the silhouette, which is null for fewer than two clusters."""
     if kind not in ("kmeans", "dbscan"):
         raise ValueError("evaluate_clusters supports kind='kmeans' or 'dbscan'")
     spark = df.sparkSession
@@ -220,7 +220,7 @@ def evaluate_clusters(df: DataFrame, features, label: str, kind: str = "kmeans",
     if kind == "dbscan":
         ns = noise_stats(df, label).first()
         rows += [("n_clusters", float(ns["n_clusters"])), ("noise_ratio", float(ns["noise_ratio"]))]
-        rows.append(("silhouette", silhouette(df, features, label)))
+        rows.append(("silhouette", silhouette(df, features, label) if ns["n_clusters"] > 1 else None))
         rows.append(("cluster_size_std", cluster_size_std(df, label, noise=-1)))
     else:
         rows += [("silhouette", silhouette(df, features, label)), ("davies_bouldin", davies_bouldin(df, features, label)),
