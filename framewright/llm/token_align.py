@@ -67,19 +67,21 @@ class Aligner:
     Where A's file allows it, units of Latin letters (those that every Unicode version classes alike) are encoded
     by the faster of the two libraries that read such vocabularies; the ids are the same."""
 
-    def __init__(self, file_a: str, file_b: str, most: int = 60_000):
+    def __init__(self, file_a: str, file_b: str, most: int = 40_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
-        self.a, self.b = Tokenizer.from_file(file_a), SentencePieceProcessor(model_file=file_b)
-        self.a.encode_special_tokens = True
-        self.fast = None
+        self.file, self.b, self.fast = file_a, SentencePieceProcessor(model_file=file_b), None
         if ranks := ranks_of(file_a):
             import tiktoken
             self.fast = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        of, size = byte_alphabet(), self.a.get_vocab_size(with_added_tokens=False)
-        self.bytes_a = [bytes(of.get(c, 0x3F) for c in self.a.id_to_token(i) or "") for i in range(size)]
+            self.bytes_a = [b""] * (max(ranks.values()) + 1)
+            for data, i in ranks.items():
+                self.bytes_a[i] = data
+        else:
+            of = byte_alphabet()
+            self.bytes_a = [bytes(of.get(c, 0x3F) for c in self.a.id_to_token(i) or "") for i in range(self.a.get_vocab_size(with_added_tokens=False))]
+        size = len(self.bytes_a)
         piece = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.bytes_b = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(piece)]
         self.size_a, self.size_b = (np.array(list(map(len, x)), dtype=np.int64) for x in (self.bytes_a, self.bytes_b))
@@ -87,12 +89,22 @@ class Aligner:
         self.text_a, self.text_b = (np.array([f"{i}{c}" for i in range(n) for c in "," + last], dtype=object) for n, last in ((size, "|"), (len(piece), ";")))
         self.most, self.known = most, {}
 
+    @functools.cached_property
+    def a(self):
+        """The tokenizers library's reader of A's file, loaded where it is needed."""
+        from tokenizers import Tokenizer
+
+        a = Tokenizer.from_file(self.file)
+        a.encode_special_tokens = True
+        return a
+
     def units(self, text: str) -> list[str]:
         return CUT.split(" " + text)
 
     def encode_a(self, units: list[str]) -> list[list[int]]:
         quick = [self.fast is not None and (u.isascii() or max(u) < "\u0250") for u in units]
-        slow = iter(self.a.encode_batch([u for u, q in zip(units, quick, strict=True) if not q], add_special_tokens=False))
+        rest = [u for u, q in zip(units, quick, strict=True) if not q]
+        slow = iter(self.a.encode_batch(rest, add_special_tokens=False) if rest else [])
         return [self.fast.encode_ordinary(u) if q else next(slow).ids for u, q in zip(units, quick, strict=True)]
 
     def learn(self, units: list[str]) -> None:
@@ -180,6 +192,7 @@ def aligned(df: DataFrame, id_col: str, text_col: str, file_a: str, file_b: str,
                 docs = pa.StructArray.from_arrays(cols, ["id", "n_a", "n_b", "sha", "groups", "links"])
                 one = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (docs, pa.array(codes, pa.int64()), pa.array(times, pa.int64()))]
                 yield pa.RecordBatch.from_arrays(one, ["docs", "pairs", "times"])
+        aligner.known = {}  # the worker goes on to other stages
 
     return some.mapInArrow(run, schema)
 
