@@ -1,29 +1,18 @@
 """Clustering (inventory #143-149): k-means, bisecting k-means, Gaussian mixtures via
-``pyspark.ml`` (distributed Lloyd / EM iterations), and DBSCAN as Spark jobs.
-
-DBSCAN: core points come from chunked eps-neighbour counts; each (cell, chunk pair)
-task joins its core points within eps with a local union-find and emits only a
-spanning star per local component (O(rows), never the pairs). Global components are
-then found by min-label propagation with pointer jumping over those edges, one
-reliable checkpoint per round. Border points take the smallest label among their core
-neighbours; the rest are noise (-1).
-"""
+``pyspark.ml`` (distributed Lloyd / EM iterations). DBSCAN is in ``density``, components are in ``graph``."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import qcol
-from ..session import cut_lineage, materialize
+from ..session import materialize
+from .density import dbscan, dbscan_grid_search, relabel_noise  # noqa: F401
 from .evaluate import feature_array, silhouette
-from .neighbours import (_cell, _chunked_pairs, _count_kernel, _neighbour_cells, _offsets, _prepare, grid_basis,
-                         grid_dims_of, pairwise_distance, prepared_neighbour_counts, with_grid_coords)
+from .graph import connected_components  # noqa: F401
 
 
 def _vectors(df: DataFrame, features, out: str = "features") -> DataFrame:
@@ -145,260 +134,3 @@ def kmeans_clustering(df: DataFrame, cols: Sequence[str], k: int = 5, seed: int
     lab, _ = kmeans(scaled, kept, k, seed)
     sizes = lab.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
     return lab, sizes
-
-
-# --------------------------------------------------------------------------- DBSCAN
-def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Component root (smallest index) of each of n nodes, vectorised: min-label
-    propagation over the edges with pointer jumping until stable."""
-    lab = np.arange(n)
-    while True:
-        old = lab.copy()
-        np.minimum.at(lab, a, lab[b])
-        np.minimum.at(lab, b, lab[a])
-        while True:
-            jumped = lab[lab]
-            if np.array_equal(jumped, lab):
-                break
-            lab = jumped
-        if np.array_equal(lab, old):
-            return lab
-
-
-def _star_kernel(eps: float):
-    """Core points of one (cell, chunk pair): union-find over pairs within eps; emit
-    (id, root) for every member of a local component with at least two members."""
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        q = pdf[pdf["side"] == 0]
-        d = pdf[pdf["side"] == 1]
-        empty = pd.DataFrame({"id": pd.Series(dtype="int64"), "root": pd.Series(dtype="int64")})
-        if q.empty or d.empty:
-            return empty
-        dist = pairwise_distance(np.stack(q["x"].to_numpy()).astype(float), np.stack(d["x"].to_numpy()).astype(float))
-        qi, di = np.nonzero(dist <= eps)
-        if len(qi) == 0:
-            return empty
-        a = q["id"].to_numpy()[qi]
-        b = d["id"].to_numpy()[di]
-        ids, inv = np.unique(np.concatenate([a, b]), return_inverse=True)
-        roots = local_components(len(ids), inv[:len(a)], inv[len(a):])
-        sizes = np.bincount(roots, minlength=len(ids))
-        keep = sizes[roots] >= 2
-        # ids are sorted, so the root index is the smallest id of the component
-        return pd.DataFrame({"id": ids[keep].astype("int64"), "root": ids[roots[keep]].astype("int64")})
-    return fn
-
-
-def _min_label_kernel(eps: float):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        q = pdf[pdf["side"] == 0]
-        d = pdf[pdf["side"] == 1]
-        empty = pd.DataFrame({"qid": pd.Series(dtype="int64"), "label": pd.Series(dtype="int64")})
-        if q.empty or d.empty:
-            return empty
-        dist = pairwise_distance(np.stack(q["x"].to_numpy()).astype(float), np.stack(d["x"].to_numpy()).astype(float))
-        lab = d["payload"].to_numpy(dtype=float)
-        cand = np.where(dist <= eps, lab[None, :], np.inf).min(1)
-        ok = np.isfinite(cand)
-        return pd.DataFrame({"qid": q["id"].to_numpy()[ok].astype("int64"), "label": cand[ok].astype("int64")})
-    return fn
-
-
-def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """vertices(id), edges(src, dst) -> (id, label), label = smallest id of the component.
-
-    Min-label propagation with pointer jumping on Spark, one reliable checkpoint per round, until
-    no label changes."""
-    spark = vertices.sparkSession
-    e = edges.select(F.col("src").cast("long"), F.col("dst").cast("long")).where(F.col("src") != F.col("dst"))
-    e = cut_lineage(e.distinct())
-    und = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    labels = cut_lineage(vertices.select("id", F.col("id").alias("label")))
-    while True:
-        nb = und.join(labels.select(F.col("id").alias("src"), "label"), "src").select(F.col("dst").alias("id"), "label")
-        new = labels.unionByName(nb).groupBy("id").agg(F.min("label").alias("label"))
-        # pointer jumping: label(v) <- label(label(v))
-        parent = new.select(F.col("id").alias("label"), F.col("label").alias("plabel"))
-        hop = cut_lineage(new.join(parent, "label", "left").select(
-            "id", F.least(F.col("label"), F.coalesce(F.col("plabel"), F.col("label"))).alias("label")))
-        old = labels.select("id", F.col("label").alias("old"))
-        changed = hop.join(old, "id").where(F.col("label") != F.col("old")).limit(1).count()
-        labels = hop
-        if changed == 0:
-            return labels
-
-
-def _box_dist2(x, lo, hi, farthest: bool):
-    """Squared distance from point x to the nearest (or farthest) point of box [lo, hi]."""
-    z = F.arrays_zip(x.alias("x"), lo.alias("lo"), hi.alias("hi"))
-    if farthest:
-        term = lambda s: F.greatest(F.abs(s["x"] - s["lo"]), F.abs(s["x"] - s["hi"]))
-    else:
-        term = lambda s: F.greatest(s["lo"] - s["x"], F.lit(0.0), s["x"] - s["hi"])
-    return F.aggregate(z, F.lit(0.0), lambda acc, s: acc + term(s) * term(s))
-
-
-def _box_box_dist2(lo_a, hi_a, lo_b, hi_b, farthest: bool):
-    """Squared smallest (or largest) distance between two boxes."""
-    z = F.arrays_zip(lo_a.alias("la"), hi_a.alias("ha"), lo_b.alias("lb"), hi_b.alias("hb"))
-    if farthest:
-        term = lambda s: F.greatest(F.abs(s["hb"] - s["la"]), F.abs(s["ha"] - s["lb"]))
-    else:
-        term = lambda s: F.greatest(s["lb"] - s["ha"], F.lit(0.0), s["la"] - s["hb"])
-    return F.aggregate(z, F.lit(0.0), lambda acc, s: acc + term(s) * term(s))
-
-
-def _dbscan_dense_grid(p: DataFrame, d: int, eps: float, min_samples: int, chunk_rows: int) -> DataFrame:
-    """DBSCAN when the grid covers every coordinate. Cells of side eps/sqrt(d): all points
-    of a cell are within eps of each other, so a cell with min_samples points is all core
-    and one component without any distance work. Per-cell bounding boxes decide most
-    neighbour counts and cell links outright (box entirely inside / outside eps); only
-    undecided (point, cell) and (cell, cell) pairs go to the chunked kernel. Components
-    are found over cell representatives. Returns (id, label), label = smallest core id."""
-    side = eps / math.sqrt(d)
-    ring = max(1, math.ceil(math.sqrt(d) - 1e-12))
-    e2 = eps * eps
-    x = F.col("x")
-    lo_expr = F.array(*[F.min(x[i]) for i in range(d)])
-    hi_expr = F.array(*[F.max(x[i]) for i in range(d)])
-    p = p.withColumn("c", _cell(x, side, d)).persist()
-    cells = p.groupBy("c").agg(F.count(F.lit(1)).alias("n"), lo_expr.alias("lo"), hi_expr.alias("hi")).persist()
-
-    # ---- core points: dense cells are core outright; sparse-cell points are counted
-    sparse = p.join(cells.where(F.col("n") < min_samples).select("c"), "c")
-    near = (sparse.select("id", "x", F.explode(_neighbour_cells(F.col("x"), side, d, ring)).alias("nc"))
-            .join(cells.select(F.col("c").alias("nc"), "n", "lo", "hi"), "nc")
-            .withColumn("far2", _box_dist2(x, F.col("lo"), F.col("hi"), True))
-            .withColumn("near2", _box_dist2(x, F.col("lo"), F.col("hi"), False))
-            .where(F.col("near2") <= e2)).persist()
-    whole = near.where(F.col("far2") <= e2).groupBy("id").agg(F.sum("n").alias("n_whole"))
-    check_q = near.where(F.col("far2") > e2).select("id", F.col("nc").alias("g"), "x")
-    donors = p.select("id", F.col("c").alias("g"), "x", F.lit(None).cast("double").alias("payload"))
-    partial = (_chunked_pairs(check_q, donors, chunk_rows)
-               .groupBy("g", "qc", "dc").applyInPandas(_count_kernel(eps), "qid long, n long")
-               .groupBy(F.col("qid").alias("id")).agg(F.sum("n").alias("n_part")))
-    sparse_core = (sparse.select("id").join(whole, "id", "left").join(partial, "id", "left")
-                   .where(F.coalesce("n_whole", F.lit(0)) + F.coalesce("n_part", F.lit(0)) >= min_samples)
-                   .select("id"))
-    dense_ids = p.join(cells.where(F.col("n") >= min_samples).select("c"), "c").select("id")
-    core = p.join(dense_ids.unionByName(sparse_core), "id").select("id", "c", "x").persist()
-
-    # ---- cell components: every core point of a cell joins the cell's representative
-    ccell = core.groupBy("c").agg(F.min("id").alias("rep"), lo_expr.alias("lo"), hi_expr.alias("hi")).persist()
-    # neighbour cells by cell index: ring offsets applied to the cell id
-    offs = F.array(*[F.array(*[F.lit(v).cast("long") for v in o]) for o in _offsets(d, ring)])
-    pairs = (ccell.select(F.col("c").alias("ca"), F.col("rep").alias("ra"), F.col("lo").alias("la"),
-                          F.col("hi").alias("ha"),
-                          F.explode(F.transform(offs, lambda o: F.zip_with(F.col("c"), o, lambda a, b: a + b)))
-                          .alias("cb"))
-             .join(ccell.select(F.col("c").alias("cb"), F.col("rep").alias("rb"), F.col("lo").alias("lb"),
-                                F.col("hi").alias("hb")), "cb")
-             .where(F.col("ra") < F.col("rb"))
-             .withColumn("near2", _box_box_dist2(F.col("la"), F.col("ha"), F.col("lb"), F.col("hb"), False))
-             .withColumn("far2", _box_box_dist2(F.col("la"), F.col("ha"), F.col("lb"), F.col("hb"), True))
-             .where(F.col("near2") <= e2)).persist()
-    sure = pairs.where(F.col("far2") <= e2).select(F.col("ra").alias("src"), F.col("rb").alias("dst"))
-    undecided = pairs.where(F.col("far2") > e2).select("ca", "cb")
-    qa = core.join(undecided.withColumnRenamed("ca", "c"), "c").select("id", F.col("cb").alias("g"), "x")
-    db = core.join(ccell.select("c", "rep"), "c").select("id", F.col("c").alias("g"), "x",
-                                                         F.col("rep").cast("double").alias("payload"))
-    witnessed = (_chunked_pairs(qa, db, chunk_rows)
-                 .groupBy("g", "qc", "dc").applyInPandas(_min_label_kernel(eps), "qid long, label long")
-                 .join(core.join(ccell.select("c", "rep"), "c").select(F.col("id").alias("qid"), "rep"), "qid")
-                 .select(F.col("rep").alias("src"), F.col("label").alias("dst")).distinct())
-    rep_comp = connected_components(ccell.select(F.col("rep").alias("id")), sure.unionByName(witnessed))
-    comp = (core.join(ccell.select("c", "rep"), "c")
-            .join(rep_comp.select(F.col("id").alias("rep"), "label"), "rep").select("id", "label")).persist()
-
-    # ---- border points: smallest label among core neighbours within eps
-    clab = ccell.join(rep_comp.select(F.col("id").alias("rep"), "label"), "rep")
-    noncore = p.join(core.select("id"), "id", "left_anti")
-    nb = (noncore.select("id", "x", F.explode(_neighbour_cells(F.col("x"), side, d, ring)).alias("nc"))
-          .join(clab.select(F.col("c").alias("nc"), "lo", "hi", "label"), "nc")
-          .withColumn("near2", _box_dist2(x, F.col("lo"), F.col("hi"), False))
-          .withColumn("far2", _box_dist2(x, F.col("lo"), F.col("hi"), True))
-          .where(F.col("near2") <= e2))
-    by_box = nb.where(F.col("far2") <= e2).select("id", "label")
-    bq = nb.where(F.col("far2") > e2).select("id", F.col("nc").alias("g"), "x")
-    bd = comp.join(core, "id").select("id", F.col("c").alias("g"), "x", F.col("label").cast("double").alias("payload"))
-    by_points = (_chunked_pairs(bq, bd, chunk_rows)
-                 .groupBy("g", "qc", "dc").applyInPandas(_min_label_kernel(eps), "qid long, label long")
-                 .select(F.col("qid").alias("id"), "label"))
-    border = by_box.unionByName(by_points).groupBy("id").agg(F.min("label").alias("label"))
-    return materialize(comp.unionByName(border), [p, cells, near, core, ccell, pairs, comp])
-
-
-def dbscan(df: DataFrame, features, key: str, eps: float = 1.5, min_samples: int = 10, grid_dims: int = 2,
-           chunk_rows: int = 2048, out: str = "cluster", method: str = "auto",
-           hot_cell_rows: int = 50_000) -> DataFrame:
-    """Density clustering: label per row (noise = -1). Clusters are numbered 0.. in the
-    order of their smallest core key (the scan order of the classic algorithm).
-
-    Two exact methods. ``dense_grid`` (vectors with at most ``grid_dims`` coordinates):
-    no work inside dense cells and box tests between cells, so a hot cell — e.g. a third
-    of the rows sharing one value — costs linear work. ``points``: cells of side eps on the
-    top principal axes and point-level neighbour work, faster on evenly spread data.
-    ``auto`` counts the largest eps/sqrt(d) cell (one aggregate) and takes ``dense_grid``
-    when it holds at least ``hot_cell_rows`` rows."""
-    p = _prepare(df, features, key)
-    d_full = len(p.select("x").first()[0]) if p.take(1) else 0
-    use_dense = method == "dense_grid"
-    if method == "auto" and 0 < d_full <= grid_dims:
-        side = eps / math.sqrt(d_full)
-        biggest = (p.groupBy(_cell(F.col("x"), side, d_full).alias("c")).count()
-                   .agg(F.max("count")).first()[0] or 0)
-        use_dense = biggest >= hot_cell_rows
-    if use_dense and not 0 < d_full <= grid_dims:
-        raise ValueError("the dense-grid method needs vectors with at most grid_dims coordinates")
-    if use_dense:
-        from ..sources.sinks import with_row_number
-        labels = _dbscan_dense_grid(p, d_full, eps, min_samples, chunk_rows)
-        numbering = with_row_number(labels.select("label").distinct(), ["label"], "cluster_no")
-        lab = cut_lineage(labels.join(numbering, "label").select(F.col("id").alias("__id"),
-                                                                 F.col("cluster_no").cast("int").alias(out)))
-        res = df.join(lab, qcol(key).cast("long") == F.col("__id"), "left").drop("__id")
-        return res.withColumn(out, F.coalesce(F.col(out), F.lit(-1)))
-    m = grid_dims_of(p, grid_dims)
-    p = with_grid_coords(p, m, grid_basis(p, m)).persist()
-    counts = prepared_neighbour_counts(p, eps, m, chunk_rows)
-    # reused by the star, component and border steps: materialise once
-    flagged = p.join(counts, "id").withColumn("core", F.col("n") >= min_samples).persist()
-    core = flagged.where("core").select("id", "x", "gx")
-    qx = core.withColumn("g", F.explode(_neighbour_cells(F.col("gx"), eps, m, 1)))
-    dx = core.withColumn("g", _cell(F.col("gx"), eps, m)).withColumn("payload", F.lit(None).cast("double"))
-    stars = (_chunked_pairs(qx.select("id", "g", "x"), dx.select("id", "g", "x", "payload"), chunk_rows)
-             .groupBy("g", "qc", "dc").applyInPandas(_star_kernel(eps), "id long, root long")
-             .where(F.col("id") != F.col("root")).distinct())
-    comp = connected_components(core.select("id"), stars.select(F.col("id").alias("src"), F.col("root").alias("dst")))
-    comp = comp.persist()
-    # border points: smallest component label among core neighbours within eps
-    border_q = flagged.where(~F.col("core")).withColumn("g", F.explode(_neighbour_cells(F.col("gx"), eps, m, 1)))
-    core_lab = core.join(comp, "id").select("id", "x", "gx", F.col("label").cast("double").alias("payload"))
-    border = (_chunked_pairs(border_q.select("id", "g", "x"),
-                             core_lab.withColumn("g", _cell(F.col("gx"), eps, m)).select("id", "g", "x", "payload"),
-                             chunk_rows)
-              .groupBy("g", "qc", "dc").applyInPandas(_min_label_kernel(eps), "qid long, label long")
-              .groupBy(F.col("qid").alias("id")).agg(F.min("label").alias("label")))
-    labels = comp.unionByName(border)
-    from ..sources.sinks import with_row_number
-    numbering = with_row_number(comp.select("label").distinct(), ["label"], "cluster_no")
-    # the final (id, cluster) table is checkpointed: later actions neither recompute the
-    # neighbour passes nor depend on cached blocks of lost executors
-    lab = cut_lineage(labels.join(numbering, "label").select(F.col("id").alias("__id"),
-                                                             F.col("cluster_no").cast("int").alias(out)))
-    for cached in (comp, flagged, p):
-        cached.unpersist()
-    res = df.join(lab, qcol(key).cast("long") == F.col("__id"), "left").drop("__id")
-    return res.withColumn(out, F.coalesce(F.col(out), F.lit(-1)))
-
-
-def dbscan_grid_search(df: DataFrame, features, key: str, eps_values: Sequence[float],
-                       min_samples_values: Sequence[int]) -> DataFrame:
-    """(eps, min_samples, n_clusters, noise_ratio) for every combination."""
-    from .evaluate import noise_stats
-    rows = []
-    for eps in eps_values:
-        for ms in min_samples_values:
-            s = noise_stats(dbscan(df, features, key, eps, ms), "cluster").first()
-            rows.append((float(eps), int(ms), int(s["n_clusters"]), float(s["noise_ratio"])))
-    return df.sparkSession.createDataFrame(rows, "eps double, min_samples int, n_clusters int, noise_ratio double")

@@ -185,12 +185,42 @@ def q_gmm_select_k(spark, sf):
     return CL.gmm_select_k(_part_std(spark, sf), "features", 10)
 
 
-@query("dbscan")
+_DBSCAN_SQL = (
+    "WITH RECURSIVE t AS (SELECT avg(p_size) AS ma, stddev_pop(p_size) AS sa, avg(p_retailprice) AS mb, "
+    "stddev_pop(p_retailprice) AS sb FROM part), "
+    "s AS (SELECT p_partkey AS id, (p_size - ma) / sa AS x, (p_retailprice - mb) / sb AS y FROM part, t), "
+    "nb AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM s a JOIN s b ON b.x BETWEEN a.x - 0.15 AND a.x + 0.15 "
+    "WHERE sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 0.15), "
+    "core AS MATERIALIZED (SELECT a AS id FROM nb GROUP BY a HAVING count(*) >= 10), "
+    "ce AS MATERIALIZED (SELECT a, b FROM nb WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)), "
+    "reach AS (SELECT id, id AS r FROM core UNION SELECT ce.b, reach.r FROM reach JOIN ce ON ce.a = reach.id "
+    "WHERE reach.r < ce.b), "
+    "lab AS (SELECT id, min(r) AS label FROM reach GROUP BY id), "
+    "num AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS cluster FROM (SELECT DISTINCT label FROM lab)), "
+    "edge AS (SELECT nb.a AS id, min(label) AS label FROM nb JOIN lab ON lab.id = nb.b "
+    "WHERE nb.a NOT IN (SELECT id FROM core) GROUP BY nb.a), "
+    "every AS (SELECT * FROM lab UNION ALL SELECT * FROM edge) "
+    "SELECT s.id AS p_partkey, CAST(coalesce(cluster, -1) AS INTEGER) AS cluster FROM s LEFT JOIN every ON every.id = s.id "
+    "LEFT JOIN num ON num.label = every.label")
+
+
+@query("dbscan", _DBSCAN_SQL)
 def q_dbscan(spark, sf):
     std = _part_std(spark, sf)
     return CL.dbscan(std, "features", "p_partkey", eps=0.15, min_samples=10).select("p_partkey", "cluster")
 
 
+@query("dbscan_noise_cluster", f"SELECT p_partkey, CAST(CASE WHEN cluster = -1 THEN (SELECT max(cluster) + 1 FROM ({_DBSCAN_SQL})) "
+       f"ELSE cluster END AS INTEGER) AS cluster FROM ({_DBSCAN_SQL})")
+def q_dbscan_noise_cluster(spark, sf):
+    return CL.relabel_noise(q_dbscan(spark, sf))
+
+
+@query("dbscan_grid_search")
+def q_dbscan_grid_search(spark, sf):
+    return CL.dbscan_grid_search(_part_std(spark, sf), "features", "p_partkey", [0.1, 0.15, 0.2], [5, 10])
+
+
 @query("fit_predict_score")
 def q_fit_predict_score(spark, sf):
     _, score = CL.fit_predict_score(_part_std(spark, sf), "features", "kmeans", 5)
