@@ -24,29 +24,13 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import qcol
 from ..session import cut_lineage
-from .graph import components
+from .graph import components, local_components
 from .neighbours import (_cell, _chunked_pairs, _count_kernel, _offsets, _prepare, grid_basis, grid_dims_of, knn_join,
                          pairwise_distance, with_grid_coords)
 
 HAIR = 1e-12  # boxes decide only what rounding can't turn
 
 
-def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Component root (smallest index) of each of n nodes: minima over the edges with pointer jumping until stable."""
-    lab = np.arange(n)
-    while True:
-        old = lab.copy()
-        np.minimum.at(lab, a, lab[b])
-        np.minimum.at(lab, b, lab[a])
-        while True:
-            jumped = lab[lab]
-            if np.array_equal(jumped, lab):
-                break
-            lab = jumped
-        if np.array_equal(lab, old):
-            return lab
-
-
 def _sides(pdf: pd.DataFrame):
     q, d = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
     if q.empty or d.empty:
