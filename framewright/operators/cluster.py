@@ -64,17 +64,12 @@ def total_sum_of_squares(df: DataFrame, features) -> float:
 
 
 def elbow_curve(df: DataFrame, features, max_clusters: int = 10, seed: int = 42, max_iter: int = 300,
-                eps: float = 1e-4) -> DataFrame:
-    """(k, inertia) for k = 1..max_clusters, fitted like ``kmeans``; the input is cached once for all fits."""
-    from pyspark.ml.clustering import KMeans
+                tol: float = 1e-4, starts: int = 1) -> DataFrame:
+    """(k, inertia) for k = 1..max_clusters, with the tolerance of ``kmeans``; every scan serves all k."""
+    from .lloyd import kmeans_starts
 
-    v = _vectors(df, features, "__features").select("__features").persist()
-    rows = [(1, total_sum_of_squares(df, features))]
-    for k in range(2, max_clusters + 1):
-        m = KMeans(k=k, seed=seed, maxIter=max_iter, tol=eps, featuresCol="__features", solver="block").fit(v)
-        rows.append((k, float(m.summary.trainingCost)))
-    v.unpersist()
-    return df.sparkSession.createDataFrame(rows, "k int, inertia double")
+    best = kmeans_starts(df, features, range(1, max_clusters + 1), starts, seed, max_iter, tol)
+    return df.sparkSession.createDataFrame([(k, cost) for k, (_, cost) in sorted(best.items())], "k int, inertia double")
 
 
 def bisecting_kmeans(df: DataFrame, features, k: int = 5, seed: int = 42, out: str = "cluster"):

@@ -193,21 +193,17 @@ def woe_encode(df: DataFrame, col: str, target: str, out: str | None = None) ->
 
 
 def cluster_categories(df: DataFrame, col: str, n_clusters: int = 5, seed: int = 42,
-                       out: str | None = None) -> DataFrame:
-    """k-means on the per-category counts; each category becomes ``Cluster_<i>``.
-    Fitted on the distinct (category, count) table, joined back by category."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
+                       out: str | None = None, starts: int = 10) -> DataFrame:
+    """k-means on the per-category counts, the best of ``starts`` starts; each category becomes ``Cluster_<i>``, numbered by
+    rising count. Fitted on the distinct (category, count) table, joined back by category; a null stays null."""
+    from .lloyd import kmeans_starts
 
     counts = (df.where(qcol(col).isNotNull()).groupBy(qcol(col).alias("__k"))
-              .agg(F.count(F.lit(1)).cast("double").alias("__cnt")))
-    vec = VectorAssembler(inputCols=["__cnt"], outputCol="__f").transform(counts)
-    k = min(n_clusters, max(1, counts.count()))
-    if k < 2:
-        labelled = vec.select("__k", F.lit("Cluster_0").alias("__lab"))
-    else:
-        model = KMeans(k=k, seed=seed, featuresCol="__f", predictionCol="__p").fit(vec)
-        labelled = model.transform(vec).select("__k", F.concat(F.lit("Cluster_"), F.col("__p")).alias("__lab"))
+              .agg(F.count(F.lit(1)).cast("double").alias("__cnt"))).persist()
+    centres = kmeans_starts(counts, ["__cnt"], [n_clusters], starts, seed)[n_clusters][0].ravel().tolist()
+    counts.unpersist()
+    apart = F.array(*[F.abs(F.col("__cnt") - F.lit(c)) for c in centres] or [F.lit(0.0)])
+    labelled = counts.select("__k", F.concat(F.lit("Cluster_"), F.array_position(apart, F.array_min(apart)) - 1).alias("__lab"))
     return _apply(df, col, labelled, F.col("__lab"), out)
 
 

@@ -20,8 +20,6 @@ from pyspark.sql import types as T
 from ..functions.stats import checked_broadcast, qcol
 from .relational import top_k_per_group
 
-MAX_PAIRWISE_CLUSTERS = 20_000  # Davies-Bouldin compares every pair of centroids
-
 
 # --------------------------------------------------------------------------- features
 def feature_array(df: DataFrame, features: str | Sequence[str]) -> Column:
@@ -66,28 +64,42 @@ def inertia(df: DataFrame, features, label: str) -> float:
     return value
 
 
-def davies_bouldin(df: DataFrame, features, label: str) -> float | None:
-    """mean over clusters of max_{j != i} (s_i + s_j) / d(c_i, c_j), s = mean distance to centroid."""
+def _worst_ratios(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Left block x right block of centroids: per left cluster the largest (s_i + s_j) / d(c_i, c_j)."""
+    left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
+    if left.empty or right.empty:
+        return pd.DataFrame({"id": pd.Series(dtype="int64"), "r": pd.Series(dtype="float64")})
+    cl, cr = np.stack(left["c"].to_numpy()), np.stack(right["c"].to_numpy())
+    s, out = right["s"].to_numpy(), np.empty(len(cl))
+    for i, (c, own, own_id) in enumerate(zip(cl, left["s"].to_numpy(), left["id"].to_numpy(), strict=True)):
+        d = np.sqrt(((cr - c) ** 2).sum(1))
+        d[(d == 0) | (right["id"].to_numpy() == own_id)] = np.inf
+        out[i] = ((own + s) / d).max()
+    return pd.DataFrame({"id": left["id"].to_numpy(), "r": out})
+
+
+def davies_bouldin(df: DataFrame, features, label: str, block_rows: int = 1_000) -> float | None:
+    """mean over clusters of max_{j != i} (s_i + s_j) / d(c_i, c_j), s = mean distance to centroid.
+
+    Blocks of centroids are compared on the executors, and only maxima per cluster leave a block; the number
+    of clusters has no limit."""
     j, cent = _with_centroid(df, features, label)
     per = j.groupBy("__l").agg(F.avg(F.sqrt(sq_dist(F.col("__x"), F.col("__c")))).alias("s"),
-                               F.first("__c").alias("c")).persist()
-    k = per.count()
-    if k > MAX_PAIRWISE_CLUSTERS:
-        per.unpersist()
-        cent.unpersist()
-        raise ValueError(f"davies_bouldin compares all centroid pairs; {k} clusters exceed {MAX_PAIRWISE_CLUSTERS}")
-    s = per.collect()
+                               F.first("__c").alias("c")).withColumn("id", F.xxhash64("__l")).persist()
+    k, spread = per.agg(F.count(F.lit(1)), F.max("s")).first()
+    value = None
+    if k >= 2:
+        blocks = -(-k // block_rows)
+        own, other = F.pmod("id", F.lit(blocks)), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+        left = per.select("id", "s", "c", own.alias("a"), other.alias("p"), F.lit(0).alias("side"))
+        right = per.select("id", "s", "c", other.alias("a"), own.alias("p"), F.lit(1).alias("side"))
+        cols = ["id", "s", "c", F.col("a").cast("long").alias("a"), F.col("p").cast("long").alias("p"), "side"]
+        worst = (left.select(*cols).unionByName(right.select(*cols)).groupBy("a", "p").applyInPandas(_worst_ratios, "id long, r double")
+                 .groupBy("id").agg(F.max("r").alias("r")))
+        value = 0.0 if spread <= 1e-8 else float(worst.agg(F.avg("r")).first()[0])
     per.unpersist()
     cent.unpersist()
-    if len(s) < 2:
-        return None
-    sc = np.array([r["s"] for r in s])
-    cs = np.array([r["c"] for r in s])
-    if np.allclose(sc, 0.0):
-        return 0.0
-    d = np.sqrt(((cs[:, None, :] - cs[None, :, :]) ** 2).sum(-1))
-    d[d == 0] = np.inf
-    return float(np.mean(np.max((sc[:, None] + sc[None, :]) / d, axis=1)))
+    return value
 
 
 def calinski_harabasz(df: DataFrame, features, label: str) -> float | None:

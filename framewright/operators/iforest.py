@@ -2,12 +2,12 @@
 (Liu, Ting & Zhou, 2008): random axis-parallel splits on small sub-samples, anomaly
 score 2^(-E[h(x)] / c(psi)).
 
-Spark does the data work: each tree's sub-sample is the ``max_samples`` rows with the
-smallest hash in that tree (a hash pre-filter keeps only ~3x that many candidates per
-tree; on large inputs one hash per row assigns it to at most one tree, so rows are never
-replicated to every tree), trees are grown in parallel with
-``applyInPandas`` grouped by tree id, and the forest — at most n_trees x (2 psi - 1)
-nodes, a fixed bound — is broadcast to a vectorised Pandas UDF that scores every row.
+Spark does the data work: every row has one place on a ring of row hashes, and a tree's sub-sample is the
+``max_samples`` rows that follow the tree's own offset (all rows, if fewer). So one hash per row decides, samples
+overlap only where the table is small, and a large table's rows mostly drop out at once. Trees are grown in
+parallel with ``applyInPandas`` grouped by tree id, and the forest — at most n_trees x (2 psi - 1)
+nodes, a fixed bound — is broadcast. The score of a single column is constant between the forest's
+thresholds, so it is looked up; rows of several columns walk the trees in a vectorised Pandas UDF.
 The cut is the exact (1 - contamination) quantile of the scores.
 """
 
@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import qcol, quantiles
-from ..session import cut_lineage
 
 EULER_GAMMA = 0.5772156649015329
 
@@ -100,20 +99,17 @@ def isolation_forest_scores(df: DataFrame, cols: Sequence[str], key: str, n_tree
     n = base.count()
     if n == 0:
         return df.withColumn(out, F.lit(None).cast("double"))
-    psi = min(max_samples, max(2, -(-n // n_trees)))
-    p = min(1.0 / n_trees, 3.0 * psi / n)
-    keyed = base.select(qcol(key).cast("string").alias("__k"), x.alias("x"))
-
-    def h(tree_col):
-        digest = F.md5(F.concat_ws(":", F.lit(str(seed)), tree_col.cast("string"), F.col("__k")))
-        return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
-
-    # one hash per row: its value picks the row's tree (disjoint sub-samples) and orders rows inside
-    # it, so on large inputs nearly every row is dropped after a single hash
-    cand = (keyed.withColumn("__u", h(F.lit(-1))).where(F.col("__u") < F.lit(n_trees * p))
-            .withColumn("tree", F.least(F.floor(F.col("__u") / F.lit(p)), F.lit(n_trees - 1)).cast("int")))
+    psi = min(max_samples, n)
+    width = min(1.0, 3.0 * psi / n)  # of the ring, behind a tree's offset
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), qcol(key).cast("string")))
+    place = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+    keyed = base.select(qcol(key).cast("string").alias("__k"), x.alias("x"), place.alias("__u"))
+    back = min(n_trees - 1, int(width * n_trees) + 1)
+    near = keyed.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(back))))
+    near = near.withColumn("tree", F.pmod(F.floor(F.col("__u") * n_trees) - F.col("tree"), F.lit(n_trees)).cast("int"))
+    near = near.withColumn("__u", F.pmod(F.col("__u") - F.col("tree") / F.lit(float(n_trees)), F.lit(1.0))).where(F.col("__u") <= width)
     w = Window.partitionBy("tree").orderBy("__u", "__k")
-    sample = cand.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= psi)
+    sample = near.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= psi)
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
     nodes = (sample.select("tree", "x").groupBy("tree")
              .applyInPandas(_grow_kernel(seed, max_depth),
@@ -130,6 +126,19 @@ def isolation_forest_scores(df: DataFrame, cols: Sequence[str], key: str, n_tree
         arr["max_depth"] = int(g["depth"].max())
         forest.append(arr)
     c_psi = float(average_path_length([psi])[0]) or 1.0
+    if len(cols) == 1:
+        cuts = np.unique(np.concatenate([t["threshold"][t["feature"] >= 0] for t in forest]))
+        at = np.concatenate([[np.nextafter(cuts[0], -np.inf)] if len(cuts) else [0.0], cuts])  # one value of every stretch
+        bc = df.sparkSession.sparkContext.broadcast((cuts, _score_batch(at[:, None], forest, c_psi)))
+
+        @F.pandas_udf("double")
+        def look_up(v: pd.Series) -> pd.Series:
+            cuts, scores = bc.value
+            v = v.to_numpy(dtype=float)
+            return pd.Series(np.where(np.isnan(v), np.nan, scores[np.searchsorted(cuts, v, side="right")]))
+
+        value = qcol(cols[0]).cast("double")
+        return df.withColumn(out, F.when(value.isNotNull(), look_up(value)))
     bc = df.sparkSession.sparkContext.broadcast(forest)
 
     @F.pandas_udf("double")
@@ -145,8 +154,10 @@ def isolation_forest_flag(df: DataFrame, col: str | Sequence[str], key: str, con
     """0/1 column ``outlier_iforest_<col>``: score above the (1 - contamination) quantile."""
     cols = [col] if isinstance(col, str) else list(col)
     name = f"outlier_iforest_{'_'.join(cols)}"
-    # checkpointed: the scores feed the cut and the flags without re-running the forest
-    scored = cut_lineage(isolation_forest_scores(df, cols, key, n_trees, max_samples, seed, "__score"))
-    cut = quantiles(scored, ["__score"], [1.0 - contamination])["__score"][0]
+    scored = isolation_forest_scores(df, cols, key, n_trees, max_samples, seed, "__score")
+    # the scores alone are cached for the cut; rows and flags stay lazy
+    scores = scored.select("__score").persist()
+    cut = quantiles(scores, ["__score"], [1.0 - contamination])["__score"][0]
+    scores.unpersist()
     flag = F.coalesce(F.col("__score") > F.lit(cut), F.lit(False)) if cut is not None else F.lit(False)
     return scored.withColumn(name, flag.cast("int")).drop("__score")

@@ -11,10 +11,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.linalg import summed_arrays
 from ..functions.stats import as_double, numeric_columns, qcol, quantiles
 from ..session import cut_lineage
 
@@ -167,26 +169,117 @@ def impute_linear_regression(df: DataFrame, col: str, features: Sequence[str] |
     return df.withColumn(col, F.coalesce(x, predict_expr(model)))
 
 
-def impute_iterative(df: DataFrame, cols: Sequence[str] | None = None, rounds: int = 3) -> DataFrame:
-    """Chained equations: mean fill, then ``rounds`` passes re-predicting each column's
-    originally-missing cells from the others. Lineage is checkpointed each round."""
-    cols = list(cols) if cols is not None else numeric_columns(df)
+GRAM_LIMIT = 20_000_000  # numbers of all patterns' matrices that may reach the driver
+
+
+def _pattern_grams(df: DataFrame, cols: Sequence[str], mean: np.ndarray, std: np.ndarray) -> DataFrame:
+    """(pattern, g): per missing-value pattern the Gram matrix, flattened, of [1, standardised values with 0 for missing]."""
+    d = len(cols)
+
+    def part(batches):
+        grams: dict[str, np.ndarray] = {}
+        for pdf in batches:
+            z = (pdf.to_numpy(dtype=float) - mean) / std
+            gone = np.isnan(z)
+            u = np.hstack([np.ones((len(z), 1)), np.where(gone, 0.0, z)])
+            kinds, of = np.unique(gone, axis=0, return_inverse=True)
+            for i, kind in enumerate(kinds):
+                mine, name = u[of.ravel() == i], "".join("1" if g else "0" for g in kind)
+                grams[name] = grams.get(name, 0.0) + mine.T @ mine
+            if len(grams) * (d + 1) ** 2 > GRAM_LIMIT // 20:
+                yield pd.DataFrame({"pattern": list(grams), "g": [g.ravel() for g in grams.values()]})
+                grams = {}
+        if grams:
+            yield pd.DataFrame({"pattern": list(grams), "g": [g.ravel() for g in grams.values()]})
+
+    return summed_arrays(df.select(*[as_double(c).alias(f"x{i}") for i, c in enumerate(cols)])
+                         .mapInPandas(part, "pattern string, g array<double>"), ["pattern"], "g")
+
+
+def _chain(patterns: list[str], grams: np.ndarray, tol: float, max_rounds: int) -> np.ndarray:
+    """Per pattern the linear map from [1, values with 0 for missing] to the completed [1, values].
+
+    Regressions are linear, so all rows of a pattern are completed by one map, and the matrix of sums that a
+    regression needs is the sum of the patterns' matrices under their maps: rounds cost no scan."""
+    gone = np.array([[False, *(ch == "1" for ch in p)] for p in patterns])
+    full = np.eye(gone.shape[1])[None] * ~gone[:, :, None]
+    for _ in range(max_rounds):
+        most = 0.0
+        for c in range(1, gone.shape[1]):
+            mine = gone[:, c]
+            rows = grams[mine][:, 0, 0].sum()
+            if not mine.any() or mine.all():
+                continue
+            known = full[~mine]
+            sums = (known @ grams[~mine] @ known.transpose(0, 2, 1)).sum(0)
+            others = [i for i in range(gone.shape[1]) if i != c]
+            beta = np.linalg.lstsq(sums[np.ix_(others, others)], sums[others, c], rcond=None)[0]
+            new = np.einsum("i,pij->pj", beta, full[mine][:, others])
+            step = new - full[mine, c]
+            most = max(most, float(np.sqrt(max(np.einsum("pi,pij,pj->", step, grams[mine], step), 0.0) / rows)))
+            full[mine, c] = new
+        if most <= tol:
+            break
+    return full
+
+
+def _chain_by_scans(df: DataFrame, cols: Sequence[str], std: np.ndarray, tol: float, max_rounds: int) -> DataFrame:
+    """The same regressions with one scan each, for tables of very many missing-value patterns."""
     missing = {c: f"__miss_{i}" for i, c in enumerate(cols)}
-    out = df.withColumns({m: qcol(c).isNull() for c, m in missing.items()})
-    out = impute_mean(out, cols)
-    for _ in range(rounds):
+    out = impute_mean(df.withColumns({m: qcol(c).isNull() for c, m in missing.items()}), cols)
+    for _ in range(max_rounds):
+        before = {c: f"__old_{i}" for i, c in enumerate(cols)}
+        out = out.withColumns({o: as_double(c) for c, o in before.items()})
         for c in cols:
-            others = [o for o in cols if o != c]
-            if not others:
-                continue
-            train = out.where(~F.col(missing[c]))
-            model = fit_ols(train, c, others)
+            model = fit_ols(out.where(~F.col(missing[c])), c, [o for o in cols if o != c])
             if model is not None:
                 out = out.withColumn(c, F.when(F.col(missing[c]), predict_expr(model)).otherwise(as_double(c)))
         out = cut_lineage(out)
+        moved = out.agg(*[F.avg(F.when(F.col(missing[c]), F.pow((as_double(c) - F.col(before[c])) / F.lit(float(s)), 2))).alias(before[c])
+                          for c, s in zip(cols, std, strict=True)]).first()
+        out = out.drop(*before.values())
+        if all(v is None or v <= tol * tol for v in moved):
+            break
     return out.drop(*missing.values())
 
 
+def impute_iterative(df: DataFrame, cols: Sequence[str] | None = None, tol: float = 1e-6, max_rounds: int = 200) -> DataFrame:
+    """Chained equations: mean fill, then each column's originally missing cells are predicted again from the others,
+    column by column, until no column's fills move by more than ``tol`` standard deviations (root mean square).
+
+    One scan takes the sums of every missing-value pattern; the rounds run on these d x d matrices (``_chain``), and
+    one projection fills the cells. Only where the patterns' matrices exceed ``GRAM_LIMIT`` numbers is every round a
+    scan. Columns without any value stay null and take no part; a NaN counts as missing."""
+    cols = list(cols) if cols is not None else numeric_columns(df)
+    clean = {c: F.nanvl(as_double(c), F.lit(None).cast("double")) for c in cols}
+    df = df.withColumns(clean)
+    fits = df.agg(*[f(as_double(c)).alias(f"{n}{i}") for i, c in enumerate(cols) for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first() if cols else None
+    live = [i for i in range(len(cols)) if fits[f"m{i}"] is not None]
+    if len(live) < 2:
+        return impute_mean(df, [cols[i] for i in live]) if live else df
+    used = [cols[i] for i in live]
+    mean = np.array([fits[f"m{i}"] for i in live])
+    std = np.array([fits[f"s{i}"] or 1.0 for i in live])
+    d = len(used)
+    table = _pattern_grams(df, used, mean, std).persist()
+    n_patterns = table.count()
+    if n_patterns * (d + 1) ** 2 > GRAM_LIMIT:
+        table.unpersist()
+        return _chain_by_scans(df, used, std, tol, max_rounds)
+    rows = sorted(table.collect(), key=lambda r: r.pattern)
+    table.unpersist()
+    full = _chain([r.pattern for r in rows], np.array([r.g for r in rows]).reshape(-1, d + 1, d + 1), tol, max_rounds)
+    maps = df.sparkSession.createDataFrame([(r.pattern, m.tolist()) for r, m in zip(rows, full, strict=True) if "1" in r.pattern],
+                                           "__pattern string, __map array<array<double>>")
+    z = [F.coalesce((as_double(c) - F.lit(float(m))) / F.lit(float(s)), F.lit(0.0)) for c, m, s in zip(used, mean, std, strict=True)]
+    marked = df.withColumn("__pattern", F.concat(*[F.when(qcol(c).isNull(), "1").otherwise("0") for c in used])).withColumn("__u", F.array(F.lit(1.0), *z))
+    joined = marked.join(maps, "__pattern", "left")
+    fill = lambda i: F.aggregate(F.zip_with(F.col("__map")[i + 1], F.col("__u"), lambda p, q: p * q), F.lit(0.0), lambda acc, v: acc + v)
+    place = {c: i for i, c in enumerate(used)}
+    return joined.select(*[F.coalesce(as_double(c), F.lit(float(mean[place[c]])) + F.lit(float(std[place[c]])) * fill(place[c])).alias(c)
+                           if c in place else qcol(c) for c in df.columns])
+
+
 # --------------------------------------------------------------------------- ratios / groups
 def impute_from_ratio_mean(df: DataFrame, a: str, b: str) -> DataFrame:
     """ratio = mean of finite a/b per row; then b = a / ratio where b is missing."""

@@ -73,9 +73,10 @@ def handle_outliers(df: DataFrame, col: str, strategy: str = "remove", value: fl
 
 
 def outlier_analysis(df: DataFrame, cols: Sequence[str] | None = None, strategy: str = "remove",
-                     value: float | None = None, checkpoint_every: int = 8) -> tuple[DataFrame, DataFrame]:
+                     value: float | None = None, checkpoint_every: int = 8, key: str | None = None) -> tuple[DataFrame, DataFrame]:
     """For every numeric column in order: flag counts, then treatment. Column k's fences
-    come from the rows left by columns < k. Returns (treated table, summary).
+    come from the rows left by columns < k. Returns (treated table, summary). The summary holds
+    the Tukey and z-score counts and, with a row ``key``, the isolation-forest count (else null).
 
     Lineage is cut with a reliable checkpoint every ``checkpoint_every`` columns so a
     wide table does not recompute an ever longer chain."""
@@ -88,13 +89,17 @@ def outlier_analysis(df: DataFrame, cols: Sequence[str] | None = None, strategy:
         q1, med, q3 = quantiles(out, [c], [0.25, 0.5, 0.75])[c]
         m = out.agg(F.avg(x).alias("m"), F.stddev_pop(x).alias("s")).first()
         if q1 is None:
-            summaries.append((c, 0, 0))
+            summaries.append((c, 0, 0, 0 if key else None))
             continue
         lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
         is_out = F.coalesce((x < F.lit(lo)) | (x > F.lit(hi)), F.lit(False))
         z_out = F.coalesce(F.abs((x - F.lit(m["m"])) / F.lit(m["s"])) > 3, F.lit(False)) if m["s"] else F.lit(False)
         s = out.agg(F.count_if(is_out).alias("t"), F.count_if(z_out).alias("z"), F.avg(x).alias("mean")).first()
-        summaries.append((c, s["t"], s["z"]))
+        forest = None
+        if key:
+            from .iforest import isolation_forest_flag
+            forest = isolation_forest_flag(out, c, key).agg(F.sum(f"outlier_iforest_{c}")).first()[0]
+        summaries.append((c, s["t"], s["z"], forest))
         if strategy == "remove":
             out = out.where(~is_out)
         else:
@@ -104,7 +109,7 @@ def outlier_analysis(df: DataFrame, cols: Sequence[str] | None = None, strategy:
             out = out.withColumn(c, F.when(is_out, F.lit(float(fill))).otherwise(x))
         if checkpoint_every and i % checkpoint_every == 0 and i < len(cols):
             out = cut_lineage(out)
-    summary = df.sparkSession.createDataFrame(summaries, "column_name string, n_tukey bigint, n_zscore bigint")
+    summary = df.sparkSession.createDataFrame(summaries, "column_name string, n_tukey bigint, n_zscore bigint, n_iforest bigint")
     return out, summary
 
 

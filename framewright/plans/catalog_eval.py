@@ -111,6 +111,17 @@ def q_silhouette(spark, sf):
     return _one(spark, "silhouette", EV.silhouette(_emb(spark, sf), "embedding", "label"))
 
 
+@query("silhouette_euclidean",
+       "WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), "
+       "md AS (SELECT a.vec_id, a.label AS own, b.label AS cl, count(*) AS n, sum(list_distance(a.v, b.v)) AS s "
+       "FROM e a, e b GROUP BY ALL), "
+       "pp AS (SELECT vec_id, max(CASE WHEN cl = own THEN n END) AS n_own, max(CASE WHEN cl = own THEN s / nullif(n - 1, 0) END) "
+       "AS a, min(CASE WHEN cl <> own THEN s / n END) AS b FROM md GROUP BY 1) "
+       "SELECT avg(CASE WHEN n_own > 1 THEN (b - a) / greatest(a, b) ELSE 0 END) AS silhouette_euclidean FROM pp")
+def q_silhouette_euclidean(spark, sf):
+    return _one(spark, "silhouette_euclidean", EV.silhouette_exact(_emb(spark, sf), "embedding", "label", "vec_id"))
+
+
 @query("davies_bouldin", "WITH " + _CENT + f"SELECT {_DB_VALUE} AS davies_bouldin")
 def q_davies_bouldin(spark, sf):
     return _one(spark, "davies_bouldin", EV.davies_bouldin(_emb(spark, sf), "embedding", "label"))

@@ -316,6 +316,12 @@ def q_outlier_analysis(spark, sf):
     return treated
 
 
+@query("outlier_analysis_summary")
+def q_outlier_analysis_summary(spark, sf):
+    _treated, summary = O.outlier_analysis(_ev(spark, sf), ["value", "user_id"], "remove", key="event_id")
+    return summary
+
+
 @query("outlier_scatter_data", with_views(
     fences_cte("events_dirty", "value") + " SELECT event_id, value, CAST(coalesce(value < f.lo OR value > f.hi, FALSE) "
     "AS INT) AS is_outlier FROM events_dirty, f", "events_dirty"))

@@ -114,10 +114,13 @@ def q_impute_knn_label(spark, sf):
     return N.impute_knn_label(df, ["p_retailprice"], "p_size", "p_partkey", 5)
 
 
-@query("impute_iterative")
+@query("impute_iterative", with_views(
+    "m AS (SELECT regr_slope(p_size, p_retailprice) AS b, regr_intercept(p_size, p_retailprice) AS a FROM part_dirty) "
+    "SELECT p_partkey, coalesce(CAST(p_size AS DOUBLE), m.a + m.b * p_retailprice) AS p_size, p_retailprice FROM part_dirty, m",
+    "part_dirty"))
 def q_impute_iterative(spark, sf):
     df = part_dirty(spark, sf).select("p_partkey", "p_size", "p_retailprice")
-    return I.impute_iterative(df, ["p_size", "p_retailprice"], rounds=3)
+    return I.impute_iterative(df, ["p_size", "p_retailprice"])
 
 
 @query("isolation_forest_flag")
