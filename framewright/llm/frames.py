@@ -15,6 +15,9 @@ from ..session import ensure_checkpoint_dir
 from .textkit import word_counts
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -22,10 +25,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet in the shared checkpoint folder and read it back.
 
-    The folder is the one that ``spark.checkpoint.dir`` names, so a lost executor loses nothing."""
+    The folder is the one that ``spark.checkpoint.dir`` names, so a lost executor loses nothing. The
+    shuffle files of the write are removed when it ends; nothing reads them afterwards."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
 
 

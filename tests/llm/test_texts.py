@@ -1,9 +1,11 @@
 """Byte helpers, components, line dedup and the n-gram join against plain Python."""
 
+import hashlib
 import itertools
 import random
 import re
 import struct
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -140,6 +142,45 @@ def test_line_dedup_recall_by_length(spark, words, least):
     assert sum(not x.kept for x in got) >= least * len(docs) / 2
 
 
+def changed(words, vocabulary, share, r):
+    words = list(words)
+    for _ in range(max(1, int(len(words) * share))):
+        at, how = r.randrange(len(words)), r.random()
+        if how < 0.3:
+            words.insert(at, r.choice(vocabulary))
+        elif how < 0.6 and len(words) > 1:
+            words.pop(at)
+        else:
+            words[at] = r.choice(vocabulary)
+    return words
+
+
+def test_verified_pairs_are_exact_and_long_lines_fast(spark):
+    r = random.Random(1)
+    vocabulary = ["".join(r.choice("abcdefghijkl") for _ in range(r.randint(3, 8))) for _ in range(5000)]
+    lines, want = [], set()
+    for i in range(0, 400, 2):
+        a = [r.choice(vocabulary[:40] if i % 4 else vocabulary) for _ in range(r.randint(1, 25))]
+        x, y = " ".join(a), " ".join(changed(a, vocabulary, r.random() * 0.5, r))
+        lines += [(i, x), (i + 1, y)]
+        if x != y and levenshtein(x, y) <= int(max(len(x), len(y)) * 0.2 + 1e-9):
+            want.add((i, i + 1))
+
+    def links(lines):
+        key = {n: int.from_bytes(hashlib.md5(x.encode()).digest()[:8], "big", signed=True) for n, x in lines}
+        occ = spark.createDataFrame(lines, "n long, norm string").withColumn("key", F.unhex(F.md5("norm")))
+        pairs = [(key[n], key[n + 1]) for n, _ in lines[::2] if key[n] != key[n + 1]]
+        name = {v: n for n, v in key.items()}
+        return {(name[x.a] // 2 * 2, name[x.a] // 2 * 2 + 1) for x in line_dedup.verified(spark.createDataFrame(pairs, "a long, b long"), occ, 0.8).collect()}
+
+    assert links(lines) == want and 50 < len(want) < 150
+    long = [r.choice(vocabulary) for _ in range(10000)]
+    pair = [(0, " ".join(long)), (1, " ".join(changed(long, vocabulary, 0.05, r)))]
+    begun = time.monotonic()
+    assert links(pair) == {(0, 1)}
+    assert time.monotonic() - begun < 10  # start of the jobs included; the whole edit distance takes 40 s
+
+
 def test_line_dedup_rebuilds_documents(spark):
     docs = [(1, "Alpha beta\n\ngamma delta", "x"), (2, "ALPHA, beta\nnew line here", "y"), (3, "gamma   delta", "z"), (4, None, "n"), (5, "", "e"), (6, "..", "d"), (7, "alpha beta", "all gone")]
     df = spark.createDataFrame(docs, "doc_id long, text string, `group` string").withColumn("kept", F.lit(1)).withColumn("line no", F.lit(2))
