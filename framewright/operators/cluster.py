@@ -90,16 +90,36 @@ def gmm(df: DataFrame, features, k: int = 5, seed: int = 42, out: str = "cluster
     return model.transform(v).drop("__features", "__prob"), model
 
 
-def gmm_select_k(df: DataFrame, features, max_clusters: int = 10, seed: int = 42) -> DataFrame:
-    """(k, silhouette) for k = 2..max_clusters (squared-euclidean silhouette, O(n k))."""
-    rows = []
-    cached = df.persist()
-    for k in range(2, max_clusters + 1):
-        lab, _ = gmm(cached, features, k, seed)
-        n_lab = lab.agg(F.count_distinct("cluster")).first()[0]
-        rows.append((k, silhouette(lab, features, "cluster") if n_lab > 1 else None))
-    cached.unpersist()
-    return df.sparkSession.createDataFrame(rows, "k int, silhouette double")
+def spread_rows(df: DataFrame, n: int, most_rows: int = 262_144) -> DataFrame:
+    """``df`` in partitions of about ``most_rows`` rows where it has fewer: a small file is one task, however many
+    rows it holds. Inputs that fit the partitions they have stay as they are."""
+    parts = -(-n // most_rows)
+    return df if df.rdd.getNumPartitions() >= parts else df.repartition(parts)
+
+
+def gmm_select_k(df: DataFrame, features, max_clusters: int = 10, seed: int = 42, parallelism: int = 4) -> DataFrame:
+    """(k, silhouette) for k = 2..max_clusters (squared-euclidean silhouette, O(n k); null where only one cluster has rows).
+
+    The fits do not depend on each other, so ``parallelism`` of them run at a time, the largest first."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
+
+    spark, kept = df.sparkSession, df.persist()
+    rows = spread_rows(kept, kept.count()).persist()
+
+    def score(k: int):
+        lab, _ = gmm(rows, features, k, seed)
+        return k, silhouette(lab, features, "cluster")
+
+    pool = ThreadPool(max(1, min(parallelism, max_clusters - 1)))
+    try:
+        found = pool.map(inheritable_thread_target(spark)(score), range(max_clusters, 1, -1), chunksize=1)
+    finally:
+        pool.close()
+    rows.unpersist()
+    kept.unpersist()
+    return spark.createDataFrame(sorted(found), "k int, silhouette double")
 
 
 def fit_predict_score(df: DataFrame, features, kind: str = "kmeans", k: int = 5, seed: int = 42):
