@@ -34,6 +34,7 @@ MODEL_B = "/opt/tokenizers/piece_bpe_32k.model"
 #: The published pattern that splits text before byte-level merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CUT = re.compile(r"(?<=\S)(?= \S)")
+PER_TASK = 8  # chunks of about 1 MB of text
 
 
 def coalesce(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -212,8 +213,11 @@ def align(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", file_a:
     counts = written(counts.withColumn("b", F.shiftright("pair", 32)), "pairs")
     best = counts.groupBy("b").agg(F.max("count").alias("most"))
     counts = counts.join(best, "b").select("pair", "count", (F.col("count") == F.col("most")).alias("best"))
-    found = each.join(counts, "pair").groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("pair", "count", "best"))).alias("found"))
-    both = table.select("chunk", "docs").join(found, "chunk", "left").select("docs", "found.count", "found.best")
+    # a task takes about PER_TASK chunks: its rows cross to Python as one batch, and its pairs are grouped in memory
+    chunks = table.count()
+    parts = max(1, -(-chunks // PER_TASK), min(chunks, df.sparkSession.sparkContext.defaultParallelism))
+    found = each.join(counts, "pair").repartition(parts, "chunk").groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("pair", "count", "best"))).alias("found"))
+    both = table.select("chunk", "docs").repartition(parts, "chunk").join(found, "chunk", "left").select("docs", "found.count", "found.best")
     schema = df.select(F.col(f"`{id_col}`")).schema
     for name in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"):
         schema = schema.add(name, "long")
