@@ -16,9 +16,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -209,25 +211,33 @@ def relabel_noise(df: DataFrame, label: str = "cluster", noise: int = -1) -> Dat
 
 
 def dbscan_grid_search(df: DataFrame, features, key: str, eps_values: Sequence[float],
-                       min_samples_values: Sequence[int]) -> DataFrame:
+                       min_samples_values: Sequence[int], parallelism: int = 3) -> DataFrame:
     """(eps, min_samples, n_clusters, noise_ratio, silhouette) for every combination.
 
     The distance to a row's ``min_samples``-th neighbour says for every eps whether it is a core row, so one neighbour
     table serves all combinations. The silhouette (noise as a group of its own) is null for fewer than two clusters
-    and where every row is a cluster; it is the one on squared distances, linear in the rows."""
+    and where every row is a cluster; it is the one on squared distances, linear in the rows. ``parallelism`` combinations run at a time."""
     from .evaluate import noise_stats, silhouette
 
     most = max(min_samples_values)
     ids = df.select(qcol(key).cast("long").alias("id"))
     table = knn_join(df, df, features, max(1, most - 1), key, key, exclude_self=True).where(F.col("rank").isin([ms - 1 for ms in min_samples_values]))
     table = cut_lineage(table.select(F.col("qid").alias("id"), "rank", "dist"))
-    n, rows = df.count(), []
-    for eps in eps_values:
-        for ms in min_samples_values:
-            core = ids if ms <= 1 else table.where((F.col("rank") == ms - 1) & (F.col("dist") <= F.lit(float(eps)))).select("id")
-            lab = dbscan(df, features, key, eps, ms, core=core).persist()
-            s = noise_stats(lab, "cluster").first()
-            score = silhouette(lab, features, "cluster") if 1 < s["n_clusters"] < n else None
-            lab.unpersist()
-            rows.append((float(eps), int(ms), int(s["n_clusters"]), float(s["noise_ratio"] or 0.0), score))
+    n = df.count()
+
+    def score(pair: tuple[float, int]) -> tuple:
+        eps, ms = pair
+        core = ids if ms <= 1 else table.where((F.col("rank") == ms - 1) & (F.col("dist") <= F.lit(float(eps)))).select("id")
+        lab = dbscan(df, features, key, eps, ms, core=core).persist()
+        s = noise_stats(lab, "cluster").first()
+        score = silhouette(lab, features, "cluster") if 1 < s["n_clusters"] < n else None
+        lab.unpersist()
+        return float(eps), int(ms), int(s["n_clusters"]), float(s["noise_ratio"] or 0.0), score
+
+    # the combinations do not depend on each other, and each is many short stages that leave cores idle
+    pool = ThreadPool(parallelism)
+    try:
+        rows = pool.map(inheritable_thread_target(df.sparkSession)(score), [(eps, ms) for eps in eps_values for ms in min_samples_values], chunksize=1)
+    finally:
+        pool.close()
     return df.sparkSession.createDataFrame(rows, "eps double, min_samples int, n_clusters int, noise_ratio double, silhouette double")
