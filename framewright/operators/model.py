@@ -31,7 +31,7 @@ def regression_compare(df: DataFrame, features: Sequence[str], target: str, key:
 
     from .neighbours import knn_join
 
-    data = df.dropna(subset=list(features) + [target])
+    data = df.dropna(subset=list(features) + [target]).select(*[qcol(c) for c in dict.fromkeys([key, *features, target])])
     train, test = hash_split(data, key, test_fraction, seed)
     tr = _assemble(train, features).persist()
     te = _assemble(test, features).persist()
@@ -40,9 +40,9 @@ def regression_compare(df: DataFrame, features: Sequence[str], target: str, key:
     rows.append(("linear_regression",) + _scores(lin.transform(te), target))
     rf = RandomForestRegressor(featuresCol="features", labelCol=target, numTrees=trees, seed=seed).fit(tr)
     rows.append(("random_forest",) + _scores(rf.transform(te), target))
-    nn = knn_join(test, train, list(features), knn_k, key, key, payload=target)
+    nn = knn_join(te, tr, list(features), knn_k, key, key, payload=target)
     knn_pred = nn.groupBy("qid").agg(F.avg("payload").alias("prediction")).join(
-        test.select(qcol(key).cast("long").alias("qid"), qcol(target)), "qid")
+        te.select(qcol(key).cast("long").alias("qid"), qcol(target)), "qid")
     rows.append(("knn_regression",) + _scores(knn_pred, target))
     tr.unpersist()
     te.unpersist()
