@@ -238,3 +238,19 @@ def test_set_join_links_copies_with_an_added_passage(spark, k, num, own, more, s
     assert {c for *_, c in want} == {100 * g for g in range(len(sizes))}
     got = set_join.join(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), k=k, num=num).collect()
     assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in got) == want
+
+
+def test_small_tables_are_joined_in_one_pass_with_the_same_rows(spark, monkeypatch):
+    rng, tables, written = random.Random(11), [], line_dedup.written
+    monkeypatch.setattr(line_dedup, "written", lambda df, name: tables.append(name) or written(df, name))
+    words = [f"word{i}" for i in range(60)]
+    base = [" ".join(rng.choices(words, k=rng.randint(3, 25))) for _ in range(30)]
+    lines = base + [line.replace("word1", "ward1", 1) for line in base] + [f"{line} more" for line in base]
+    rng.shuffle(lines)
+    df = spark.createDataFrame([(i, "\n".join(lines[3 * i:3 * i + 3])) for i in range(30)], "doc_id long, text string")
+    rows = lambda: sorted(map(tuple, line_dedup.mark(df).collect()))
+    one = rows()
+    assert tables.count("pairs") == 3  # one of either search and what is left to verify
+    monkeypatch.setattr(line_dedup, "ONE_PASS", 0)
+    assert rows() == one and tables.count("pairs") == 3 + 2 * line_dedup.PASSES + 1
+    assert len({group for _, _, group, _ in one}) < 60
