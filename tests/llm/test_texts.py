@@ -1,6 +1,8 @@
 """Byte helpers, components, line dedup and the n-gram join against plain Python."""
 
+import contextlib
 import hashlib
+import io
 import itertools
 import random
 import re
@@ -254,3 +256,50 @@ def test_small_tables_are_joined_in_one_pass_with_the_same_rows(spark, monkeypat
     monkeypatch.setattr(line_dedup, "ONE_PASS", 0)
     assert rows() == one and tables.count("pairs") == 3 + 2 * line_dedup.PASSES + 1
     assert len({group for _, _, group, _ in one}) < 60
+
+
+def test_crowded_blocks_give_the_same_rows(spark, monkeypatch):
+    docs = line_docs()
+    want, tables, written = brute_lines(docs), [], line_dedup.written
+    monkeypatch.setattr(line_dedup, "written", lambda df, name: tables.append(name) or written(df, name))
+    rows = lambda: sorted((str(x.doc_id), x.line_no, x.kept) for x in line_dedup.mark(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect())
+    assert rows() == want and tables.count("simhash") == 1  # no block is crowded, so none is joined a second time
+    for crowd in (2, 1):
+        monkeypatch.setattr(line_dedup, "CROWD", crowd)
+        assert rows() == want
+    assert tables.count("simhash") == 5
+
+
+def test_line_dedup_joins_the_blocks_of_few_lines_in_one_small_plan(spark, monkeypatch):
+    plans, written = [], line_dedup.written
+
+    def seen(df, name):
+        with contextlib.redirect_stdout(io.StringIO()) as plan:
+            df.explain()
+        plans.append(plan.getvalue())
+        return written(df, name)
+
+    monkeypatch.setattr(line_dedup, "written", seen)
+    assert line_dedup.mark(spark.createDataFrame(line_docs(), "doc_id long, text string")).count() > 100
+    of_blocks = [p for p in plans if "Generate explode(concat(" in p]
+    assert len(of_blocks) == 1 and len(re.findall(r"Join \[", of_blocks[0])) == 1  # every join costs the driver threads and memory
+
+
+def test_simhash_is_code_that_the_jvm_compiles(spark):
+    lines = [(1, "a b c"), (2, " ".join(f"w{i}" for i in range(200)))]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive plan shows no code before it runs
+    try:
+        with contextlib.redirect_stdout(io.StringIO()) as plan:
+            line_dedup.simhash(spark.createDataFrame(lines, "node long, norm string").repartition("node")).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", plan.getvalue())]
+    assert sizes and max(sizes) < 8000
+
+
+@pytest.mark.parametrize("n", [1, 6, 7, 8, 126, 127, 128, 133, 134, 254, 255, 900])
+def test_simhash_counts_the_votes_of_all_words(spark, n):
+    norm = " ".join(f"w{i}" for i in range(n))
+    row = line_dedup.simhash(spark.createDataFrame([(1, norm)], "node long, norm string").repartition("node")).first()
+    bits = [bit for block in blocks_of(norm) for bit in block]
+    assert [bool(row[f"s{b // 64}"] >> b % 64 & 1) for b in range(len(bits))] == bits and row.size == len(norm)
