@@ -13,7 +13,10 @@ once per link: a chunk's texts travel as one row with its distinct pairs, whatev
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
+import gc
 import hashlib
 import itertools
 import json
@@ -173,12 +176,28 @@ def aligner_of(file_a: str, file_b: str) -> Aligner:
     return Aligner(file_a, file_b)
 
 
+def wide(pairs: int) -> np.dtype:
+    """The numbers that tell so many pairs apart."""
+    return np.dtype(np.uint16 if pairs <= 1 << 16 else np.uint32)
+
+
+def release() -> None:
+    """Give back the memory of the tokenizers, which a worker keeps from task to task, and with them what it has set aside."""
+    if aligner_of.cache_info().currsize:
+        aligner_of.cache_clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def aligned(df: DataFrame, id_col: str, text_col: str, file_a: str, file_b: str, with_groups: bool) -> DataFrame:
-    """A row per chunk of texts: (chunk, docs, pairs, times). ``docs`` refers to the chunk's distinct pairs by place."""
+    """A row per chunk of texts: (chunk, docs, pairs, times). ``docs`` refers to the chunk's distinct pairs by place, as numbers
+    of ``wide(pairs)`` in one run of bytes: Parquet's reader holds a whole file's rows of arrays at once, at several numbers a value."""
     some = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    doc = some.drop("text").schema.add("n_a", "long").add("n_b", "long").add("sha", "string").add("groups", "string").add("links", T.ArrayType(T.IntegerType()))
+    doc = some.drop("text").schema.add("n_a", "long").add("n_b", "long").add("sha", "string").add("groups", "string").add("links", "binary")
     schema = T.StructType().add("docs", T.ArrayType(doc)).add("pairs", T.ArrayType(T.LongType())).add("times", T.ArrayType(T.LongType()))
-    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32())]
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string()]
 
     def run(batches):
         aligner = aligner_of(file_a, file_b)
@@ -187,8 +206,8 @@ def aligned(df: DataFrame, id_col: str, text_col: str, file_a: str, file_b: str,
                 n_a, n_b, groups, links = zip(*aligner.align(part.column(1).to_pylist()), strict=True)
                 sha = [hashlib.sha256(x.encode()).hexdigest() if x else "" for x in groups]
                 codes, place, times = np.unique(np.frombuffer(b"".join(links), dtype=np.int64), return_inverse=True, return_counts=True)
-                ends = np.cumsum([0] + [len(x) // 8 for x in links])
-                place = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(place.astype(np.int32)))
+                place, ends = place.astype(wide(len(codes))), np.cumsum([0] + [len(x) // 8 for x in links])
+                place = pa.array([place[a:b].tobytes() for a, b in itertools.pairwise(ends.tolist())], pa.binary())
                 cols = [part.column(0), *(pa.array(x, t) for x, t in zip((n_a, n_b, sha, groups if with_groups else [None] * len(sha)), types, strict=False)), place]
                 docs = pa.StructArray.from_arrays(cols, ["id", "n_a", "n_b", "sha", "groups", "links"])
                 one = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (docs, pa.array(codes, pa.int64()), pa.array(times, pa.int64()))]
@@ -198,6 +217,18 @@ def aligned(df: DataFrame, id_col: str, text_col: str, file_a: str, file_b: str,
     return some.mapInArrow(run, schema)
 
 
+def looked_up(links: pa.Array, found: pa.Table) -> list[pa.Array]:
+    """The number of every text's links, and the sums of their pairs' ``count`` and ``best`` in ``found``, which is sorted by pair."""
+    links, number = links.cast(pa.large_binary()), wide(found.num_rows)
+    ends = np.frombuffer(links.buffers()[1], dtype=np.int64)[links.offset:links.offset + len(links) + 1]
+    place = np.frombuffer(links.buffers()[2] or b"", dtype=np.uint8)[ends[0]:ends[-1]].view(number)
+    ends, out = (ends - ends[0]) // number.itemsize, []
+    for x in (np.ones(found.num_rows, dtype=np.int64), *(found.column(c).cast(pa.int64()).to_numpy() for c in ("count", "best"))):
+        run = np.concatenate([[0], np.cumsum(x[place])])
+        out.append(pa.array(run[ends[1:]] - run[ends[:-1]]))
+    return out
+
+
 def align(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", file_a: str = MODEL_A, file_b: str = MODEL_B, with_groups: bool = False) -> DataFrame:
     """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256), a row per row of ``df``; with
     ``with_groups`` also the groups themselves as text (``a1,a2|b1;a3|b2,b3``).
@@ -213,32 +244,25 @@ def align(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", file_a:
     counts = written(counts.withColumn("b", F.shiftright("pair", 32)), "pairs")
     best = counts.groupBy("b").agg(F.max("count").alias("most"))
     counts = counts.join(best, "b").select("pair", "count", (F.col("count") == F.col("most")).alias("best"))
-    # a task takes about PER_TASK chunks: its rows cross to Python as one batch, and its pairs are grouped in memory
+    # a task takes about PER_TASK chunks, of which Python and the buffers on the way there hold one at a time
     chunks = table.count()
     parts = max(1, -(-chunks // PER_TASK), min(chunks, df.sparkSession.sparkContext.defaultParallelism))
-    found = each.join(counts, "pair").repartition(parts, "chunk").groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("pair", "count", "best"))).alias("found"))
-    both = table.select("chunk", "docs").repartition(parts, "chunk").join(found, "chunk", "left").select("docs", "found.count", "found.best")
+    found = each.join(counts, "pair").select(F.col("chunk").alias("of"), "pair", "count", "best").repartition(parts, "of")
+    docs = table.select("chunk", "docs").repartition(parts, "chunk")
     schema = df.select(F.col(f"`{id_col}`")).schema
     for name in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"):
         schema = schema.add(name, "long")
     schema = schema.add("groups_sha256", "string")
     schema = schema.add("groups", "string") if with_groups else schema
 
-    def weigh(batches):
-        for batch in batches:
-            for row in range(batch.num_rows):
-                docs, count, best = (batch.column(i)[row].values for i in range(3))
-                links = docs.field(5)
-                ends = np.asarray(links.offsets, dtype=np.int64)
-                place = np.asarray(links.values, dtype=np.int64)[ends[0]:ends[-1]]
-                ends = ends - ends[0]
-                sums = []
-                for x in (count, best):
-                    x = np.asarray(x.cast(pa.int64())) if x is not None else np.zeros(0, dtype=np.int64)
-                    run = np.concatenate([[0], np.cumsum(x[place])])
-                    sums.append(pa.array(run[ends[1:]] - run[ends[:-1]]))
-                n = pa.array(np.diff(ends))
-                cols = [docs.field(0), docs.field(1), docs.field(2), n, n, sums[1], sums[0], docs.field(3)]
-                yield pa.RecordBatch.from_arrays([*cols, docs.field(4)] if with_groups else cols, schema.names)
-
-    return both.mapInArrow(weigh, schema)
+    def weigh(chunk: pa.Table, found: pa.Table) -> pa.Table:
+        release()
+        found, parts = found.sort_by("pair"), []
+        for docs in chunk.column("docs").chunks:
+            docs = docs.flatten()
+            n, count, best = looked_up(docs.field(5), found)
+            cols = [docs.field(0), docs.field(1), docs.field(2), n, n, best, count, docs.field(3)]
+            parts.append(pa.RecordBatch.from_arrays([*cols, docs.field(4)] if with_groups else cols, schema.names))
+        return pa.Table.from_batches(parts)
+
+    return docs.groupBy("chunk").cogroup(found.groupBy("of")).applyInArrow(weigh, schema)

@@ -276,3 +276,23 @@ def test_forgotten_words_and_long_ones():
     want = [words.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
     for _ in range(2):
         assert [np.frombuffer(x, dtype="<u4").tolist() for x in words.encode(texts)] == want
+
+
+def test_align_moves_a_chunk_at_a_time_and_its_links_as_bytes(spark):
+    df = frame(spark, TEXTS)
+    doc = token_align.aligned(df, "doc_id", "text", token_align.MODEL_A, token_align.MODEL_B, False).schema["docs"].dataType.elementType
+    assert doc["links"].dataType.typeName() == "binary"
+    plan = token_align.align(df)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "collect_list" not in plan
+
+
+@pytest.mark.parametrize("pairs", [1, 1 << 16, (1 << 16) + 1, 200_000])
+def test_links_are_looked_up_by_as_many_bytes_as_the_pairs_need(pairs):
+    r = np.random.default_rng(pairs)
+    places = [r.integers(0, pairs, n) for n in (3, 0, 500, 1)] + [np.array([pairs - 1, 0])]
+    links = pa.array([x.astype(token_align.wide(pairs)).tobytes() for x in places], pa.binary())
+    found = pa.table({"pair": np.arange(pairs), "count": r.integers(1, 1 << 40, pairs), "best": r.random(pairs) < 0.5})
+    for lo, hi in ((0, 5), (1, 4), (1, 2)):
+        got = [x.to_pylist() for x in token_align.looked_up(links.slice(lo, hi - lo), found)]
+        assert got == [[int(f(x)) for x in places[lo:hi]] for f in (len, lambda x: found["count"].to_numpy()[x].sum(), lambda x: found["best"].to_numpy()[x].sum())]
+    assert token_align.wide(pairs).itemsize == (2 if pairs <= 1 << 16 else 4)
