@@ -26,26 +26,31 @@ def _scores(pred: DataFrame, label: str, col: str = "prediction") -> tuple[float
 def regression_compare(df: DataFrame, features: Sequence[str], target: str, key: str, test_fraction: float = 0.2,
                        seed: int = 42, knn_k: int = 5, trees: int = 100) -> DataFrame:
     """(model, mse, r2) on a held-out md5 split for linear regression, random forest and
-    k-nearest-neighbour regression."""
+    k-nearest-neighbour regression. Large tables of few different feature vectors grow the same kind of forest from
+    counts (``forest``), with other random numbers than Spark's."""
     from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 
+    from . import forest
     from .neighbours import knn_join
 
     data = df.dropna(subset=list(features) + [target]).select(*[qcol(c) for c in dict.fromkeys([key, *features, target])])
-    train, test = hash_split(data, key, test_fraction, seed)
-    tr = _assemble(train, features).persist()
-    te = _assemble(test, features).persist()
+    train, test = (part.persist() for part in hash_split(data, key, test_fraction, seed))
+    tr, te = _assemble(train, features), _assemble(test, features)
     rows = []
     lin = LinearRegression(featuresCol="features", labelCol=target, solver="normal").fit(tr)
     rows.append(("linear_regression",) + _scores(lin.transform(te), target))
-    rf = RandomForestRegressor(featuresCol="features", labelCol=target, numTrees=trees, seed=seed).fit(tr)
-    rows.append(("random_forest",) + _scores(rf.transform(te), target))
+    counted = forest.fit(tr, features, target, trees, seed)
+    if counted:
+        pred = counted.transform(te, target)
+    else:
+        pred = RandomForestRegressor(featuresCol="features", labelCol=target, numTrees=trees, seed=seed).fit(tr).transform(te)
+    rows.append(("random_forest",) + _scores(pred, target))
     nn = knn_join(te, tr, list(features), knn_k, key, key, payload=target)
     knn_pred = nn.groupBy("qid").agg(F.avg("payload").alias("prediction")).join(
         te.select(qcol(key).cast("long").alias("qid"), qcol(target)), "qid")
     rows.append(("knn_regression",) + _scores(knn_pred, target))
-    tr.unpersist()
-    te.unpersist()
+    train.unpersist()
+    test.unpersist()
     return df.sparkSession.createDataFrame(rows, "model string, mse double, r2 double")
 
 
