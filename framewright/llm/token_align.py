@@ -238,7 +238,7 @@ def align(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", file_a:
     links whose pair is the commonest one, ties included, of its B id in the table, ``count_sum`` adds up the counts of the
     links' pairs. Repeated rows, equal and null ids are texts of their own; an empty table gives no rows. Input columns
     other than the two named aren't read. A chunk holds about 1 MB of text, so a very common pair is one row per chunk."""
-    table = written(aligned(df, id_col, text_col, file_a, file_b, with_groups).withColumn("chunk", F.monotonically_increasing_id()), "links")
+    table = written(aligned(df, id_col, text_col, file_a, file_b, with_groups).withColumn("chunk", F.monotonically_increasing_id()), "links", PER_TASK)
     each = table.select("chunk", F.explode(F.arrays_zip("pairs", "times")).alias("x")).select("chunk", F.col("x.pairs").alias("pair"), F.col("x.times").alias("times"))
     counts = each.groupBy("pair").agg(F.sum("times").alias("count"))
     counts = written(counts.withColumn("b", F.shiftright("pair", 32)), "pairs")

@@ -296,3 +296,12 @@ def test_links_are_looked_up_by_as_many_bytes_as_the_pairs_need(pairs):
         got = [x.to_pylist() for x in token_align.looked_up(links.slice(lo, hi - lo), found)]
         assert got == [[int(f(x)) for x in places[lo:hi]] for f in (len, lambda x: found["count"].to_numpy()[x].sum(), lambda x: found["best"].to_numpy()[x].sum())]
     assert token_align.wide(pairs).itemsize == (2 if pairs <= 1 << 16 else 4)
+
+
+def test_align_deals_its_long_rows_out_to_files(spark, monkeypatch, tmp_path):
+    made, plain = [], token_align.written
+    monkeypatch.setattr(token_align, "PER_TASK", 2)
+    monkeypatch.setattr(token_align, "written", lambda *args: made.append(plain(*args)) or made[-1])
+    df = spark.createDataFrame([(i, "word " * 300_000) for i in range(5)], "doc_id long, text string").coalesce(1)
+    assert token_align.align(df).count() == 5
+    assert made[0].count() == 5 and len(made[0].inputFiles()) == 3  # a text longer than a chunk is one of its own
